@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, sharding, token_counts
+from . import decontam, mixing, quality, secrets, sharding, token_counts
 from .common import table
 
 
+def op3_quality(spark, sf_dir):
+    out = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_secrets(spark, sf_dir):
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(secrets.base(F.col("findings"), k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(secrets.base(F.col("findings"))), 256).alias("base_sha256"), secrets.joined(F.col("findings")).alias("spans"))
+
+
 def op6_mixing(spark, sf_dir):
     plan = mixing.mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("rest")).alias("taken"))
@@ -27,6 +38,8 @@ def op9_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_quality": op3_quality,
+    "op4_secrets": op4_secrets,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
@@ -48,8 +61,7 @@ ORACLES = {
         stops as (select *, coalesce(sum(stop) over before_, 0.0) as stopped, sum(w) over after_ as open_w, stop / w as ratio from weighed
             window before_ as (order by stop / w, rank_ rows between unbounded preceding and 1 preceding),
                 after_ as (order by stop / w, rank_ rows between current row and unbounded following)),
-        level_ as (select min((1.5::double * (select sum(s) from sources) - stopped) / open_w) as v from stops
-            where ratio > (1.5::double * (select sum(s) from sources) - stopped) / open_w),
+        level_ as (select arg_min(v, (ratio, rank_)) as v from (select *, (1.5::double * (select sum(s) from sources) - stopped) / open_w as v from stops) where ratio > v),
         goals as (select source, s, case when stop <= w * coalesce(v, 0.0) or v is null then stop else w * v end as target from stops, level_),
         laid as (select r.*, g.s, g.target, sum(size) over (partition by r.source order by key, doc_id, size rows unbounded preceding) - size as start,
                 round(g.target)::bigint as budget
