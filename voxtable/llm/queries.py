@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, quality, secrets, sharding, token_counts
+from . import chat, decontam, mixing, quality, secrets, sharding, simhash, token_counts
 from .common import table
 
 
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_quality(spark, sf_dir):
     out = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -50,6 +55,7 @@ def op9_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
     "op5_chat_formatting": op5_chat_formatting,
