@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, quality, secrets, sharding, simhash, token_counts
+from . import chat, decontam, html_text, mixing, quality, secrets, sharding, simhash, token_counts
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.suffix_sums(token_counts.histogram(token_counts.lengths(table(spark, sf_dir, "documents"))))
 
 
+def op10_html_extraction(spark, sf_dir):
+    return html_text.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
@@ -63,6 +67,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
