@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html_text, mixing, quality, secrets, sharding, simhash, token_counts
+from . import chat, decontam, html_text, mixing, quality, secrets, sharding, simhash, substrings, token_counts
 from .common import table
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    found = substrings.removals(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -59,6 +65,7 @@ def op10_html_extraction(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
