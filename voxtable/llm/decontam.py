@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, stored, utf8
 
@@ -103,19 +104,20 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[dict[bytes
 
 
 def _search(docs: DataFrame, block: dict[bytes, list[str]]) -> DataFrame:
-    """docs: doc_id, text, hits (places of hit words), items; the same with what one block adds, and n_words."""
+    """docs: row (a struct with a text), hits (places of hit words), items; the same with what one block adds, and n_words."""
     sent = docs.sparkSession.sparkContext.broadcast(block)
+    text = docs.schema["row"].dataType.names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items_of = sent.value
         tables = searchers(list(items_of))
         widths = {p: p.count(b" ") - 1 for p in items_of}
         for b in batches:
-            n_words, hits, items = [], b.column(2).to_pylist(), b.column(3).to_pylist()
-            for k, text in enumerate(utf8(b.column(1))):
-                line = spaced(text)
+            n_words, hits, items = [], b.column(1).to_pylist(), b.column(2).to_pylist()
+            for k, t in enumerate(utf8(b.column(0).field(text))):
+                line = spaced(t)
                 n_words.append(max(0, line.count(b" ") - 1))
-                found = [x for t in tables for x in t.find(line)]
+                found = [x for s in tables for x in s.find(line)]
                 if found:
                     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
                     marked = np.zeros(n_words[-1] + 1, np.int32)
@@ -126,19 +128,29 @@ def _search(docs: DataFrame, block: dict[bytes, list[str]]) -> DataFrame:
                     places = np.flatnonzero(np.cumsum(marked) > 0)
                     hits[k] = np.union1d(hits[k], places).astype(np.int32) if hits[k] else places
                     items[k] = sorted({i for _, p in found for i in items_of[p]}.union(items[k]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())], ["doc_id", "text", "hits", "items", "n_words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())], ["row", "hits", "items", "n_words"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "hits", "items").mapInArrow(run, f"doc_id {kind}, text string, hits array<int>, items array<string>, n_words long")
+    schema = T.StructType([docs.schema["row"], docs.schema["hits"], docs.schema["items"], T.StructField("n_words", T.LongType())])
+    return docs.select("row", "hits", "items").mapInArrow(run, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted as strings), contaminated of every row. One block is one pass without a
-    shuffle; between further blocks the rows are stored, so that one block at a time is in memory."""
-    rows = docs.select("doc_id", "text", F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
+def searched(docs: DataFrame, benchmark: DataFrame, columns: list[str], most: int = BLOCK_BYTES) -> DataFrame:
+    """row (the columns), hits, items, n_words and contaminated of every row. One block is one pass without a shuffle; between further blocks
+    the rows are stored, so that one block at a time is in memory."""
+    rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("row"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
     found = None
     for block in blocks(benchmark, most):
         found = _search(rows if found is None else stored(found), block)
     found = _search(rows, {}) if found is None else found
-    out = found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return found.withColumn("contaminated", (F.size("hits") > 0) & (20 * F.size("hits").cast("long") >= F.col("n_words")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (sorted as strings), contaminated of every row."""
+    found = searched(docs, benchmark, ["doc_id", "text"], most)
+    return found.select("row.doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", "contaminated")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs that aren't contaminated, whole and with their columns."""
+    return searched(docs, benchmark, docs.columns, most).filter(~F.col("contaminated")).select("row.*")
