@@ -22,7 +22,7 @@ SHARE = 1.5
 MOST = 2.0
 SEED = 20
 #: Rows of one key range that one task sorts; ranges are as many as a source's rows need.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 2_000
 
 
 def random_key(doc_id: Column, seed: int) -> Column:
