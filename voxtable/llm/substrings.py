@@ -7,7 +7,7 @@ A byte goes if it is covered by a ``length``-byte string that also starts in a d
    so windows need to meet by anchor alone. Each pack sends 32 bits an anchor to the anchor's bucket, which answers with one bit: is it in
    two documents?
 3. For each anchor in two documents a pack sends its context once (all windows around it) with the least doc_id.
-4. A bucket builds a run-length index over the contexts whose anchor has several: suffix array, Burrows-Wheeler transform as runs
+4. A bucket builds a run-length index over the contexts that agree with another one on half of their reach: suffix array, Burrows-Wheeler transform as runs
    with suffix samples at run ends, and the places where neighbours share under ``length`` bytes. The contexts stream backwards through
    the index (LF steps on runs), which gives their matching statistics: from ``length`` matched bytes on, the interval of the window and
    with it the least document that has it. Contexts that are alone need no index: all but their first document repeat them.
@@ -35,8 +35,10 @@ from .common import partitions, stored, utf8
 
 LENGTH = 50
 GRAM = 20
-PACK = 8 << 20
+PACK = 4 << 20
 _PIECE = 1 << 20
+#: Contexts in one index, but for those of one anchor.
+INDEXED = 16_000
 _NO_ID = np.iinfo(np.int64).max
 _PACKS = "pack long, ids binary, sizes binary, packed binary"
 
@@ -132,12 +134,17 @@ def anchors(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: in
     return at, np.concatenate(hashes)[first]
 
 
-def grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place of each distinct row (rows of 64-bit words) and the number of each row's group, exactly."""
+def _mixed(rows: np.ndarray) -> np.ndarray:
     h = np.zeros(len(rows), np.uint64)
     for column in rows.T:
         h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
+    return h
+
+
+def grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each distinct row (rows of 64-bit words) and the number of each row's group, exactly."""
+    h = _mixed(rows)
     _, first, back = np.unique(h, return_index=True, return_inverse=True)
     if not np.array_equal(rows[first[back]], rows):  # two rows of one hash
         _, first, back = np.unique(rows, axis=0, return_index=True, return_inverse=True)
@@ -179,13 +186,12 @@ class RunLengthIndex:
             return np.unique(key, return_inverse=True)[1].reshape(key.shape)  # 0: the empty suffix
 
         key = wide
-        for k in range(1, 6):
+        for k in range(1, 7):
             key = key * 512 + ahead(wide, k)
-        rank, depth = ranked(key), 6
-        whole = None
+        rank, depth = ranked(key), 7
         while depth < w + 1:
-            if whole is None and 2 * depth > length:
-                whole = ranked(rank * (rank.max() + 1) + ahead(rank, length - depth))
+            if depth <= length < 2 * depth:
+                part, rest = rank, length - depth  # two ranks that together are the first ``length`` symbols
             rank = ranked(rank * (rank.max() + 1) + ahead(rank, depth))
             depth *= 2
         text, column = np.nonzero(np.arange(w + 1)[None, :] <= sizes[:, None])
@@ -201,8 +207,8 @@ class RunLengthIndex:
         long = (ends - self.starts)[by_head]
         self.landing = np.empty(len(self.starts), np.int64)
         self.landing[by_head] = np.cumsum(long) - long
-        prefix = whole[text, column]
-        self.intervals = np.r_[0, np.flatnonzero(np.diff(prefix)) + 1]
+        first, second = part[text, column], ahead(part, rest)[text, column] if rest else part[text, column]
+        self.intervals = np.r_[0, np.flatnonzero((np.diff(first) != 0) | (np.diff(second) != 0)) + 1]
 
     def lf(self, rows: np.ndarray) -> np.ndarray:
         run = np.searchsorted(self.starts, rows, "right") - 1
@@ -219,6 +225,22 @@ class RunLengthIndex:
                 yield texts, self.sizes[texts] - back, np.searchsorted(self.intervals, rows, "right") - 1
 
 
+def _matched(unique: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray, length: int, width: int) -> np.ndarray:
+    """Bits of the windows that a context with a smaller least document has too."""
+    columns = np.arange(width)[None, :] + left[:, None]
+    symbols = np.where(columns < right[:, None], np.take_along_axis(unique, np.minimum(columns, width - 1), 1).astype(np.int16) + 1, 0)
+    index = RunLengthIndex(symbols, right - left, length)
+    best = np.full(len(index.intervals), _NO_ID)
+    met = list(index.stream(length))
+    for texts, _, interval in met:
+        np.minimum.at(best, interval, least[texts])
+    marks = np.zeros(len(unique), np.uint64)
+    for texts, column, interval in met:
+        hit = best[interval] < least[texts]
+        marks[texts[hit]] |= np.uint64(1) << (column[hit] + left[texts[hit]]).astype(np.uint64)
+    return marks
+
+
 def first_documents(rows: np.ndarray, ids: np.ndarray, length: int, gram: int = GRAM) -> np.ndarray:
     """For the contexts (bytes) and their ids, a bit for each window that also starts in a smaller document."""
     reach, width = length - gram, 2 * length - gram
@@ -227,24 +249,27 @@ def first_documents(rows: np.ndarray, ids: np.ndarray, length: int, gram: int =
     np.minimum.at(least, back, ids)
     unique = rows[first]
     left, right = unique[:, width].astype(np.int64), unique[:, width + 1].astype(np.int64)
-    anchor = np.zeros((len(unique), -(-gram // 8) * 8), np.uint8)
-    anchor[:, :gram] = unique[:, reach : reach + gram]
-    _, of = grouped(anchor.view("<u8"))
-    several = np.flatnonzero(np.bincount(of)[of] > 1)
+    # a window reaches at least so far on both sides of the anchor, for one of these pairs: contexts that share none of them share no window
+    several = np.arange(len(unique))
+    for steps in (2, 4, 8):
+        marked = np.zeros(len(several), bool)
+        edges = [-(-k * (reach + 1) // steps) for k in range(steps + 1)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            size = a + gram + reach + 1 - b
+            part = np.zeros((len(several), -(-size // 8) * 8), np.uint8)
+            part[:, :size] = unique[several, reach - a : reach - a + size]
+            _, of = grouped(part.view("<u8"))
+            marked |= np.bincount(of)[of] > 1
+        several = several[marked]
     marks = np.zeros(len(unique), np.uint64)
-    if len(several):
-        l, r = left[several], right[several]
-        columns = np.arange(width)[None, :] + l[:, None]
-        symbols = np.where(columns < r[:, None], unique[several[:, None], np.minimum(columns, width - 1)].astype(np.int16) + 1, 0)
-        index = RunLengthIndex(symbols, r - l, length)
-        best = np.full(len(index.intervals), _NO_ID)
-        met = list(index.stream(length))
-        for texts, _, interval in met:
-            np.minimum.at(best, interval, least[several[texts]])
-        for texts, column, interval in met:
-            u = several[texts]
-            hit = best[interval] < least[u]
-            marks[u[hit]] |= np.uint64(1) << (column[hit] + l[texts[hit]]).astype(np.uint64)
+    # contexts of one anchor stay together; anchors are dealt out over indexes of about INDEXED contexts
+    anchor = np.zeros((len(several), -(-gram // 8) * 8), np.uint8)
+    anchor[:, :gram] = unique[several, reach : reach + gram]
+    piece = _mixed(anchor.view("<u8")) % np.uint64(len(several) // INDEXED + 1)
+    for k in range(len(several) // INDEXED + 1):
+        own = several[piece == k]
+        if len(own):
+            marks[own] = _matched(unique[own], left[own], right[own], least[own], length, width)
     window = np.arange(reach + 1, dtype=np.uint64)
     bits = np.where((window >= left[:, None]) & (window + np.uint64(length) <= right[:, None]), np.uint64(1) << window, np.uint64(0))
     every = np.bitwise_or.reduce(bits, axis=1) if len(bits) else np.zeros(0, np.uint64)
@@ -347,7 +372,6 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        reach = np.uint64(length - GRAM)
         for b in batches:
             for i, _, p in opened(b):
                 which, entry, rows, bucket, least = entries(p, told(b, i, 4))
@@ -355,17 +379,17 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 answers = told(b, i, 5)
                 for k, s in _by_bucket(bucket):
                     marks[s] = np.frombuffer(answers[k], np.uint64)
-                later = p.ids[p.doc[which]] > least[entry]  # repeats of the pack's own first
-                edge = np.zeros(len(p.buffer) + length + 1, np.int32)
-                at, doc = p.at[which], p.doc[which]
-                for w in range(int(reach) + 1):
-                    start = at - int(reach) + w
-                    inside = (start >= p.starts[doc]) & (start + length <= p.ends[doc])
-                    hit = start[inside & (later | (marks[entry] >> np.uint64(w) & np.uint64(1)).astype(bool))]
-                    hit = np.unique(hit)
-                    np.add.at(edge, hit, 1)
-                    np.add.at(edge, hit + length, -1)
-                gone = np.cumsum(edge[: len(p.buffer)]) > 0
+                at, doc = p.at[which] - (length - GRAM), p.doc[which]
+                first = np.maximum(0, p.starts[doc] - at)
+                last = np.minimum(length - GRAM, p.ends[doc] - length - at)
+                later = p.ids[doc] > least[entry]  # repeats of the pack's own first
+                hits = np.where(later, ~np.uint64(0), marks[entry])
+                begun = np.zeros(len(p.buffer) + 1, bool)
+                for w in range(length - GRAM + 1):
+                    begun[at[(first <= w) & (w <= last) & (hits >> np.uint64(w) & np.uint64(1)).astype(bool)] + w] = True
+                count = np.cumsum(begun[: len(p.buffer)], dtype=np.int32)
+                gone = count > 0
+                gone[length:] = count[length:] > count[:-length]
                 spans, kept = [], []
                 for a, e in zip(p.starts.tolist(), p.ends.tolist(), strict=True):
                     own = gone[a:e]
