@@ -3,7 +3,7 @@ r"""HTML extraction by wrapper induction.
 Pages of a host share a wrapper. One page of each host (least hash) is its reference; every other page's DOM tree is aligned
 with the reference tree by simple tree matching. Votes over all pages of the host say for each reference node whether its text stays
 constant (template) or varies (a slot), and how much of it is link text. The slot that holds most of the host's varying text is the
-content; in it, nodes constant on nearly all pages are template, as are menus, headers, footers, sidebars, notices, adverts,
+content; in it, nodes constant on nearly all pages are template (but for those of an article or main element), as are menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments by their tag, role, class or id. Copies of the reference page cast no vote, so that a text posted often isn't
 taken for template.
 
@@ -32,6 +32,8 @@ from .common import cut
 SMALL = 16 << 20
 #: A node is template if its text is the same on so large a share of at least LEAST pages.
 CONSTANT, LEAST = 0.9, 10
+#: Elements nested deeper become siblings, as in browsers; no text is lost.
+DEPTH = 150
 #: The content is the deepest slot that holds this share of the host's varying text.
 MASS = 0.7
 
@@ -67,12 +69,14 @@ class Node:
         self.links = 0
 
     def settle(self) -> None:
-        """Kids, own text's checksum and length."""
-        self.kids = [x for x in self.items if type(x) is Node]
-        own = " ".join(" ".join(x for x in self.items if type(x) is str).split())
-        self.text, self.chars = crc32(own.encode("utf-8", "surrogatepass")), len(own)
-        for k in self.kids:
-            k.settle()
+        """Kids, own text's checksum and length, here and below."""
+        work = [self]
+        while work:
+            n = work.pop()
+            n.kids = [x for x in n.items if type(x) is Node]
+            own = " ".join(" ".join(x for x in n.items if type(x) is str).split())
+            n.text, n.chars = crc32(own.encode("utf-8", "surrogatepass")), len(own)
+            work += n.kids
 
 
 def parsed(html: str) -> Node:
@@ -138,6 +142,8 @@ def parsed(html: str) -> Node:
                 if stack[k].tag in _SCOPE[tag]:
                     break
             anchors = anchors if tag != "p" else 0
+        if len(stack) > DEPTH:
+            stack.pop()
         node = Node(tag, " ".join(names.split()), drop, not block)
         stack[-1].items.append(node)
         stack.append(node)
@@ -365,6 +371,8 @@ def extracted(html: str, wrapper: Wrapper | None) -> str:
         constant = frozenset(id(n) for n, i in pairs if i in wrapper.constant and n.text == wrapper.ref.rows[i][2] and not n.kids)
     if content.tag not in ("article", "main"):
         content = _lone(content, "article") or _lone(content, "main") or content
+    if content.tag in ("article", "main"):  # the page itself says that this is the article: a line that all of a host's articles hold is theirs
+        constant = frozenset()
     return "\n\n".join(blocks(content, constant) or (blocks(root) if content is not root else []))
 
 
