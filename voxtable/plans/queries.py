@@ -397,7 +397,7 @@ def rank_candidates(spark, d):
 
 
 def _selected(spark, d) -> DataFrame:
-    rows = _judged(spark, d)
+    rows = corpus.settled(_judged(spark, d))  # three uses
     budget = 0.15 * (rows.agg(F.sum("dur_ms")).first()[0] or 0)
     return selection.select_budgeted(rows, budget, 0.08, duration="dur_ms")
 
