@@ -1,6 +1,6 @@
 """Speech-corpus tables derived from the general tables, once in Spark and once as SQL.
 
-A clip is a line of a document; its units are the longest-match tokens of the line. Durations are whole
+A clip is a sentence or line of a document; its units are the longest-match tokens of it. Durations are whole
 milliseconds, so that no float sum decides a boundary.
 """
 
@@ -16,12 +16,18 @@ UNIT_PATTERN = "th|sh|ch|ou|er|in|[a-z,.]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of a few files, fewer than there are cores, is dealt out over the cores; a large one stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    lines = docs.select("doc_id", "lang", "source", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "text"))
+    lines = docs.select("doc_id", "lang", "source", F.posexplode(F.split(F.replace(F.coalesce("text", F.lit("")), F.lit(". "), F.lit(".\n")), "\n")).alias("line_no", "text"))
     units = tokenize(F.lower("text"), SYMBOLS)
     at = F.col("doc_id") + F.col("line_no")
     rows = lines.withColumn("ipa_units", units).withColumn("n_units", F.size("ipa_units"))
@@ -36,9 +42,8 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CLIPS = f"""
     doc_lines as (
-        select doc_id, lang, source, unnest(string_split(coalesce(text, ''), chr(10))) as text,
-            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as line_no
-        from documents),
+        select doc_id, lang, source, unnest(parts) as text, unnest(range(len(parts))) as line_no
+        from (select *, string_split(replace(coalesce(text, ''), '. ', '.' || chr(10)), chr(10)) as parts from documents)),
     doc_units as (select *, regexp_extract_all(lower(text), '{UNIT_PATTERN}') as u, doc_id + line_no as k from doc_lines),
     clips0 as (
         select printf('segment_%06d_%04d', doc_id, line_no) as id, printf('segment_%06d', doc_id) as recording, doc_id, line_no::bigint as line_no,
