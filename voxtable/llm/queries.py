@@ -82,6 +82,26 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ITEM_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op3_quality": rf"""
+        with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
+        wins as (select r, k, array_to_string(w[k:k + 4], ' ') as win from (select r, w, unnest(range(1, len(w) - 3)) as k from d where len(w) >= 5)),
+        often as (select r, k from (select r, k, count(*) over (partition by r, win) as c from wins) where c > 1),
+        covered as (select r, count(distinct p) as n from (select r, unnest(range(k, k + 5)) as p from often) group by r),
+        lines as (select r, l, count(*) as c from (select r, unnest(string_split(t, chr(10))) as l from d) where regexp_matches(l, '{_WORDS}') group by r, l),
+        dup as (select r, sum(c - 1) as n from lines group by r),
+        f as (
+            select r, doc_id, t, w, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words
+            from d left join dup using (r) left join covered using (r)),
+        b as (
+            select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+                len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as lettered,
+                len(list_filter(w, lambda x, i: i > 1 and x = w[i - 1])) as stuttered, len(string_split(t, chr(10))) as n_lines
+            from f)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            not base_failed and n_symbols * 10 <= n_words and word_chars between 2 * n_words and 15 * n_words and not (n_dup_lines > 3 and 2 * n_dup_lines > n_lines)
+                and 2 * lettered >= n_words and 4 * stuttered <= n_words as kept
+        from b""",
     "op5_chat_formatting": """
         with c as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
