@@ -149,14 +149,14 @@ def attach_audio(spark, d):
     broken as (select n.shard, n.row_ as r, n.id, n.id <> case when row_ = 3 and n.shard like 'train-src1-%' then 'other' else n.id end as moved from numbered n join ends using (shard)
         where not (n.shard like 'test-%' and row_ = last_) and n.shard not like 'train-src2-%'),
     shards as (select shard, count(*) as n from broken group by shard), all_ as (select shard, count(*) as n from numbered group by shard)
-    select a.shard, case when s.shard is null then 'missing_shard' else 'row_count' end as kind, null::bigint as "row" from all_ a left join shards s using (shard) where s.shard is null or s.n <> a.n
+    select a.shard, case when s.shard is null then 'missing_shard' else 'row_count' end as kind, (-1)::bigint as "row" from all_ a left join shards s using (shard) where s.shard is null or s.n <> a.n
     union all select shard, 'path', min(r)::bigint from broken where moved group by shard""")
 def audio_violations(spark, d):
     results, source = _sourced(spark, d)
     last = F.max("row").over(W.partitionBy("shard"))
     broken = source.select("shard", "row", "path", last.alias("last")).filter(~(F.col("shard").like("test-%") & (F.col("row") == F.col("last"))) & ~F.col("shard").like("train-src2-%"))
     moved = F.when((F.col("row") == 3) & F.col("shard").like("train-src1-%"), "other").otherwise(F.col("path"))
-    return assemble.audio_violations(results, broken.withColumn("path", moved))
+    return assemble.audio_violations(results, broken.withColumn("path", moved)).withColumn("row", F.coalesce("row", F.lit(-1)))
 
 
 @query(f"with {v.CLIPS} select distinct shard from clips where shard like 'test-%'")
@@ -198,10 +198,11 @@ def clip_ids(spark, d):
     return rows.select("page_id", clips.stem(F.col("url")).alias("stem"), clips.clip_id(F.lit(""), F.lit("shard.parquet"), F.col("page_id")).alias("numbered"), clips.split_of(F.col("shard")).alias("split"))
 
 
-@query(f"with {v.CLIPS} select id, case when language = 'en' then n_units end as n_units, case when language <> 'en' then dur_ms end as dur_ms from clips")
+@query(f"with {v.CLIPS} select id, case when language = 'en' then n_units else -1 end as n_units, case when language <> 'en' then dur_ms else -1 end as dur_ms from clips")
 def union_shards(spark, d):
     rows = v.clips(spark, d)
-    return assemble.union_shards(rows.filter("language = 'en'").select("id", "n_units"), rows.filter("language <> 'en'").select("id", "dur_ms"))
+    both = assemble.union_shards(rows.filter("language = 'en'").select("id", "n_units"), rows.filter("language <> 'en'").select("id", "dur_ms"))
+    return both.fillna(-1)
 
 
 @query(f"with {v.CLIPS} select id, n_units, '' as speaker from clips")
