@@ -1,16 +1,19 @@
 """The document operators against brute force, on rows with nulls, empty and long texts, ties, repeats, clashing columns and empty tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from voxtable.llm import decontam, mixing, quality, secrets, sharding, simhash, substrings, token_counts
 
@@ -191,6 +194,12 @@ def test_simhash_keeps_one_of_each(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_simhash_keeps_different_texts_under_one_id(spark):
+    a, b = ("one two three four five six seven", "eight nine ten eleven twelve thirteen")
+    kept = simhash.first_documents(documents(spark, [(5, a), (5, a), (5, b), (9, b), (9, "alone among the texts here")]).withColumn("fp", F.lit("clash")))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(5, b), (5, a), (9, "alone among the texts here")]
+
+
 # ---- quality rules ----
 
 
@@ -276,6 +285,7 @@ def test_base_findings_follow_the_patterns():
         lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
         lambda s: base64.b64encode(s.encode()).decode(),
         lambda s: base64.urlsafe_b64encode(gzip.compress(s.encode())).decode(),
+        lambda s: base64.b64encode(gzip.compress(zlib.compress(bz2.compress(s.encode())))).decode(),
         lambda s: base64.b64encode(base64.b64encode(urllib.parse.quote(s).encode())).decode(),
         lambda s: urllib.parse.quote(urllib.parse.quote(s, safe=""), safe=""),
     ],

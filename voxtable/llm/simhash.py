@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, partitions, utf8
 
@@ -188,19 +189,35 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id of every row."""
+    """doc_id, fp, component_id and root (a fingerprint that names the component) of every row."""
     rows = cut(fingerprints(docs))
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     root = components(links(nodes.select("fp"), radius))
     named = nodes.join(root, nodes["fp"] == root["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
-    label = named.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return rows.join(label, rows["fp"] == label["f"]).select("doc_id", "fp", "component_id")
+    label = named.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id", "root")
+    return rows.join(label, rows["fp"] == label["f"]).select("doc_id", "fp", "component_id", "root")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), id and fp of every row."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t) for t in utf8(b.column(0).field(text))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["row", "fp"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("fp", T.LongType())])).select("row", F.col("row.doc_id").alias("id"), "fp")
 
 
 def first_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each group, that of its smallest doc_id (rows without an id stay; of repeated rows of the kept id one stays)."""
-    found = near_duplicates(docs.filter("doc_id is not null"), radius)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    """docs with one row of each group, that of its smallest doc_id (rows without an id stay). An id may name several texts, so the row is
+    told by its id and fingerprint, which is computed again rather than stored with the texts."""
+    named = docs.filter("doc_id is not null")
+    first = near_duplicates(named, radius).filter(F.col("doc_id") == F.col("component_id"))
+    first = first.groupBy("root").agg(F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp"))
+    rows = _marked(named)
+    kept = rows.join(first, (rows["id"] == first["kept_id"]) & (rows["fp"] == first["kept_fp"]), "left_semi").dropDuplicates(["id", "fp"])
+    return kept.select("row.*").unionByName(docs.filter("doc_id is null"))
