@@ -311,6 +311,14 @@ def test_a_layer_that_decodes_to_itself_ends():
     assert secrets.find_secrets("%25" * 50 + "41") == []
 
 
+def test_equal_encoded_lines_are_each_reported():
+    line = "password%3Dabcdefghijklm"
+    assert [x[1:3] for x in secrets.find_secrets(f"{line}\nclean\n{line}")] == [(0, 24), (31, 55)]
+    one, two = (base64.b64encode(f"{head}\n{line}".encode()).decode() for head in ("first", "second one"))
+    text = f"{one} and {two}"
+    assert [text[a:b] for _, a, b, _ in secrets.find_secrets(text)] == [one, two]
+
+
 # ---- decontamination ----
 
 

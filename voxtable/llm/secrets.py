@@ -2,7 +2,7 @@ r"""Secret scans with a recursive decoding worklist.
 
 A text is layer 0. Every layer is scanned for secrets, then searched for encoded parts: lines with URL or Unicode
 escapes, and base64 tokens, whose bytes may in turn be compressed, more than once. What they decode to goes on the worklist as a new
-layer, until no layer gives a new one (fixpoint); a digest of every layer seen breaks cycles. A finding in a decoded
+layer, until no layer gives a new one (fixpoint); a digest of every layer seen and its place breaks cycles. A finding in a decoded
 layer is mapped back to the code points of the text that it came from: exactly through escapes, to the whole token through base64.
 
 Base kinds, leftmost and non-overlapping per kind, on layer 0: assign, access, hex (see the patterns). Decoded layers add findings; base ones stay.
@@ -148,11 +148,11 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
             return origin if isinstance(origin, tuple) else (origin[a][0], origin[b - 1][1])
 
         for inner, start, spans, end in decoded(layer):
-            digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest() + (b"" if spans else b"%d:%d" % home(start, end))
+            whole = home(start, end)
+            digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest() + b"%d:%d" % whole
             if not inner or digest in seen:
                 continue
             seen.add(digest)
-            whole = home(start, end)
             where = whole if spans is None or isinstance(origin, tuple) else [home(start + a, start + b) for a, b in spans]
             for kind, a, b in scan(inner):
                 place = where if isinstance(where, tuple) else (where[a][0], where[b - 1][1])
