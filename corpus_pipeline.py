@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import decontam, mixing, quality, sharding, simhash
+from voxtable.llm import decontam, mixing, near_copies, quality, sharding
 from voxtable.llm.common import stored, table
 
 
@@ -15,7 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest doc_id."""
-    return simhash.first_documents(docs)
+    return near_copies.first_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

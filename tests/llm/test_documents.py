@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from voxtable.llm import decontam, mixing, quality, secrets, sharding, simhash, substrings, token_counts
+from voxtable.llm import decontam, mixing, near_copies, quality, secrets, sharding, simhash, substrings, token_counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, hits string, row string, text_md5 string"
 
@@ -200,6 +200,51 @@ def test_simhash_keeps_different_texts_under_one_id(spark):
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(5, b), (5, a), (9, "alone among the texts here")]
 
 
+def near_texts(seed=4):
+    """Prose with copies of which a word in so many is another, at five-word similarities from about 0.6 to 1."""
+    r = random.Random(seed)
+    prose = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    out = []
+    for n in range(60):
+        base = prose(r.randint(100, 400))
+        out.append(base)
+        for _ in range(2):
+            every = r.choice([30, 40, 50, 60, 80, 150])
+            out.append([w if r.randrange(every) else "other" for w in base])
+    return [" ".join(x) for x in out]
+
+
+def test_near_copies_match_brute_force(spark):
+    texts = near_texts()
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = list(range(len(sets)))
+    for _ in sets:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    kept = near_copies.first_documents(documents(spark, enumerate(texts)))
+    assert len(pairs) > 50 and sorted(r["doc_id"] for r in kept.collect()) == [i for i, k in enumerate(root) if i == k]
+
+
+def test_near_copies_without_an_id(spark):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "no two words alike in this one text")
+    docs = documents(spark, [(None, a), (5, a), (5, a), (5, b), (9, b), (None, b.upper()), (None, c), (None, c), (None, None), (None, "")]).withColumn("id", F.lit("clash"))
+    kept = near_copies.first_documents(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"] or "") for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (5, b), (None, c), (None, "")], key=str)
+    assert near_copies.first_documents(documents(spark, [])).count() == 0
+
+
+def test_the_pipeline_drops_near_copies_at_four_fifths(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(300)]
+    near = [w if i % 60 != 30 else "other" for i, w in enumerate(words)]  # 5 of 300 words: similarity about 0.84
+    docs = documents(spark, [(1, " ".join(words)), (2, " ".join(near)), (None, " ".join(words))])
+    assert [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [1]
+
+
 # ---- quality rules ----
 
 
