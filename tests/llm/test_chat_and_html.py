@@ -121,6 +121,21 @@ def test_content_is_found_without_an_article_tag(spark):
     assert all(got[(i, u)] == f"Head {i}\n\nBody text of page {i}, which is long enough to carry the page {i}." for i, u, _ in rows)
 
 
+def test_varying_text_beside_the_largest_slot_stays(spark):
+    body = "<p>Our site</p><div><h1>Title {n}</h1><div><p>Body text of page {n}, which is long enough to carry the page {n} alone.</p></div><div>Second column {n}</div></div>"
+    rows = [(k, f"https://{'tu'[k >= 5]}.example/{k}", page(k, body)) for k in range(40)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)] == f"Title {i}\n\nBody text of page {i}, which is long enough to carry the page {i} alone.\n\nSecond column {i}" for i, u, _ in rows)
+
+
+def test_a_reference_page_of_one_block_hides_no_others(spark):
+    parts = lambda k, n: "".join(f"<blockquote>Part {j} of page {k} in some words</blockquote>" for j in range(n))
+    sizes = [1 if k < 20 else 4 for k in range(40)]
+    rows = [(k, f"https://v{k % 8}.example/{k}", page(k, f"<div>{parts(k, sizes[k])}</div>")) for k in range(40)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)].split("\n\n") == [f"Part {j} of page {i} in some words" for j in range(sizes[i])] for i, u, _ in rows)
+
+
 def test_copies_are_not_taken_for_template(spark):
     rows = [(n, f"https://d.example/{n}", page(7)) for n in range(40)] + [(n, f"https://d.example/{n}", page(n)) for n in range(40, 60)]
     got = texts(spark, rows)

@@ -2,8 +2,9 @@ r"""HTML extraction by wrapper induction.
 
 Pages of a host share a wrapper. One page of each host (least hash) is its reference; every other page's DOM tree is aligned
 with the reference tree by simple tree matching. Votes over all pages of the host say for each reference node whether its text stays
-constant (template) or varies (a slot), and how much of it is link text. The slot that holds most of the host's varying text is the
-content; in it, nodes constant on nearly all pages are template (but for those of an article or main element), as are menus, headers, footers, sidebars, notices, adverts,
+constant (template) or varies (a slot), and how much of it is link text. An article or main
+element that holds most of the host's varying text is the content; else it is the whole page, so that titles, second columns and blocks that the reference page lacks stay.
+In it, nodes constant on nearly all pages are template (but for those of an article or main element; beside the slot with most of the varying text, few pages suffice), as are menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments by their tag, role, class or id. Copies of the reference page cast no vote, so that a text posted often isn't
 taken for template.
 
@@ -34,7 +35,7 @@ SMALL = 16 << 20
 CONSTANT, LEAST = 0.9, 10
 #: Elements nested deeper become siblings, as in browsers; no text is lost.
 DEPTH = 150
-#: The content is the deepest slot that holds this share of the host's varying text.
+#: The main slot is the deepest that holds this share of the host's varying text.
 MASS = 0.7
 
 # fixed values: HTML's element classes
@@ -151,8 +152,8 @@ def parsed(html: str) -> Node:
     return root
 
 
-def blocks(node: Node, constant: frozenset = frozenset()) -> list[str]:
-    """Texts of the blocks below a node, in page order."""
+def blocks(node: Node, constant: frozenset = frozenset(), mute: frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks below a node, in page order, but for constant nodes and the own text of mute ones."""
     out, buffer = [], []
 
     def flush() -> None:
@@ -165,7 +166,8 @@ def blocks(node: Node, constant: frozenset = frozenset()) -> list[str]:
     while work:
         for x in work[-1]:
             if type(x) is str:
-                buffer.append(x)
+                if id(open_[-1]) not in mute:
+                    buffer.append(x)
                 continue
             if not x.inline:
                 flush()
@@ -326,7 +328,7 @@ def joined(rows: DataFrame, by_host: DataFrame) -> DataFrame:
 
 
 class Wrapper:
-    """What the votes of a host say: the reference node of the content, and the constant nodes."""
+    """What the votes of a host say: the reference node of the content's main slot, whether that is an article, the constant nodes, and those beside the slot."""
 
     def __init__(self, tree: str, votes: list[dict] | None):
         self.ref = ref = Reference(json.loads(tree))
@@ -347,6 +349,11 @@ class Wrapper:
             self.content = best
             if ref.rows[best][1].startswith(("article.", "main.")):
                 break
+        self.article = ref.rows[self.content][1].startswith(("article.", "main."))
+        inside = [False] * n
+        for i in range(n):
+            inside[i] = i == self.content or (i > 0 and inside[ref.parent[i]])
+        self.beside = {i for i, v in told.items() if not inside[i] and v["same"] >= CONSTANT * v["pages"] and ref.rows[i][3]}
         self.constant = {i for i, v in told.items() if v["pages"] >= LEAST and v["same"] >= CONSTANT * v["pages"] and ref.rows[i][3]}
 
 
@@ -363,17 +370,20 @@ def _lone(root: Node, tag: str) -> Node | None:
 
 def extracted(html: str, wrapper: Wrapper | None) -> str:
     root = parsed(html)
-    content, constant = root, frozenset()
+    content, constant, mute = root, frozenset(), frozenset()
     if wrapper:
         pairs = aligned(root, wrapper.ref)
-        content = next((n for n, i in pairs if i == wrapper.content), root)
+        if wrapper.article:
+            content = next((n for n, i in pairs if i == wrapper.content), root)
+        same = [(n, i) for n, i in pairs if n.text == wrapper.ref.rows[i][2]]
         # a node is left out with its own text only if nothing in it varies
-        constant = frozenset(id(n) for n, i in pairs if i in wrapper.constant and n.text == wrapper.ref.rows[i][2] and not n.kids)
+        constant = frozenset(id(n) for n, i in same if i in wrapper.constant and not n.kids)
+        mute = frozenset(id(n) for n, i in same if i in wrapper.beside)
     if content.tag not in ("article", "main"):
         content = _lone(content, "article") or _lone(content, "main") or content
     if content.tag in ("article", "main"):  # the page itself says that this is the article: a line that all of a host's articles hold is theirs
-        constant = frozenset()
-    return "\n\n".join(blocks(content, constant) or (blocks(root) if content is not root else []))
+        constant = mute = frozenset()
+    return "\n\n".join(blocks(content, constant, mute) or (blocks(root) if content is not root or wrapper and wrapper.content else []))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
