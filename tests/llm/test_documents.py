@@ -364,6 +364,31 @@ def test_equal_encoded_lines_are_each_reported():
     assert [text[a:b] for _, a, b, _ in secrets.find_secrets(text)] == [one, two]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, zlib.compress])
+def test_all_members_of_compressed_data_are_read(pack):
+    hidden = base64.b64encode(pack(b"clean words\n") + pack(b"more\n") + pack(KEY.encode())).decode()
+    assert [x[:3] for x in secrets.find_secrets(f"see {hidden} there")] == [("assign", 4, 4 + len(hidden))]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress])
+def test_layers_of_any_size_are_read(pack):
+    hidden = base64.b64encode(pack(b"clean words, line\n" * 4_000_000 + KEY.encode())).decode()  # 72 MB
+    assert ("assign", 0, len(hidden)) in [x[:3] for x in secrets.find_secrets(hidden)]
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_base64_is_joined(width, end):
+    r = random.Random(3)
+    noise = "".join(chr(r.randrange(97, 123)) if r.random() < 0.8 else " " for _ in range(400))
+    for data in (gzip.compress(f"{noise} {KEY}".encode()), f"{noise[:40]} {KEY} {noise[:90]}".encode()):
+        whole = base64.b64encode(data).decode()
+        hidden = end.join(whole[i : i + width] for i in range(0, len(whole), width))
+        text = f"-----BEGIN MESSAGE-----{end}{hidden}{end}-----END MESSAGE-----{end}"
+        start = text.index(hidden)
+        assert ("assign", start, start + len(hidden)) in [x[:3] for x in secrets.find_secrets(text)]
+
+
 # ---- decontamination ----
 
 

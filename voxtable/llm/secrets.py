@@ -7,8 +7,8 @@ layer is mapped back to the code points of the text that it came from: exactly t
 
 Base kinds, leftmost and non-overlapping per kind, on layer 0: assign, access, hex (see the patterns). Decoded layers add findings; base ones stay.
 
-Defined cases: null and empty texts have no findings; an undecodable or unprintable part is no layer; a decompressed layer is read up to
-MAX_LAYER bytes, and beyond that is left out as a whole; repeated rows are scanned each; an empty table gives an empty result; extra columns are not read.
+Defined cases: null and empty texts have no findings; an undecodable or unprintable part is no layer; a decompressed layer of any size is
+read whole, all members of it, in pieces that end with a line; base64 wrapped over lines is tried joined, too; repeated rows are scanned each; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import re
 import zlib
@@ -27,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER = 64 << 20
+#: Bytes inflated at a time, and characters from which an inflated layer is scanned in pieces; both bound memory, not what is read.
+_CHUNK, PIECE = 1 << 20, 16 << 20
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 # a greedy run that is too short holds no longer one, so the lengths can stand in the patterns of these two
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -37,6 +39,11 @@ _ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _CODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_PART = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Base64 characters up to a line's end, and the lines of them that follow.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[\t\x20]*[A-Za-z0-9+/_-]++)+={0,2}")
+#: A line after which no wrapped base64 goes on.
+_ENDS = re.compile(r"^\s*$|\S[^A-Za-z0-9+/_-]+[A-Za-z0-9+/_-]{0,15}\r?$")
 _URLSAFE = str.maketrans("-_", "+/")
 #: Code points that a decoded layer doesn't hold.
 _UNPRINTABLE = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\x9F�]")
@@ -63,28 +70,92 @@ def _printable(data: bytes) -> str | None:
     return None if not text or _UNPRINTABLE.search(text) else text
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """The content of gzip, zlib or bzip2 data; None for other data, or beyond MAX_LAYER."""
-    try:
-        packed = zlib.decompressobj(47) if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" else bz2.BZ2Decompressor() if data[:3] == b"BZh" else None
-        if packed:
-            content = packed.decompress(data, MAX_LAYER)
-            return content if packed.eof else None
-    except (zlib.error, OSError, ValueError, EOFError):
-        pass
-    return None
-
-
-def _text_of(data: bytes) -> str | None:
-    """The printable text in data, through any number of compressions; data met before ends the search."""
-    seen = set()
-    while (text := _printable(data)) is None:
-        digest = hashlib.sha256(data).digest()
-        if digest in seen or (inner := _inflated(data)) is None:
-            return None
-        seen.add(digest)
-        data = inner
-    return text
+def _packer(data: bytes):
+    """A decompressor for gzip, zlib or bzip2 data; None for other data."""
+    return zlib.decompressobj(47) if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" else bz2.BZ2Decompressor() if data[:3] == b"BZh" else None
+
+
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The content of all members of compressed data, a chunk at a time; what follows the last whole member is left out, unless it is a member cut short."""
+    packed, rest, whole = None, b"", 0
+    for chunk in chunks:
+        rest += chunk
+        try:
+            while rest:
+                if packed is None:
+                    if len(rest) < 3:
+                        break
+                    if (packed := _packer(rest)) is None:
+                        if whole:
+                            return
+                        raise ValueError("not compressed")
+                if out := packed.decompress(rest, _CHUNK):
+                    yield out
+                while not packed.eof and (len(out) == _CHUNK or getattr(packed, "unconsumed_tail", b"")):
+                    if not (out := packed.decompress(getattr(packed, "unconsumed_tail", b""), _CHUNK)):
+                        break
+                    yield out
+                rest = b""
+                if packed.eof:
+                    packed, rest, whole = None, packed.unused_data, whole + 1
+        except (zlib.error, OSError):
+            if whole:
+                return
+            raise
+    if not whole:
+        raise EOFError
+
+
+def _opened(data: bytes, depth: int) -> Iterator[bytes]:
+    chunks = iter((data,))
+    for _ in range(depth):
+        chunks = _inflated(chunks)
+    return chunks
+
+
+def _texts_of(data: bytes) -> Iterator[str]:
+    """The printable text in data, through any number of compressions, in pieces that end with a line; data met before ends the search.
+    Compressed data is read once to see whether all of it is printable, and again for its pieces."""
+    if (text := _printable(data)) is not None:
+        yield text
+        return
+    seen, depth = {hashlib.sha256(data).digest()}, 1
+    while True:
+        digest, decoder, plain = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), True
+        try:
+            for chunk in _opened(data, depth):
+                digest.update(chunk)
+                if plain:
+                    try:
+                        plain = not _UNPRINTABLE.search(decoder.decode(chunk))
+                    except UnicodeDecodeError:
+                        plain = False
+        except (zlib.error, OSError, ValueError, EOFError):
+            return
+        if plain:
+            break
+        if digest.digest() in seen:
+            return
+        seen.add(digest.digest())
+        depth += 1
+    decoder, text, read = codecs.getincrementaldecoder("utf-8")(), "", 0
+    for chunk in _opened(data, depth):
+        text += decoder.decode(chunk)
+        if len(text) >= PIECE and (end := _cut(text, read)):
+            yield text[:end]
+            text = text[end:]
+        read = len(text)
+    if text:
+        yield text
+
+
+def _cut(text: str, since: int) -> int:
+    """The last place after since where a text can be cut without parting a line or wrapped base64; 0 if there is none."""
+    at = len(text)
+    while (at := text.rfind("\n", since, at)) >= 0:
+        if _ENDS.search(text[text.rfind("\n", 0, at) + 1 : at]):
+            return at + 1
+    return 0
 
 
 def _code_run(m: re.Match) -> str:
@@ -112,6 +183,33 @@ def _unescaped(line: str) -> tuple[str, Spans]:
     return "".join(text), spans
 
 
+def _data(token: str) -> bytes | None:
+    body = token.rstrip("=").translate(_URLSAFE)
+    if len(body) % 4 == 1:
+        return None
+    try:
+        return base64.b64decode(body + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return None
+
+
+def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Base64 that is wrapped: the places of lines of one width, with a first of any width before and a shorter one after them."""
+    for m in _WRAPPED.finditer(text):
+        run: list[tuple[int, int]] = []
+        for x in _PART.finditer(text, m.start(), m.end()):
+            size, last = x.end() - x.start(), run[-1][1] - run[-1][0] if run else 0
+            if len(run) > 1 and size > last:
+                yield run
+                run = []
+            run.append(x.span())
+            if len(run) > 2 and size < last:
+                yield run
+                run = []
+        if len(run) > 1:
+            yield run
+
+
 def decoded(text: str) -> Iterator[tuple[str, int, Spans | None, int]]:
     """Layers one step below a text: (layer, start, character spans relative to start or None for the whole part, end)."""
     last = -1
@@ -123,41 +221,49 @@ def decoded(text: str) -> Iterator[tuple[str, int, Spans | None, int]]:
         layer, spans = _unescaped(text[start:last])
         yield layer, start, spans, last
     for m in _TOKEN.finditer(text):
-        body = m[0].rstrip("=").translate(_URLSAFE)
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        if (layer := _text_of(data)) is not None:
-            yield layer, m.start(), None, m.end()
+        if (data := _data(m[0])) is not None:
+            for layer in _texts_of(data):
+                yield layer, m.start(), None, m.end()
+    for run in _runs(text):
+        # the first and the last line may be words that are no part of it
+        for lines in (run, run[1:], run[:-1], run[1:-1]):
+            data = _data("".join(text[a:b] for a, b in lines)) if len(lines) > 1 else None
+            some = False
+            for layer in _texts_of(data) if data else ():
+                some = True
+                yield layer, lines[0][0], None, lines[-1][1]
+            if some:
+                break
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, depth) in the code points of the text, by start, then kind; depth 0 is the base, others came out of so many decodings."""
     found: dict[tuple[str, int, int], int] = {x: 0 for x in scan(text)}
     seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
-    work: list[tuple[str, Spans | tuple[int, int] | None, int]] = [(text, None, 0)]
+    # layers being read, outermost first: only these are held, however much a part decodes to
+    work: list[tuple[Iterator, Spans | tuple[int, int] | None, int]] = [(decoded(text), None, 0)]
     while work:
-        layer, origin, depth = work.pop()
+        inners, origin, depth = work[-1]
+        if (step := next(inners, None)) is None:
+            work.pop()
+            continue
 
         def home(a: int, b: int, origin=origin) -> tuple[int, int]:
             if origin is None:
                 return a, b
             return origin if isinstance(origin, tuple) else (origin[a][0], origin[b - 1][1])
 
-        for inner, start, spans, end in decoded(layer):
-            whole = home(start, end)
-            digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest() + b"%d:%d" % whole
-            if not inner or digest in seen:
-                continue
-            seen.add(digest)
-            where = whole if spans is None or isinstance(origin, tuple) else [home(start + a, start + b) for a, b in spans]
-            for kind, a, b in scan(inner):
-                place = where if isinstance(where, tuple) else (where[a][0], where[b - 1][1])
-                found.setdefault((kind, *place), depth + 1)
-            work.append((inner, where, depth + 1))
+        inner, start, spans, end = step
+        whole = home(start, end)
+        digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest() + b"%d:%d" % whole
+        if not inner or digest in seen:
+            continue
+        seen.add(digest)
+        where = whole if spans is None or isinstance(origin, tuple) else [home(start + a, start + b) for a, b in spans]
+        for kind, a, b in scan(inner):
+            place = (kind, *(where if isinstance(where, tuple) else (where[a][0], where[b - 1][1])))
+            found[place] = min(found.get(place, depth + 1), depth + 1)
+        work.append((decoded(inner), where, depth + 1))
     return [(*k, d) for k, d in sorted(found.items(), key=lambda x: (x[0][1], KINDS.index(x[0][0]), x[0][2]))]
 
 
