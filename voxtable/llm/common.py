@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -17,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where it is unset, a local session gets a folder of its own; on a cluster that would be lost with an executor, so it is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/voxtable-checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="voxtable-"))
     return context.getCheckpointDir()
 
 
@@ -37,6 +41,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, row_bytes: int = 64, counted: DataFrame | None = None, most: int = 16 << 20) -> DataFrame:
+    """df, marked for broadcast if its rows (or those of counted, which make it up) are no more than ``most`` bytes; a larger one is shuffled."""
+    return F.broadcast(df) if (df if counted is None else counted).count() * row_bytes <= most else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

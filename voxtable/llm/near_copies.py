@@ -1,11 +1,15 @@
-r"""Near-dedup on word shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked, groups are
+r"""SimHash near-dedup at a wide radius: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked, groups are
 the connected components, and one document of each stays.
 
-Equal sets are one node. Candidates are met by MinHash: BANDS bands of ROWS minima each; nodes that agree on a band are a bucket, and a pair at similarity s
-shares one with probability 1 - (1 - s^ROWS)^BANDS (0.9996 at 0.8, more above). First every node of a bucket is compared, exactly and whole, with its least node.
-In a bucket that then still holds nodes of several components, those of the smallest components (4, 32, 256 ... of them a round) are compared with all nodes
-of the others and leave it, until one component is left: nodes that links already connect are never compared, and no bucket is capped.
-So a group takes about as many comparisons as it has nodes; only a bucket of many nodes that aren't similar takes more.
+At that similarity two SimHashes differ in some 15 % of their bits, so no run of bits that could shard a large corpus is equal. Hence fingerprints have BITS bits here, and
+the shards are MinHash bands: BANDS bands of ROWS minima each; a pair at similarity s shares one with probability
+1 - (1 - s^ROWS)^BANDS (0.9996 at 0.8, more above). As in ``simhash``, a shard's fingerprints form a BK-tree (children keyed by their Hamming distance to the
+parent, edges followed within RADIUS only), and equal sets are one node. RADIUS lies two deviations above the distance expected at 0.8.
+
+What a tree finds are candidates. Of a shard's candidates the shortest spanning forest is compared exactly, on whole texts; since all shards order
+pairs alike, their forests mostly agree. Shards in which a comparison failed are searched again, without the failed pairs and with what is linked
+by then as one, for the forest and each node's nearest 64, 4096 ... partners outside of its component, until nothing fails: no pair within the radius is left undecided, nodes that links
+connect already are never compared, and no shard is capped. A shard over SHARD nodes is dealt out over several trees.
 
 Defined cases: words are what bytes between the six ASCII spaces are, ASCII letters folded; a text under five words is one shingle; null, empty and wordless texts
 are copies of each other; a row without an id takes part like any other and stays only if its group has no id at all; an id may name several
@@ -20,21 +24,24 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, utf8
-from .simhash import _LOWER, SEED, components
+from .common import cut, partitions, small, stored, utf8
+from .simhash import _LOWER, SEED, BKTree, components
 
 SHINGLE = 5
 SIMILARITY = 0.8
+BITS, RADIUS = 512, 94
 BANDS, ROWS = 20, 5
+#: Fingerprints in one tree at most.
+SHARD = 1000
 #: Shingles that are put through all permutations at a time, and texts whose shingles a task holds.
 _PIECE, _CACHED = 1 << 9, 64
 _RANDOM = np.random.default_rng(SEED)
 _TIMES = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64, endpoint=False) | np.uint64(1)
 _PLUS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64, endpoint=False)
+_LANES = _RANDOM.integers(0, 1 << 64, BITS // 64, np.uint64, endpoint=False)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -70,6 +77,15 @@ def bands(found: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def fingerprint(found: np.ndarray) -> bytes:
+    """BITS bits, each set if over half of the shingles have it."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(found), _PIECE):
+        lanes = _mixed(found[at : at + _PIECE, None] ^ _LANES)
+        counts += np.unpackbits(lanes.view(np.uint8), axis=1).sum(0, dtype=np.uint16)
+    return np.packbits(2 * counts > len(found)).tobytes()
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     if min(len(a), len(b)) < similarity * max(len(a), len(b)):
         return False
@@ -80,12 +96,13 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 def _signed(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, met = [], []
+            nodes, met, fps = [], [], []
             for text in utf8(b.column(2)):
                 found = shingles(text, shingle)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
                 met.append(bands(found))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.uint64()).view(pa.int64()), pa.array(met, pa.list_(pa.int64()))], ["id", "text_hash", "node", "bands"])
+                fps.append(fingerprint(found))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.uint64()).view(pa.int64()), pa.array(met, pa.list_(pa.int64())), pa.array(fps, pa.binary())], ["id", "digest", "node", "bands", "fp"])
 
     return run
 
@@ -100,50 +117,143 @@ def _compared(shingle: int, similarity: float):
     return run
 
 
+def candidates(nodes: list[int], roots: list[int], fps: list[bytes], tried: list[list[int]], query: list[bool], nearest: int, radius: int = RADIUS) -> set[tuple[int, int]]:
+    """Of the pairs of a tree within the radius that were not tried and are of different components: the shortest spanning forest, and each node's ``nearest`` ones."""
+    values, failed = [int.from_bytes(x) for x in fps], [set(x) for x in tried]
+    tree, place, pairs = BKTree(), [], []
+    for i in sorted(range(len(nodes)), key=query.__getitem__):
+        for at in tree.within(values[i], radius):
+            j = place[at]
+            if roots[i] != roots[j] and nodes[j] not in failed[i] and nodes[i] not in failed[j]:
+                # distance, then an order of the pairs that all shards share, then the places: one number, so that many fit
+                pairs.append((values[i] ^ values[j]).bit_count() << 64 | ((nodes[i] ^ nodes[j]) & 0xFFFFFFFF) << 32 | i << 16 | j)
+        if not query[i]:
+            tree.add(values[i])
+            place.append(i)
+    parent = {r: r for r in roots}
+
+    def root(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    out, count = set(), [0] * len(nodes)
+    pairs.sort()
+    for pair in pairs:
+        i, j = pair >> 16 & 0xFFFF, pair & 0xFFFF
+        x, y = root(roots[i]), root(roots[j])
+        if x != y or min(count[i], count[j]) < nearest:
+            out.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+            count[i], count[j] = count[i] + 1, count[j] + 1
+            parent[x] = y
+    return out
+
+
+def _searched(nearest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (shard, bucket, node, root, fp, tried, query) sorted by shard; a shard may run on into the next batch."""
+        open_: list[list] = []
+
+        def of(rows: list[list]) -> Iterator[tuple[int, int, int]]:
+            if len(rows) > 1:
+                _, bucket, *columns = map(list, zip(*rows, strict=True))
+                for a, b in candidates(*columns, nearest):
+                    yield bucket[0], a, b
+
+        def told(found: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["bucket", "a", "b"])
+
+        for batch in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if open_ and open_[0][0] != row[0]:
+                    found += of(open_)
+                    open_ = []
+                open_.append(row)
+            yield told(found)
+        yield told(list(of(open_)))
+
+    return run
+
+
+def proposed(members: DataFrame, nearest: int, shard: int = SHARD) -> DataFrame:
+    """bucket, a, b: what the trees of the buckets propose. members: bucket, node, root, fp, tried."""
+    large = members.groupBy("bucket").agg(F.ceil(F.count("*") / shard).cast("int").alias("n")).filter("n > 1").withColumnRenamed("bucket", "of")
+    rows = members.join(large, members["bucket"] == large["of"], "left")
+    # chunk i's tree is searched by the chunks after it
+    mine = F.pmod(F.xxhash64("node", F.lit(7)), F.coalesce("n", F.lit(1))).cast("int")
+    rows = rows.withColumn("mine", mine).withColumn("tree", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)))
+    split = F.xxhash64("bucket", F.least("mine", "tree"), F.greatest("mine", "tree"))
+    rows = rows.select(split.alias("shard"), "bucket", "node", "root", "fp", "tried", (F.col("mine") > F.col("tree")).alias("query"))
+    rows = rows.repartition(partitions(members.sparkSession), "shard").sortWithinPartitions("shard")
+    return rows.mapInArrow(_searched(nearest), "bucket long, a long, b long")
+
+
 def labels(rows: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """node, root: the component of every node that is similar to another. rows: node, bands and text_hash of docs. Only texts that are compared travel with their pairs."""
-    met = cut(rows.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket")).distinct())
-    shown = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").groupBy("text_hash").agg(F.first("text").alias("text"))
+    """node, root: the component of every node that is similar to another. rows: node, bands, fp and digest of docs. Only texts that are compared travel with their pairs."""
+    dealt = rows.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
+    shared = dealt.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select(F.col("bucket").alias("of"))
+    met = dealt.join(shared, dealt["bucket"] == shared["of"]).select("bucket", "node").distinct()
+    shown = rows.groupBy("node").agg(F.min(F.struct("digest", "fp")).alias("shown")).select(F.col("node").alias("n"), "shown.*")
+    met = cut(met.join(shown, met["node"] == shown["n"]).select("bucket", "node", F.col("node").alias("root"), "digest", "fp", F.array().cast("array<long>").alias("tried")))
+    texts = docs.select(digest(F.col("text")).alias("of"), "text")
 
     def told(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(shown, "node")
-        ends = cut(texts.join(ends, "text_hash").select("node", "text"))
-        both = pairs.join(ends.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").join(ends.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+        ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(met.select("node", "digest").distinct(), "node"))
+        known = texts.join(small(ends.select(F.col("digest").alias("want"))), F.col("of") == F.col("want"), "left_semi").groupBy("of").agg(F.first("text").alias("text"))
+        known = cut(known.join(ends, known["of"] == ends["digest"]).select("node", "text"))
+        both = pairs.join(known.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").join(known.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
         return cut(both.select("a", "b", "a_text", "b_text").mapInArrow(_compared(shingle, similarity), "a long, b long, alike boolean"))
 
-    lead = met.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = cut(met.join(lead, "bucket").filter("node <> leader"))
-    done = told(cut(met.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()))
-    met, probes = met.select("bucket", "node"), 4
+    # node, root of all that is linked so far
+    root = cut(met.select("node", "root").filter("false"))
+    now, failed, nearest = met.select("bucket", "node", "root", "fp", "tried"), None, 0
     while True:
-        root = components(done.filter("alike").select("a", "b"))
-        now = cut(met.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
-        parts = now.groupBy("bucket", "root").count().withColumn("n", F.count("*").over(W.partitionBy("bucket"))).filter("n > 1")
-        parts = parts.withColumn("k", F.row_number().over(W.partitionBy("bucket").orderBy("count", "root")))
-        now = cut(now.join(parts.select("bucket", "root", "n", "k"), ["bucket", "root"]).withColumn("probe", F.col("k") <= F.least(F.col("n") - 1, F.lit(probes))))
-        one, two = now.filter("probe").select("bucket", F.col("node").alias("x"), F.col("k").alias("kx")), now.select("bucket", F.col("node").alias("y"), F.col("k").alias("ky"))
-        if now.isEmpty():
+        found = cut(proposed(now, nearest))
+        pairs = cut(found.select("a", "b").distinct())
+        if pairs.isEmpty():
             return root
-        pairs = one.join(two, "bucket").filter("kx < ky").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"))
-        done = done if pairs.isEmpty() else done.unionByName(told(pairs))
-        met, probes = now.filter("not probe").select("bucket", "node"), 8 * probes
+        new = told(pairs)
+        root = merged(root, new.filter("alike").select("a", "b"))
+        lost = new.filter("not alike").select("a", "b")
+        again = found.join(lost, ["a", "b"], "left_semi").select(F.col("bucket").alias("of")).distinct()
+        failed = lost if failed is None else failed.unionByName(lost)
+        tried = failed.groupBy("a").agg(F.collect_list("b").alias("tried"))
+        now = now.select("bucket", "node", "fp").join(again, F.col("bucket") == F.col("of"), "left_semi")
+        now = now.join(root, "node", "left").join(tried, F.col("node") == F.col("a"), "left")
+        now = cut(now.select("bucket", "node", F.coalesce("root", "node").alias("root"), "fp", F.coalesce("tried", F.array().cast("array<long>")).alias("tried")))
+        nearest = 64 * max(1, nearest)
+
+
+def merged(root: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root after further links: these are taken between the components known so far."""
+    of = lambda side: root.select(F.col("node").alias(f"{side}_node"), F.col("root").alias(f"{side}_root"))
+    between = links.join(of("a"), F.col("a") == F.col("a_node"), "left").join(of("b"), F.col("b") == F.col("b_node"), "left")
+    between = between.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    new = components(between).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    return cut(root.select("node", "root").join(new, F.col("root") == F.col("old"), "full").select(F.coalesce("node", "old").alias("node"), F.coalesce("new", "root").alias("root")))
+
+
+def digest(text: Column) -> Column:
+    """128 bits that tell texts apart; null and empty are one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """id, text_hash and root (a node that names the group) of every row."""
+    """id, digest (of the text) and root (a node that names the group) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = cut(rows.mapInArrow(_signed(shingle), f"id {kind}, text_hash long, node long, bands array<long>"))
+    rows = docs.select(F.col("doc_id").alias("id"), digest(F.col("text")).alias("digest"), "text")
+    rows = stored(rows.mapInArrow(_signed(shingle), f"id {kind}, digest binary, node long, bands array<long>, fp binary"))
     root = labels(rows, docs, shingle, similarity).withColumnRenamed("node", "n")
-    return rows.join(root, rows["node"] == root["n"], "left").select("id", "text_hash", F.coalesce("root", "node").alias("root"))
+    return rows.join(root, rows["node"] == root["n"], "left").select("id", "digest", F.coalesce("root", "node").alias("root"))
 
 
 def first_documents(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one row of each group, that of its smallest doc_id. An id may name several texts, so the row is told by its id and text."""
-    first = grouped(docs, shingle, similarity).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")).alias("kept"))
-    first = first.select(F.col("kept.id").alias("kept_id"), F.col("kept.text_hash").alias("kept_hash"))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
-    kept = rows.join(first, rows["id"].eqNullSafe(first["kept_id"]) & (rows["text_hash"] == first["kept_hash"]), "left_semi")
-    return kept.dropDuplicates(["id", "text_hash"]).select("row.*")
+    first = grouped(docs, shingle, similarity).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest")).alias("kept"))
+    named = lambda id_: F.coalesce(F.concat(F.lit("i"), id_.cast("string")), F.lit("-"))
+    told = lambda id_, text: F.unhex(F.md5(F.concat(named(id_).cast("binary"), text)))
+    first = first.select(told(F.col("kept.id"), F.col("kept.digest")).alias("kept_key"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), told(F.col("doc_id"), digest(F.col("text"))).alias("key"))
+    kept = rows.join(first, rows["key"] == first["kept_key"], "left_semi")
+    return kept.dropDuplicates(["key"]).select("row.*")
