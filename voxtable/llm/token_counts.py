@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import cut
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Split pattern that belongs to this vocabulary (a fixed value, public).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -54,9 +56,9 @@ def suffix_sums(hist: DataFrame, span: int = SPAN) -> DataFrame:
     """For every length in the histogram, taken as a context limit: n_docs, docs_from (at least so long), tokens_from, tokens_cut
     (all documents cut at the limit), docs_to (at most so long) and share_to.
 
-    Sums run inside buckets of ``span`` lengths and over the bucket totals, so no task sorts all lengths.
+    Sums run inside buckets of ``span`` lengths and over the bucket totals, so no task sorts all lengths. The histogram is kept, so texts are encoded once.
     """
-    rows = hist.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("bucket", F.floor(F.col("n_tokens") / span))
+    rows = cut(hist).withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("bucket", F.floor(F.col("n_tokens") / span))
     totals = rows.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     above, all_ = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
     after = totals.select("bucket", F.coalesce(F.sum("d").over(above), F.lit(0)).alias("d_after"), F.coalesce(F.sum("t").over(above), F.lit(0)).alias("t_after"), F.sum("d").over(all_).alias("d_all"), F.sum("t").over(all_).alias("t_all"))
@@ -65,8 +67,8 @@ def suffix_sums(hist: DataFrame, span: int = SPAN) -> DataFrame:
     docs_from, tokens_from = F.col("d_own") + F.col("d_after"), F.col("t_own") + F.col("t_after")
     out = own.select("n_tokens", "n_docs", docs_from.alias("docs_from"), tokens_from.alias("tokens_from"), "d_all", "t_all")
     docs_to = F.col("d_all") - F.col("docs_from") + F.col("n_docs")
-    cut = F.col("t_all") - F.col("tokens_from") + F.col("n_tokens") * F.col("docs_from")
-    return out.select("n_tokens", "n_docs", "docs_from", "tokens_from", cut.alias("tokens_cut"), docs_to.alias("docs_to"), (docs_to / F.col("d_all")).alias("share_to"))
+    kept = F.col("t_all") - F.col("tokens_from") + F.col("n_tokens") * F.col("docs_from")
+    return out.select("n_tokens", "n_docs", "docs_from", "tokens_from", kept.alias("tokens_cut"), docs_to.alias("docs_to"), (docs_to / F.col("d_all")).alias("share_to"))
 
 
 def answers(hist: DataFrame, limits: list[int], quantiles: list[float]) -> DataFrame:
