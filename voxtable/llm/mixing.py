@@ -1,7 +1,7 @@
 """Mixing sources to target weights.
 
-Every row gets a hash-random key. Rows are ordered by key within their source; exclusive prefix sums of the token
-counts, taken in equal ranges of the key and added up over the ranges, say where each row starts on its source's
+Every row gets a hash-random key. Rows are range-sorted by key within their source; exclusive prefix sums of the token
+counts, taken in the ranges and added up over them, say where each row starts on its source's
 tape, and the tape is cut at the source's exact budget. A budget beyond the source's size first repeats whole epochs.
 
 Defined cases: a null source is a source of its own, last in order; a null or wordless text has size 0 and takes 0; repeated rows
@@ -15,14 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, word_count
+from .common import cut, stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 20
-#: Rows of one key range that one task sorts; ranges are as many as a source's rows need.
-RANGE_ROWS = 2_000
 
 
 def random_key(doc_id: Column, seed: int) -> Column:
@@ -62,41 +60,45 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     return open_.select("source", "size", target.alias("target"))
 
 
-def starts(rows: DataFrame, counts: DataFrame, order: list[Column]) -> DataFrame:
-    """rows with source, key, size -> with start, the exclusive prefix sum of size in the source.
+def starts(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """rows with source, size and the columns of order, which tell all rows apart -> with start, the exclusive prefix sum of size in the source.
 
-    A source with n rows has ceil(n / RANGE_ROWS) equal ranges of the key: keys are uniform, so ranges are even whatever a source holds.
+    Rows are range-partitioned by source and order, so a task's share is even whatever a source, a key or an id holds; a partition sends one sum a source.
     """
-    ranges = F.ceil(F.col("n_rows") / RANGE_ROWS)
-    spread = rows.join(counts, rows["source"].eqNullSafe(counts["of"]), "left").drop("of")
-    spread = spread.withColumn("part", F.floor((F.shiftright("key", 30) / F.lit(2.0**30)) * ranges))
+    spread = rows.repartitionByRange("source", *order).withColumn("part", F.spark_partition_id())
+    spread = cut(spread)  # range bounds come from a sample: partition numbers must not be computed twice
     sums = spread.groupBy("source", "part").agg(F.sum("size").alias("in_part"))
     ahead = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("in_part").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     own = F.coalesce(F.sum("size").over(W.partitionBy("source", "part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     local = spread.withColumn("own", own)
     joined = local.join(ahead, local["source"].eqNullSafe(ahead["s"]) & (local["part"] == ahead["p"]))
-    return joined.withColumn("start", F.col("ahead") + F.col("own")).drop("s", "p", "ahead", "own", "part", "n_rows")
+    return joined.withColumn("start", F.col("ahead") + F.col("own")).drop("s", "p", "ahead", "own", "part")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs (whole repeats) and rest (words of the row's last, possibly cut, copy)."""
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed).alias("key"))
-    by_source = cut(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_rows")))
-    goal = targets(by_source.select("source", "size"), weights, share, most)
+def planned(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """rows (doc_id, source, size, key and row, a number that tells rows apart) with source_size, target, epochs and rest."""
+    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("size")), weights, share, most)
     goal = goal.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target")
-    laid = starts(rows, by_source.select(F.col("source").alias("of"), "n_rows"), [F.col("key"), F.col("doc_id"), F.col("size")])
+    laid = starts(rows, ("key", "doc_id", "size", "row"))
     laid = laid.join(goal, laid["source"].eqNullSafe(goal["s"])).drop("s")
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long")
     laid = laid.withColumn("epochs", epochs).withColumn("over", budget - epochs * F.col("source_size") - F.col("start"))
-    return laid.withColumn("rest", F.greatest(F.lit(0), F.least("size", "over")).cast("long")).select("doc_id", "source", "size", "source_size", "target", "epochs", "rest")
+    return laid.withColumn("rest", F.greatest(F.lit(0), F.least("size", "over")).cast("long")).drop("over", "start", "key")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs (whole repeats) and rest (words of the row's last, possibly cut, copy). Texts are read once."""
+    rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed).alias("key"), F.monotonically_increasing_id().alias("row")))
+    return planned(rows, weights, share, most).select("doc_id", "source", "size", "source_size", "target", "epochs", "rest")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """docs with each row as often as the mix takes it, whole: the copy on the cut stays if at least half of its words lie inside."""
-    plan = mix(docs, **options)
+    numbered = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("held"), F.monotonically_increasing_id().alias("row"))
+    numbered = stored(numbered.select("held", "row", word_count(F.col("held.text")).alias("size"), random_key(F.col("held.doc_id"), seed).alias("key")))
+    plan = planned(numbered.select("held.doc_id", "held.source", "size", "key", "row"), weights, share, most)
     times = (F.col("epochs") + F.when((F.col("rest") > 0) & (2 * F.col("rest") >= F.col("size")), 1).otherwise(0)).cast("int")
-    # equal ids are equal keys: the most any row of the id is taken goes for all of them
-    copies = plan.groupBy(F.col("doc_id").alias("mix_id")).agg(F.max(times).alias("mix_times")).filter("mix_times > 0")
-    kept = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mix_id"]))
-    return kept.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select([docs[c] for c in docs.columns])
+    copies = plan.select("row", times.alias("times")).filter("times > 0")
+    kept = numbered.select("held", "row").join(copies, "row")
+    return kept.select("held", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("held.*")
