@@ -1,8 +1,8 @@
 """Sharding by extendible hashing.
 
 A row's place is a 60-bit hash of its id. The directory is indexed by hash-prefix bits; a bucket within its byte limit is a
-shard, and only oversized buckets split, each on the next bit, until every shard fits. Bucket sizes come from one histogram
-of the prefixes (pre-aggregated, thin rows); each round looks at the buckets that are still too large.
+shard, and only oversized buckets split, each on the next bit, until every shard fits. Rows are thin, stored once and pre-aggregated by place; each
+round looks at the buckets that are still too large.
 
 Defined cases: a null text has 0 bytes; a null id hashes as the empty string; rows of one id stay together, as do ids
 of one 60-bit hash, so a shard of one such id may exceed the limit and says so (oversize); an empty table gives an empty result.
@@ -10,15 +10,16 @@ of one 60-bit hash, so a shard of one such id may exceed the limit and says so (
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small, stored
 
 #: Bytes of text in a shard at most.
 LIMIT = 1 << 20
 BITS = 60
-STEP = 8
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -34,48 +35,58 @@ def prefix(place, depth):
 def directory(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     """One row a shard: depth, prefix, shard_bytes, oversize. rows: place, n_bytes.
 
-    The histogram has STEP bits more than even shards would need; the rare bucket that is too large at that depth is counted again from its rows
-    alone with STEP more bits, until it fits or its bits end.
+    The directory starts at the depth at which even buckets would fit. Siblings that fit together are joined, a level at a time, until none do; buckets over
+    the limit split on another bit, a level at a time, and only their own rows are looked at again.
     """
-    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    top = min(BITS, max(STEP, (max(1, total // limit)).bit_length() + STEP))
-    shards, low = None, 0
-    while True:
-        fine = rows.groupBy(prefix(F.col("place"), F.lit(top)).alias("p")).agg(F.sum("n_bytes").alias("b"))
-        # every prefix of every depth in [low, top] with its bytes, from the finest up
-        levels = fine.select(F.explode(F.sequence(F.lit(low), F.lit(top))).alias("depth"), "p", "b")
-        levels = levels.groupBy("depth", F.call_function("shiftright", F.col("p"), (F.lit(top) - F.col("depth")).cast("int")).alias("prefix")).agg(F.sum("b").alias("shard_bytes"))
-        fits = (F.col("shard_bytes") <= limit) | (F.col("depth") == BITS)
-        # a bucket is a shard if it fits and its parent didn't
-        above = levels.select((F.col("depth") + 1).alias("d"), F.col("prefix").alias("q"), F.col("shard_bytes").alias("parent"))
-        judged = levels.join(above, (levels["depth"] == above["d"]) & (F.call_function("shiftright", levels["prefix"], F.lit(1)) == above["q"]), "left")
-        first = F.col("depth") == low
-        leaves = judged.filter(fits & ((F.col("parent") > limit) | first)).select("depth", "prefix", "shard_bytes", (F.col("shard_bytes") > limit).alias("oversize"))
-        leaves = cut(leaves)
-        shards = leaves if shards is None else shards.unionByName(leaves)
-        if top == BITS:
-            return shards
-        large = levels.filter((F.col("depth") == top) & (F.col("shard_bytes") > limit)).select(F.col("prefix").alias("large"))
-        large = cut(large)
+    open_ = cut(rows.groupBy("place").agg(F.sum("n_bytes").alias("n_bytes")))
+    total = open_.agg(F.sum("n_bytes")).first()[0] or 0
+    depth = start = min(BITS, (max(1, -(-total // limit)) - 1).bit_length())
+
+    def buckets(depth: int) -> DataFrame:
+        return cut(open_.groupBy(prefix(F.col("place"), F.lit(depth)).alias("prefix")).agg(F.sum("n_bytes").alias("shard_bytes")))
+
+    def shards(found: DataFrame, depth: int) -> DataFrame:
+        return found.select(F.lit(depth).alias("depth"), "prefix", "shard_bytes", (F.col("shard_bytes") > limit).alias("oversize"))
+
+    now = first = buckets(start)
+    found = []
+    while depth:  # up: a bucket stays if its parent doesn't fit
+        parents = now.groupBy(F.call_function("shiftright", F.col("prefix"), F.lit(1)).alias("prefix")).agg(F.sum("shard_bytes").alias("shard_bytes"))
+        parents = cut(parents)
+        fit = parents.filter(F.col("shard_bytes") <= limit).select(F.col("prefix").alias("parent"))
+        if fit.isEmpty():
+            break
+        alone = now.filter(F.col("shard_bytes") <= limit).join(fit, F.call_function("shiftright", F.col("prefix"), F.lit(1)) == F.col("parent"), "left_anti")
+        found.append(shards(alone, depth))
+        now, depth = parents, depth - 1
+    found.append(shards(now.filter(F.col("shard_bytes") <= limit), depth))
+    now, depth = first, start
+    while depth < BITS:  # down: only oversized buckets split
+        large = now.filter(F.col("shard_bytes") > limit).select(F.col("prefix").alias("large"))
         if large.isEmpty():
-            return shards
-        rows = rows.join(large, prefix(F.col("place"), F.lit(top)) == F.col("large"), "left_semi")
-        low, top = top + 1, min(BITS, top + STEP)
+            break
+        open_ = cut(open_.join(large, prefix(F.col("place"), F.lit(depth)) == F.col("large"), "left_semi"))
+        depth += 1
+        now = buckets(depth)
+        found.append(shards(now.filter((F.col("shard_bytes") <= limit) | F.lit(depth == BITS)), depth))
+    if start == BITS:
+        found.append(shards(first.filter(F.col("shard_bytes") > limit), BITS))
+    return cut(reduce(DataFrame.unionByName, found))
 
 
 def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, shard (its bits as text; the root is empty), depth, shard_bytes, oversize for every row."""
-    rows = placed(docs)
-    shards = directory(rows, limit)
-    depths = [r[0] for r in shards.select("depth").distinct().collect()]  # 61 at most
-    return looked_up(rows, shards, sorted(depths))
+    rows = stored(placed(docs))
+    return looked_up(rows, directory(rows, limit))
 
 
-def looked_up(rows: DataFrame, shards: DataFrame, depths: list[int]) -> DataFrame:
-    """The prefixes of a row at the depths in use; exactly one is a shard. The rows are thin, and so few depths are in use that this beats an expanded directory."""
-    tries = rows.select("*", F.explode(F.array(*[F.lit(d) for d in depths]) if depths else F.array().cast("array<int>")).alias("at"))
-    tries = tries.withColumn("want", prefix(F.col("place"), F.col("at")))
-    hit = tries.join(shards, (tries["at"] == shards["depth"]) & (tries["want"] == shards["prefix"]))
+def looked_up(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """Each row by the directory's entry for its prefix of the least depth in use; an entry lists the shards below it, and exactly one has the row's bits."""
+    least = shards.agg(F.min("depth")).first()[0] or 0
+    entries = shards.groupBy(F.call_function("shiftright", F.col("prefix"), (F.col("depth") - least).cast("int")).alias("entry")).agg(F.collect_list(F.struct("depth", "prefix", "shard_bytes", "oversize")).alias("below"))
+    found = rows.join(small(entries, counted=shards), prefix(F.col("place"), F.lit(least)) == F.col("entry"))
+    hit = found.withColumn("hit", F.get(F.filter("below", lambda x: x["prefix"] == prefix(F.col("place"), x["depth"])), F.lit(0)))
+    hit = hit.select("doc_id", "n_bytes", "hit.*")
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr("right(lpad(conv(prefix, 10, 2), 60, '0'), depth)"))
     return hit.select("doc_id", "n_bytes", bits.alias("shard"), F.col("depth").cast("long").alias("depth"), "shard_bytes", "oversize")
 
