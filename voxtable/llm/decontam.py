@@ -9,12 +9,13 @@ The windows travel to the tasks in blocks of at most BLOCK_BYTES: a benchmark of
 bounded broadcasts, each searched against all documents.
 
 Defined cases: null or wordless texts have no words and no hits; a null or wordless item has no window; repeated windows of several items count
-for each; an empty benchmark contaminates nothing; repeated document rows are judged each; extra columns are not read.
+for each; items without an id hit like others and count as one item, which has no id to list; an empty benchmark contaminates nothing; repeated document rows are judged each; extra columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, stored, utf8
+from .common import cut, small, stored, utf8
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -87,37 +88,41 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array([len(r[1]) + 64 for r in rows], pa.int64())], ["item_id", "window", "cost"])
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[dict[bytes, list[str]]]:
+def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[dict[bytes, list[str | None]]]:
     """Windows with their items, in blocks of at most about ``most`` bytes each; a hash of the window deals them out."""
     found = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_items, "item_id string, window binary, cost long")
-    found = cut(found.filter("item_id is not null").distinct())
+    found = cut(found.distinct())
     total = found.agg(F.sum("cost")).first()[0] or 0
     n = -(-2 * total // most) if total > most else 1  # twice as many as even blocks need
     dealt = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n)))
     for k in range(n if total else 0):
-        block: dict[bytes, list[str]] = {}
+        block: dict[bytes, list[str | None]] = {}
         for r in dealt.filter(F.col("block") == k).select("item_id", "window").toLocalIterator():
             block.setdefault(bytes(r["window"]), []).append(r["item_id"])
         if block:
             yield block
 
 
+_FOUND = "hits array<int>, items array<string>"
 
-def _search(docs: DataFrame, block: dict[bytes, list[str]]) -> DataFrame:
-    """docs: row (a struct with a text), hits (places of hit words), items; the same with what one block adds, and n_words."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
-    text = docs.schema["row"].dataType.names.index("text")
+
+def _search(rows: DataFrame, block: dict[bytes, list[str | None]], text: str, kept: bool) -> DataFrame:
+    """rows with hits (places of hit words), items and n_words, as one block has them. Not kept: only rows with hits, without their first column."""
+    sent = rows.sparkSession.sparkContext.broadcast(block)
+    inside, names = rows.schema[0].dataType.names.index(text), [*rows.columns, "hits", "items", "n_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items_of = sent.value
         tables = searchers(list(items_of))
         widths = {p: p.count(b" ") - 1 for p in items_of}
         for b in batches:
-            n_words, hits, items = [], b.column(1).to_pylist(), b.column(2).to_pylist()
-            for k, t in enumerate(utf8(b.column(0).field(text))):
+            n_words, hits, items = [], [], []
+            for t in utf8(b.column(0).field(inside)):
                 line = spaced(t)
                 n_words.append(max(0, line.count(b" ") - 1))
                 found = [x for s in tables for x in s.find(line)]
+                hits.append([])
+                items.append([])
                 if found:
                     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
                     marked = np.zeros(n_words[-1] + 1, np.int32)
@@ -125,24 +130,33 @@ def _search(docs: DataFrame, block: dict[bytes, list[str]]) -> DataFrame:
                         first = int(np.searchsorted(gaps, at))
                         marked[first] += 1
                         marked[first + widths[p]] -= 1
-                    places = np.flatnonzero(np.cumsum(marked) > 0)
-                    hits[k] = np.union1d(hits[k], places).astype(np.int32) if hits[k] else places
-                    items[k] = sorted({i for _, p in found for i in items_of[p]}.union(items[k]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())], ["row", "hits", "items", "n_words"])
+                    hits[-1] = np.flatnonzero(np.cumsum(marked) > 0)
+                    items[-1] = sorted({i for _, p in found for i in items_of[p]}, key=lambda i: (i is None, i))
+            out = pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())], names)
+            yield out if kept else out.filter(pa.array([len(x) > 0 for x in hits], pa.bool_())).select(names[1:])
 
-    schema = T.StructType([docs.schema["row"], docs.schema["hits"], docs.schema["items"], T.StructField("n_words", T.LongType())])
-    return docs.select("row", "hits", "items").mapInArrow(run, schema)
+    fields = [*rows.schema, *T.StructType.fromDDL(_FOUND), T.StructField("n_words", T.LongType())]
+    return rows.mapInArrow(run, T.StructType(fields if kept else fields[1:]))
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, columns: list[str], most: int = BLOCK_BYTES) -> DataFrame:
-    """row (the columns), hits, items, n_words and contaminated of every row. One block is one pass without a shuffle; between further blocks
-    the rows are stored, so that one block at a time is in memory."""
-    rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("row"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    found = None
+    """row (the columns), hits, items, n_words and contaminated of every row. One block is one pass without a shuffle. Of several, each reads the
+    numbered rows and leaves thin rows of its hits only, so that one block at a time is in memory and no text is written again; hits meet their rows in the end."""
+    rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("row"))
+    found, waiting = [], None
     for block in blocks(benchmark, most):
-        found = _search(rows if found is None else stored(found), block)
-    found = _search(rows, {}) if found is None else found
-    return found.withColumn("contaminated", (F.size("hits") > 0) & (20 * F.size("hits").cast("long") >= F.col("n_words")))
+        if waiting is not None:
+            if not found:
+                rows = stored(rows.withColumn("row_number", F.monotonically_increasing_id()))
+            found.append(cut(_search(rows, waiting, "text", False)))
+        waiting = block
+    out = _search(rows, waiting or {}, "text", True)
+    if found:
+        others = reduce(DataFrame.unionByName, found).groupBy("row_number").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("more_hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items"))
+        out = out.join(small(cut(others), 256), "row_number", "left")
+        out = out.withColumn("hits", F.array_union("hits", F.coalesce("more_hits", F.array().cast("array<int>"))))
+        out = out.withColumn("items", F.array_sort(F.array_union("items", F.coalesce("more_items", F.array().cast("array<string>")))))
+    return out.withColumn("contaminated", (F.size("hits") > 0) & (20 * F.size("hits").cast("long") >= F.col("n_words")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:

@@ -133,7 +133,7 @@ ORACLES = {
         from laid""",
     "op8_decontamination": rf"""
         with d as (select row_number() over () as r, doc_id, {_ITEM_WORDS} as ws from documents),
-        i as (select item_id::varchar as item, {_ITEM_WORDS} as ws from benchmark where item_id is not null),
+        i as (select item_id::varchar as item, {_ITEM_WORDS} as ws from benchmark),
         sized as (select item, ws, least({decontam.WINDOW}, len(ws)) as n from i where len(ws) > 0),
         wins as (select distinct item, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda k: array_to_string(ws[k:k + n - 1], ' '))) as win from sized),
         starts as (select r, n, ws, unnest(range(1, len(ws) - n + 2)) as k from d, (select distinct n from wins) where len(ws) >= n),
