@@ -286,19 +286,43 @@ def test_quality_figures_and_verdicts(spark):
 
 def test_verdicts_do_not_depend_on_rule_order(spark):
     rows = odd_quality()
-    texts = quality.measured([(t or "").encode() for _, t in rows])
-    for rules in (quality.RULES, quality.RULES[::-1]):
-        kept = documents(spark, rows)
-        got = Counter((r["doc_id"], r["text"]) for r in quality.good_documents(kept, rules).collect())
-        assert got == Counter(x for x, t in zip(rows, texts) if not quality.base_failed(t) and not any(r.rejects(t) for r in quality.RULES))
+    texts = quality.Texts([(t or "").encode() for _, t in rows])
+    bad = [any(r.rejects(texts, [i])[0] for r in (quality.BASE, *quality.RULES)) for i in range(len(rows))]
+    for rules in ((quality.BASE, *quality.RULES), (*quality.RULES[::-1], quality.BASE)):
+        got = Counter((r["doc_id"], r["text"]) for r in quality.good_documents(documents(spark, rows), rules).collect())
+        assert got == Counter(x for x, b in zip(rows, bad) if not b)
 
 
 def test_rules_are_ordered_by_rejection_per_cost():
-    cheap, dear = quality.Rule("cheap", lambda t: t.n_words > 3), quality.Rule("dear", lambda t: sum(range(20000)) > 0 and t.n_words > 3)
-    never = quality.Rule("never", lambda t: False)
-    sample = quality.measured([b"a b c d e", b"a b c d"] * 5)
-    found = quality.estimated(sample, (never, dear, cheap))
-    assert [r.name for r, *_ in sorted(found, key=lambda x: -x[2] / x[1])] == ["cheap", "dear", "never"]
+    over = lambda t, at: t.figure("n_words", at) > 3
+    cheap, dear = quality.Rule("cheap", over), quality.Rule("dear", lambda t, at: [sum(range(20000)) for _ in at] and over(t, at))
+    never = quality.Rule("never", lambda t, at: np.zeros(len(at), bool))
+    cascade = quality.Cascade((never, dear, cheap))
+    assert cascade.judge(quality.Texts([b"a b c d e", b"a b c d"] * 5), list(range(10))) == ["cheap"] * 10
+    assert [r.name for r in cascade.rules] == ["cheap", "dear", "never"]
+
+
+def test_a_rejected_text_is_not_looked_at_again(monkeypatch):
+    looked = Counter()
+
+    def counted(name, figure):
+        def run(t, at):
+            looked[name] += len(at)
+            return figure(t, at)
+
+        return run
+
+    monkeypatch.setattr(quality, "FIGURES", {k: counted(k, f) for k, f in quality.FIGURES.items()})
+    monkeypatch.setattr(quality, "SAMPLE_EVERY", 10**9)
+    monkeypatch.setattr(quality, "SAMPLE_LEAST", 1)
+    junk, clean = b"a#### b#### c#### d### e### f## g## h## i# j# k#", b"some plain words that no rule has anything to say against at all"
+    cascade = quality.Cascade((quality.RULES[0], quality.BASE))
+    texts = [junk] * 900 + [clean] * 100
+    assert Counter(cascade.judge(quality.Texts(texts), list(range(1000)))) == {"symbols": 900, None: 100}
+    first = {r.name for r in cascade.rules[:1]}
+    assert first == {"symbols"} and looked["n_symbols"] == 1001 and looked["n_repeat_words"] == 101  # one of each is the sample's
+    looked.clear()
+    assert cascade.judge(quality.Texts([b"a b"] * 50), list(range(50))) == ["base"] * 50 and looked["n_repeat_words"] == 0
 
 
 def test_quality_empty_table(spark):
@@ -396,9 +420,9 @@ def test_contamination_matches_brute_force(spark):
     r = random.Random(8)
     words = ["ab", "cd", "éf", "g1", "HI"]
     say = lambda n: " ".join(r.choice(words) for _ in range(n))
-    items = [(k, say(r.choice([1, 2, 5, 13, 14, 20]))) for k in range(12)] + [(50, ""), (51, None), (52, "..."), (None, "zz zz")]
+    items = [(k, say(r.choice([1, 2, 5, 13, 14, 20]))) for k in range(12)] + [(50, ""), (51, None), (52, "..."), (None, "zz zz"), (None, "zz yy")]
     docs = [(i, say(r.randint(0, 60)).replace(" ", r.choice([" ", "--", "\n"]))) for i in range(40)]
-    docs += [(i, say(3) + " " + items[i % 12][1] + "! " + say(30)) for i in range(40, 60)] + [(60, None), (61, ""), (40, "zz zz"), (None, "ab")]
+    docs += [(i, say(3) + " " + items[i % 12][1] + "! " + say(30)) for i in range(40, 60)] + [(60, None), (61, ""), (40, "zz zz"), (41, "zz zz yy"), (None, "ab")]
 
     def split(t):
         low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
@@ -410,12 +434,12 @@ def test_contamination_matches_brute_force(spark):
         for k, item in items:
             q = split(item)
             n = min(13, len(q))
-            wins = {tuple(q[j : j + n]) for j in range(len(q) - n + 1)} if q and k is not None else set()
+            wins = {tuple(q[j : j + n]) for j in range(len(q) - n + 1)} if q else set()
             for j in range(len(ws) - n + 1) if wins else ():
                 if tuple(ws[j : j + n]) in wins:
                     hit.update(range(j, j + n))
-                    names.add(str(k))
-        want[(i, len(ws), len(hit), len(names), tuple(sorted(names)), bool(hit) and 20 * len(hit) >= len(ws))] += 1
+                    names.add(None if k is None else str(k))
+        want[(i, len(ws), len(hit), len(names), tuple(sorted(names, key=lambda x: (x is None, x))), bool(hit) and 20 * len(hit) >= len(ws))] += 1
     bench = spark.createDataFrame(items, "item_id long, text string")
     frame = documents(spark, docs)
     for most in (8 << 20, 2000):
@@ -456,9 +480,7 @@ def plain_targets(sizes):
         fixed |= {s: 2.0 * sizes[s] for s in above}
 
 
-@pytest.mark.parametrize("rows_a_range", [2000, 3])
-def test_mixing_meets_its_targets(spark, monkeypatch, rows_a_range):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", rows_a_range)
+def test_mixing_meets_its_targets(spark):
     r = random.Random(10)
     texts = [(i, " ".join("w" for _ in range(r.choice([0, 1, 5, 30])))) for i in range(200)] + [(3, "w w w"), (3, "w w w"), (None, "w w"), (777, None)]
     sources = [r.choice(["a", "b", "é", "", None, "z", "Z"]) if r.random() < 0.6 else "hot" for _ in texts]
@@ -493,9 +515,24 @@ def test_mixed_documents_are_whole_and_near_the_targets(spark):
         taken[x["source"]] += len(x["text"].split())
     want = plain_targets(dict(sizes))
     assert all(abs(taken[s] - want[s]) <= 9 for s in sizes)
+    clashing = docs.withColumn("mix_copy", F.lit("x")).withColumn("held", F.lit("y")).withColumn("copy", F.lit("z"))
+    assert Counter(x["doc_id"] for x in mixing.mixed_documents(clashing).collect()) == Counter(x["doc_id"] for x in rows)
     assert mixing.mix(documents(spark, [])).count() == 0 and mixing.mixed_documents(documents(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_mixed_one_by_one(spark):
+    texts = [(None, " ".join("w" * (k % 7 + 1))) for k in range(400)] + [(7, "a b c")] * 90 + [(k, "d e") for k in range(100, 150)]
+    sources = ["a"] * 400 + ["b"] * 140
+    docs = documents(spark, texts, sources)
+    sizes, taken = Counter(), Counter()
+    for (_, t), s in zip(texts, sources):
+        sizes[s] += len(t.split())
+    want = plain_targets(dict(sizes))
+    for x in mixing.mixed_documents(docs).collect():
+        taken[x["source"]] += len(x["text"].split())
+    assert all(abs(taken[s] - want[s]) <= 7 for s in sizes)
+
+
 # ---- sharding ----
 
 
