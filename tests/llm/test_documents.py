@@ -372,6 +372,7 @@ def test_clean_and_odd_texts_have_no_findings(spark):
     docs = documents(spark, [*odd_texts(), (77, "100% of %zz and \\u12 " + "%41" * 3), (78, KEY)])
     got = secrets.secrets(docs).collect()
     assert len(got) == len(odd_texts()) + 2
+    assert secrets.secrets(docs.withColumn("findings", F.lit("clash")), ("doc_id", "findings")).columns == ["doc_id", "findings", "findings_"]
     assert {r["doc_id"] for r in got if r["findings"]} <= {78, 33, 34, 35, 41} | {r["doc_id"] for r in got if any(f["kind"] == "hex" for f in r["findings"])}
     assert secrets.secrets(documents(spark, [])).count() == 0
 
@@ -380,6 +381,92 @@ def test_a_layer_that_decodes_to_itself_ends():
     assert secrets.find_secrets("%25" * 50 + "41") == []
 
 
+@pytest.mark.parametrize("chain", ["%" + "25" * 20_000 + "3D", "\\u005c" + "u005c" * 20_000 + "u003d"])
+def test_long_chains_of_escapes_take_one_pass(chain):
+    text = f"é password{chain}abcdefghijklmnop"
+    assert [x[:3] for x in secrets.find_secrets(text) if x[0] != "hex"] == [("assign", 2, len(text))]  # a long chain is a hex run, too
+
+
+@pytest.mark.parametrize("data", [b"password=abcdefghijklmnop\0tail", "clé: password=abcdefghijklmnop".encode("latin-1"), b"hb password=abcdefghijklmnop", gzip.compress(b"\xff\xfe password=abcdefghijklmnop \x00")])
+def test_readable_stretches_of_odd_data_are_scanned(data):
+    hidden = base64.b64encode(data).decode()
+    assert [x[:3] for x in secrets.find_secrets(f"see {hidden} there")] == [("assign", 4, 4 + len(hidden))]
+
+
+def test_what_broken_data_holds_is_read():
+    r = random.Random(5)
+    whole = gzip.compress((KEY + "\n" + "".join(chr(r.randrange(33, 127)) for _ in range(4000))).encode())
+    hidden = base64.b64encode(whole[:-900]).decode().rstrip("=")
+    assert ("assign", 0, len(hidden)) in [x[:3] for x in secrets.find_secrets(hidden)]
+
+
+def plain_secrets(text):
+    """A worklist over lists of (character, start, end): slow, and each step as plainly as can be."""
+    found, seen, work = set(), set(), [[(c, i, i + 1) for i, c in enumerate(text)]]
+    while work:
+        chars = work.pop()
+        layer = "".join(c for c, *_ in chars)
+        if not chars or (layer, chars[0][1], chars[-1][2]) in seen:
+            continue
+        seen.add((layer, chars[0][1], chars[-1][2]))
+        found |= {(k, chars[a][1], chars[b - 1][2]) for k, a, b in secrets.scan(layer)}
+        at = 0
+        for line in layer.split("\n"):
+            own = chars[at : at + len(line)]
+            for pattern, width in ((r"%([0-9A-Fa-f]{2})", 1), (r"\\u([0-9A-Fa-f]{4})", 2)):
+                if re.search(pattern, line):
+                    out, k = [], 0
+                    while k < len(line):
+                        run = re.compile(f"(?:{pattern})+").match(line, k)
+                        if not run:
+                            out.append(own[k])
+                            k += 1
+                            continue
+                        step = 3 * width
+                        raw = b"".join(bytes.fromhex(run[0][x + width : x + step]) for x in range(0, len(run[0]), step))
+                        for c in raw.decode("utf-8" if width == 1 else "utf-16-be"):
+                            n = step * (len(c.encode()) if width == 1 else len(c.encode("utf-16-be")) // 2)
+                            out.append((c, own[k][1], own[k + n - 1][2]))
+                            k += n
+                    work.append(out)
+                    break
+            at += len(line) + 1
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}={0,2}", layer):
+            try:
+                body = m[0].rstrip("=")
+                data = base64.b64decode(body + "=" * (-len(body) % 4))
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                inner = data.decode()
+            except ValueError:
+                continue
+            if inner.replace("\n", "").isprintable():
+                work.append([(c, chars[m.start()][1], chars[m.end() - 1][2]) for c in inner])
+    return found
+
+
+def test_secrets_match_a_plain_decoder():
+    r = random.Random(13)
+    url = lambda s: "".join(f"%{b:02X}" if r.random() < 0.4 or b > 126 else chr(b) for b in s.encode()) if "%" not in s else urllib.parse.quote(s, safe="")
+    code = lambda s: "".join(f"\\u{ord(c):04x}" if r.random() < 0.4 else c for c in s)
+    based = lambda s: base64.b64encode(s.encode()).decode()
+    packed = lambda s: base64.b64encode(gzip.compress(s.encode())).decode()
+    whole = lambda s: urllib.parse.quote(s, safe="")
+    kinds = [lambda: f"password={r.choice('xyz')}bCdEfGhIjKlMnOp", lambda: "token: 'ABCDEFGHIJKLMN'", lambda: "AKIA" + "Z9" * 9, lambda: "deadbeef" * r.randint(1, 3), lambda: "nothing here, é or there"]
+    hits = 0
+    for _ in range(300):
+        parts = []
+        for _ in range(r.randint(1, 5)):
+            s = r.choice(kinds)()
+            for _ in range(r.randint(0, 3)):
+                s = r.choice([url, code, based, packed, whole])(s) if "%" not in s or "\\" not in s else s
+            parts.append(s)
+        text = "".join(p + r.choice([" ", " \n", " é ", "\n\n"]) for p in parts)  # lines that could be wrapped base64 have a test of their own
+        got = {x[:3] for x in secrets.find_secrets(text)}
+        assert got == plain_secrets(text), text
+        hits += len(got)
+    assert hits > 300
+
+
 def test_equal_encoded_lines_are_each_reported():
     line = "password%3Dabcdefghijklm"
     assert [x[1:3] for x in secrets.find_secrets(f"{line}\nclean\n{line}")] == [(0, 24), (31, 55)]

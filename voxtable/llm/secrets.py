@@ -7,8 +7,10 @@ layer is mapped back to the code points of the text that it came from: exactly t
 
 Base kinds, leftmost and non-overlapping per kind, on layer 0: assign, access, hex (see the patterns). Decoded layers add findings; base ones stay.
 
-Defined cases: null and empty texts have no findings; an undecodable or unprintable part is no layer; a decompressed layer of any size is
-read whole, all members of it, in pieces that end with a line; base64 wrapped over lines is tried joined, too; repeated rows are scanned each; an empty table gives an empty result; extra columns are not read.
+Defined cases: null and empty texts have no findings; of decoded data that isn't all text, the stretches of READABLE characters and more are the layer, a line each (no pattern
+matches less); a decompressed layer of any size is read whole, all members of it, in pieces that end with a line (a single line is held whole), up to the byte where the data breaks; base64 wrapped over lines is
+tried joined, too; an escape of an escape of an escape of an escape is decoded at once, so that long chains take one pass; repeated rows are scanned each; an empty
+table gives an empty result; extra columns are not read; the result's column takes a free name if a kept one is called findings.
 """
 
 from __future__ import annotations
@@ -21,11 +23,12 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("assign", "access", "hex")
 #: Bytes inflated at a time, and characters from which an inflated layer is scanned in pieces; both bound memory, not what is read.
@@ -36,8 +39,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _KEYWORDS = re.compile(r"passw|secret|token|api", re.I | re.A)
 _ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
-_URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_CODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
+#: An escape, or one whose own mark is escaped four times and more, and runs of these.
+_URL = r"%(?:(?:25){4,}(?=[0-9A-Fa-f]{2}))?[0-9A-Fa-f]{2}"
+_CODE = r"\\u005[cC](?:u005[cC]){3,}(?:u[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2})|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}"
+_URL_ONE, _URL_RUN = re.compile(_URL), re.compile(f"(?:{_URL})+")
+_CODE_ONE, _CODE_RUN = re.compile(_CODE), re.compile(f"(?:{_CODE})+")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _PART = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: Base64 characters up to a line's end, and the lines of them that follow.
@@ -45,10 +51,15 @@ _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[\t\x20
 #: A line after which no wrapped base64 goes on.
 _ENDS = re.compile(r"^\s*$|\S[^A-Za-z0-9+/_-]+[A-Za-z0-9+/_-]{0,15}\r?$")
 _URLSAFE = str.maketrans("-_", "+/")
-#: Code points that a decoded layer doesn't hold.
-_UNPRINTABLE = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\x9F�]")
+#: What parts of data that is no text.
+_ODD = r"\x00-\x08\x0E-\x1F\x7F-\x9F\uFFFD"
+_UNPRINTABLE = re.compile(f"[{_ODD}]+")
+#: Characters that the shortest finding has, in any layer.
+READABLE = 16
+_STRETCH = re.compile(f"[^{_ODD}\n]{{{READABLE},}}")
 
-Spans = list[tuple[int, int]]
+#: Where each character came from: first and end places.
+Spans = tuple[np.ndarray, np.ndarray]
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -62,22 +73,16 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _printable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or _UNPRINTABLE.search(text) else text
-
-
 def _packer(data: bytes):
     """A decompressor for gzip, zlib or bzip2 data; None for other data."""
-    return zlib.decompressobj(47) if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" else bz2.BZ2Decompressor() if data[:3] == b"BZh" else None
+    if data[:2] == b"\x1f\x8b" or data[0] & 0x8F == 8 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if data[:3] == b"BZh" else None
 
 
-def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The content of all members of compressed data, a chunk at a time; what follows the last whole member is left out, unless it is a member cut short."""
-    packed, rest, whole = None, b"", 0
+def _inflated(chunks: Iterator[bytes], broken: list[bool]) -> Iterator[bytes]:
+    """The content of all members of compressed data, a chunk at a time, up to where it breaks (then broken gets an entry); nothing for other data. What follows the last whole member is left out."""
+    packed, rest = None, b""
     for chunk in chunks:
         rest += chunk
         try:
@@ -86,9 +91,7 @@ def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
                     if len(rest) < 3:
                         break
                     if (packed := _packer(rest)) is None:
-                        if whole:
-                            return
-                        raise ValueError("not compressed")
+                        return
                 if out := packed.decompress(rest, _CHUNK):
                     yield out
                 while not packed.eof and (len(out) == _CHUNK or getattr(packed, "unconsumed_tail", b"")):
@@ -97,56 +100,54 @@ def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
                     yield out
                 rest = b""
                 if packed.eof:
-                    packed, rest, whole = None, packed.unused_data, whole + 1
-        except (zlib.error, OSError):
-            if whole:
-                return
-            raise
-    if not whole:
-        raise EOFError
+                    packed, rest = None, packed.unused_data
+        except (zlib.error, OSError, ValueError, EOFError):
+            broken.append(True)
+            return
 
 
-def _opened(data: bytes, depth: int) -> Iterator[bytes]:
+def _opened(data: bytes, depth: int, broken: list[bool]) -> Iterator[bytes]:
     chunks = iter((data,))
     for _ in range(depth):
-        chunks = _inflated(chunks)
+        chunks = _inflated(chunks, broken)
     return chunks
 
 
-def _texts_of(data: bytes) -> Iterator[str]:
-    """The printable text in data, through any number of compressions, in pieces that end with a line; data met before ends the search.
-    Compressed data is read once to see whether all of it is printable, and again for its pieces."""
-    if (text := _printable(data)) is not None:
-        yield text
-        return
-    seen, depth = {hashlib.sha256(data).digest()}, 1
+def _texts_of(data: bytes, odd: bool = True) -> Iterator[str]:
+    """What can be read in data (but for data as it is with odd bytes, if these aren't wanted), through any number of compressions, in pieces that end with a line; data met before ends the search.
+    Compressed data is read once to see what it is, and again for its pieces. Data that only looks compressed is read as it is, too."""
+    seen, depth, levels = {hashlib.sha256(data).digest()}, 0, []
     while True:
-        digest, decoder, plain = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), True
-        try:
-            for chunk in _opened(data, depth):
-                digest.update(chunk)
-                if plain:
-                    try:
-                        plain = not _UNPRINTABLE.search(decoder.decode(chunk))
-                    except UnicodeDecodeError:
-                        plain = False
-        except (zlib.error, OSError, ValueError, EOFError):
-            return
-        if plain:
+        digest, some, broken = hashlib.sha256(), False, []
+        for chunk in _opened(data, depth + 1, broken):
+            digest.update(chunk)
+            some = True
+        if broken or not some:
+            levels.append(depth)
+        if not some:
             break
         if digest.digest() in seen:
-            return
+            break
         seen.add(digest.digest())
         depth += 1
-    decoder, text, read = codecs.getincrementaldecoder("utf-8")(), "", 0
-    for chunk in _opened(data, depth):
-        text += decoder.decode(chunk)
+    for level in levels:
+        if level or len(data) >= READABLE and (odd or not _UNPRINTABLE.search(data.decode("utf-8", "replace"))):
+            yield from _pieces(_opened(data, level, []))
+
+
+def _pieces(chunks: Iterator[bytes]) -> Iterator[str]:
+    decoder, text, read, odd = codecs.getincrementaldecoder("utf-8")("replace"), "", 0, False
+    for chunk in chunks:
+        new = decoder.decode(chunk)
+        if _UNPRINTABLE.search(new):
+            new, odd = _UNPRINTABLE.sub("\n", new), True
+        text += new
         if len(text) >= PIECE and (end := _cut(text, read)):
-            yield text[:end]
+            yield "\n".join(_STRETCH.findall(text[:end])) if odd else text[:end]
             text = text[end:]
         read = len(text)
-    if text:
-        yield text
+    odd = odd or bool(decoder.decode(b"", True))
+    yield "\n".join(_STRETCH.findall(text)) if odd else text
 
 
 def _cut(text: str, since: int) -> int:
@@ -158,29 +159,34 @@ def _cut(text: str, since: int) -> int:
     return 0
 
 
-def _code_run(m: re.Match) -> str:
-    units = re.findall(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", m[0])
-    raw = b"".join(int(u or x, 16).to_bytes(2, "big") for u, x in units)
-    return raw.decode("utf-16-be", "replace")
+def _told(run: re.Match, one: re.Pattern) -> tuple[str, np.ndarray, np.ndarray]:
+    """What a run of escapes says, and the first and end place of each character in it."""
+    parts = list(one.finditer(run.string, run.start(), run.end()))
+    width = 1 if one is _URL_ONE else 2
+    digits = [re.search(r"u([0-9A-Fa-f]{4})\Z|x([0-9A-Fa-f]{2})\Z", m[0]) for m in parts] if width == 2 else ()
+    raw = b"".join(int(d[1] or d[2], 16).to_bytes(2, "big") for d in digits) if width == 2 else bytes(int(m[0][-2:], 16) for m in parts)
+    text = raw.decode("utf-16-be" if width == 2 else "utf-8", "replace")
+    if "\ufffd" in text:  # not one for one: in proportion
+        edges = np.arange(len(text) + 1) * len(parts) // len(text)
+    else:
+        edges = np.cumsum([0, *(len(c.encode("utf-16-be" if width == 2 else "utf-8")) // width for c in text)])
+    first, end = np.array([m.start() for m in parts]), np.array([m.end() for m in parts])
+    return text, first[edges[:-1]], end[np.maximum(edges[1:], edges[:-1] + 1) - 1]
 
 
 def _unescaped(line: str) -> tuple[str, Spans]:
     """A line with its escapes decoded once, and where each of its characters came from."""
-    text, spans, at = [], [], 0
-    for run in (_URL_RUN, _CODE_RUN):
-        if run.search(line):
-            break
+    run, one = (_URL_RUN, _URL_ONE) if _URL_RUN.search(line) else (_CODE_RUN, _CODE_ONE)
+    text, first, ends, at = [], [], [], 0
     for m in run.finditer(line):
-        plain = line[at : m.start()]
-        new = unquote_to_bytes(m[0]).decode("utf-8", "replace") if run is _URL_RUN else _code_run(m)
-        text += [plain, new]
-        spans += [(i, i + 1) for i in range(at, m.start())]
-        width = m.end() - m.start()
-        spans += [(m.start() + k * width // len(new), m.start() + -(-(k + 1) * width // len(new))) for k in range(len(new))]
+        plain = np.arange(at, m.start())
+        new, a, b = _told(m, one)
+        text += [line[at : m.start()], new]
+        first += [plain, a]
+        ends += [plain + 1, b]
         at = m.end()
-    text.append(line[at:])
-    spans += [(i, i + 1) for i in range(at, len(line))]
-    return "".join(text), spans
+    plain = np.arange(at, len(line))
+    return "".join((*text, line[at:])), (np.concatenate([*first, plain]), np.concatenate([*ends, plain + 1]))
 
 
 def _data(token: str) -> bytes | None:
@@ -223,15 +229,17 @@ def decoded(text: str) -> Iterator[tuple[str, int, Spans | None, int]]:
     for m in _TOKEN.finditer(text):
         if (data := _data(m[0])) is not None:
             for layer in _texts_of(data):
-                yield layer, m.start(), None, m.end()
+                if layer:
+                    yield layer, m.start(), None, m.end()
     for run in _runs(text):
         # the first and the last line may be words that are no part of it
-        for lines in (run, run[1:], run[:-1], run[1:-1]):
+        for lines, odd in ((run, False), (run[1:], False), (run[:-1], False), (run[1:-1], False), (run if len(run) > 2 else (), True)):
             data = _data("".join(text[a:b] for a, b in lines)) if len(lines) > 1 else None
             some = False
-            for layer in _texts_of(data) if data else ():
-                some = True
-                yield layer, lines[0][0], None, lines[-1][1]
+            for layer in _texts_of(data, odd) if data else ():
+                if layer:
+                    some = True
+                    yield layer, lines[0][0], None, lines[-1][1]
             if some:
                 break
 
@@ -240,28 +248,27 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, depth) in the code points of the text, by start, then kind; depth 0 is the base, others came out of so many decodings."""
     found: dict[tuple[str, int, int], int] = {x: 0 for x in scan(text)}
     seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
-    # layers being read, outermost first: only these are held, however much a part decodes to
+    # layers being read, outermost first: only these are held, however much a part decodes to. A layer came from the characters of the text, or as a whole from a stretch of it
     work: list[tuple[Iterator, Spans | tuple[int, int] | None, int]] = [(decoded(text), None, 0)]
     while work:
         inners, origin, depth = work[-1]
         if (step := next(inners, None)) is None:
             work.pop()
             continue
-
-        def home(a: int, b: int, origin=origin) -> tuple[int, int]:
-            if origin is None:
-                return a, b
-            return origin if isinstance(origin, tuple) else (origin[a][0], origin[b - 1][1])
-
         inner, start, spans, end = step
-        whole = home(start, end)
+        exact = origin is None or isinstance(origin[0], np.ndarray)
+        whole = (start, end) if origin is None else (int(origin[0][start]), int(origin[1][end - 1])) if exact else origin
         digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest() + b"%d:%d" % whole
         if not inner or digest in seen:
             continue
         seen.add(digest)
-        where = whole if spans is None or isinstance(origin, tuple) else [home(start + a, start + b) for a, b in spans]
+        if spans is None or not exact:
+            where = whole
+        else:
+            where = (spans[0] + start, spans[1] + start) if origin is None else (origin[0][spans[0] + start], origin[1][spans[1] + start - 1])
+        mapped = isinstance(where[0], np.ndarray)
         for kind, a, b in scan(inner):
-            place = (kind, *(where if isinstance(where, tuple) else (where[a][0], where[b - 1][1])))
+            place = (kind, int(where[0][a]), int(where[1][b - 1])) if mapped else (kind, *where)
             found[place] = min(found.get(place, depth + 1), depth + 1)
         work.append((decoded(inner), where, depth + 1))
     return [(*k, d) for k, d in sorted(found.items(), key=lambda x: (x[0][1], KINDS.index(x[0][0]), x[0][2]))]
@@ -273,14 +280,17 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int3
 def secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns and findings, array<struct<kind, start, end, depth>>, of every row."""
     columns = docs.select(F.col("text").alias("scanned_text"), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema[1:])
+    name = "findings"
+    while name in keep:
+        name += "_"
+    kind = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "end", "depth"))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [[dict(zip(("kind", "start", "end", "depth"), x, strict=True)) for x in find_secrets(t)] if t else [] for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found, pa.list_(_SPAN))], [*keep, "findings"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found, pa.list_(_SPAN))], [*keep, name])
 
-    return columns.mapInArrow(run, f"{schema}, findings array<struct<kind:string,start:int,end:int,depth:int>>")
+    return columns.mapInArrow(run, T.StructType([*columns.schema.fields[1:], T.StructField(name, kind)]))
 
 
 def joined(findings: Column) -> Column:
