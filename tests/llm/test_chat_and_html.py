@@ -89,8 +89,8 @@ def test_native_plan(spark):
 
 # ---- HTML ----
 
-ARTICLE = "<article><h1>Title {n}</h1><p><b>First {n} &amp; more<br>line<p>Second\n  paragraph {n}.</p><ul><li>one<li>two {n}</ul></article>"
-WANT = "Title {n}\n\nFirst {n} & more line\n\nSecond paragraph {n}.\n\none\n\ntwo {n}"
+ARTICLE = "<article><h1>Title {n}</h1><p><b>First {n} &amp; more<br>line<p>Second\n  paragraph {n}.</p><ul><li>one {n}<li>two {n}</ul></article>"
+WANT = "Title {n}\n\nFirst {n} & more line\n\nSecond paragraph {n}.\n\none {n}\n\ntwo {n}"
 
 
 def page(n, body=ARTICLE):
@@ -154,12 +154,51 @@ def test_odd_pages(spark):
     assert html_text.main_texts(pages(spark, [])).count() == 0
 
 
-def test_tree_matching_is_the_largest_in_order():
-    ref = html_text.Reference(html_text.flat(html_text.parsed("<div><p>a</p><h2>b</h2><p>c</p></div><section><p>d</p></section>")))
-    tree = html_text.parsed("<section><p>z</p></section><div><h2>x</h2><p>y</p></div><section><p>d</p></section>")
-    pairs = {(n.tag, ref.rows[i][1]) for n, i in html_text.aligned(tree, ref)}
-    assert pairs == {("#root", "#root."), ("div", "div."), ("h2", "h2."), ("p", "p."), ("section", "section.")}
-    assert len(html_text.aligned(tree, ref)) == 6
+def test_template_text_inside_an_article_goes(spark):
+    body = "<article><header><h1>Title {n}</h1></header><p>Read more from our paper</p><p>Body {n}.</p><div><p>Sign up to the letter</p></div></article>"
+    rows = [(n, f"https://i.example/{n}", page(n, body)) for n in range(6)] + [(50 + n, f"https://j{n}.example/", page(n, body)) for n in range(3)]
+    got = texts(spark, rows)
+    for i, u, _ in rows:
+        want = [f"Title {i % 50}", f"Body {i % 50}."] if i < 50 else [f"Title {i % 50}", "Read more from our paper", f"Body {i % 50}.", "Sign up to the letter"]
+        assert got[(i, u)].split("\n\n") == want  # a host of one page has nothing to compare
+
+
+def test_menus_without_a_name_are_found_by_their_links(spark):
+    menu = "".join("<li><a href=/x>Topic {n} " + str(k) + "</a></li>" for k in range(5))
+    body = f"<div class=x7><ul>{menu}</ul></div><div class=x8><a href=/>Next {{n}}</a> <a href=/>Last {{n}}</a></div><div><h2>Head {{n}}</h2><p>Body {{n}} with <a href=/>a link</a>.</p></div>"
+    rows = [(n, f"https://m.example/{n}", page(n, body)) for n in range(8)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)] == f"Head {i}\n\nBody {i} with a link." for i, u, _ in rows)
+
+
+def test_teaser_articles_do_not_bound_the_page(spark):
+    body = "<article><p>Tip {n}</p></article><div><p>The long text of page {n}, which is no article by its tag, but holds what varies on page {n}.</p></div>"
+    rows = [(n, f"https://n.example/{n}", page(n, body)) for n in range(8)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)].split("\n\n")[-1].startswith("The long text") for i, u, _ in rows)
+
+
+def plain_matching(a, b):
+    """Largest matching of two lists of (signature, kids), by trying all."""
+    if not a or not b:
+        return 0
+    both = 1 + plain_matching(a[0][1], b[0][1]) + plain_matching(a[1:], b[1:]) if a[0][0] == b[0][0] else 0
+    return max(both, plain_matching(a[1:], b), plain_matching(a, b[1:]))
+
+
+def test_tree_matching_is_the_largest():
+    r = random.Random(3)
+
+    def tree(depth):
+        return [(r.choice(["div", "section"]), tree(depth - 1) if depth and r.random() < 0.7 else []) for _ in range(r.randint(1, 3))]
+
+    html = lambda t: "".join(f"<{s}>{html(k)}</{s}>" for s, k in t)
+    for _ in range(150):
+        a, b = tree(3), tree(3)
+        root, ref = html_text.parsed(html(a)), html_text.Reference(html_text.flat(html_text.parsed(html(b))))
+        pairs = html_text.aligned(root, ref)
+        assert len(pairs) == 1 + plain_matching(a, b) and len({id(n) for n, _ in pairs}) == len({i for _, i in pairs}) == len(pairs)
+        assert all(n.sign == ref.rows[i][1] for n, i in pairs)
 
 
 @pytest.mark.parametrize("name", ["op5_chat_formatting"])

@@ -1,19 +1,21 @@
 r"""HTML extraction by wrapper induction.
 
-Pages of a host share a wrapper. One page of each host (least hash) is its reference; every other page's DOM tree is aligned
-with the reference tree by simple tree matching. Votes over all pages of the host say for each reference node whether its text stays
-constant (template) or varies (a slot), and how much of it is link text. An article or main
-element that holds most of the host's varying text is the content; else it is the whole page, so that titles, second columns and blocks that the reference page lacks stay.
-In it, nodes constant on nearly all pages are template (but for those of an article or main element; beside the slot with most of the varying text, few pages suffice), as are menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments by their tag, role, class or id. Copies of the reference page cast no vote, so that a text posted often isn't
-taken for template.
-
-Votes are pre-aggregated in the tasks; a host of any share of the pages meets in sums only. Templates are broadcast if they
+Pages of a host share a wrapper. One page of each host (least hash) is its reference; every page's DOM tree is aligned once
+with the reference tree by simple tree matching, and its text blocks are stored with the reference node that each is aligned to. From these blocks alone come, by host, as sums:
+which nodes are template (their text is that of the reference on CONSTANT of the pages that have it, of LEAST pages at least), which are menus (nearly all of their text,
+or of the blocks below them, is link text), and whether the varying text lies in the article or main element. What is left, the varying slots and the blocks that the reference lacks,
+is the content. Tags, roles, classes and ids drop what they name (menus, headers, footers, sidebars, notices, adverts, forms, reader
+comments); a header inside of an article or main element is the article's own and stays. A page's only article or main element bounds its content unless most of the varying text of
+its host lies outside of such elements.
+
+Pages that say nearly the same as the reference cast no vote, so that a text posted often isn't taken for template. A page of which nothing would be left keeps its constant text.
+
+Votes are summed in the tasks first; a host of any share of the pages meets in sums only. References and votes are broadcast if they
 fit SMALL bytes together, else joined by host.
 
-Defined cases: null and empty html give an empty text; a null or odd url is a host of its own kind (empty name); a page of its host alone has no votes and goes
-by the rules on tags and names; repeated rows are extracted each; an empty table gives an empty result; truncated and unclosed markup is
-read as browsers do, more or less; extra columns are not read.
+Defined cases: null and empty html give an empty text; a null or odd url is a host of its own kind (empty name); hosts of fewer than LEAST + 1 pages that differ go
+by tags and names; repeated rows are extracted each; an empty table gives an empty result; truncated and unclosed markup is
+read as browsers do, more or less; elements nested deeper than DEPTH become siblings, and no text is lost by it; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,18 +27,20 @@ from html import unescape
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, stored
 
 SMALL = 16 << 20
 #: A node is template if its text is the same on so large a share of at least LEAST pages.
-CONSTANT, LEAST = 0.9, 10
+CONSTANT, LEAST = 0.9, 3
+#: A page of which so much is as in the reference is a copy of it.
+COPY = 0.9
+#: Share of link text in a menu.
+LINKS = 0.9
 #: Elements nested deeper become siblings, as in browsers; no text is lost.
 DEPTH = 150
-#: The main slot is the deepest that holds this share of the host's varying text.
-MASS = 0.7
 
 # fixed values: HTML's element classes
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,10 +63,15 @@ _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
+#: An attribute's value without quotes at the end of a tag: a slash there is part of it.
+_UNQUOTED = re.compile(r"=[^\s\"']+\Z")
+_NUMBERS = re.compile(r"\d+")
+
+
 class Node:
     """A block element, or an inline one that is dropped. items: text pieces and nodes in page order."""
 
-    __slots__ = ("tag", "name", "items", "dropped", "inline", "links", "kids", "mark", "text", "chars")
+    __slots__ = ("tag", "name", "items", "dropped", "inline", "links", "kids", "text", "chars", "size")
 
     def __init__(self, tag: str, name: str = "", dropped: bool = False, inline: bool = False):
         self.tag, self.name, self.dropped, self.inline = tag, name, dropped, inline
@@ -70,14 +79,22 @@ class Node:
         self.links = 0
 
     def settle(self) -> None:
-        """Kids, own text's checksum and length, here and below."""
-        work = [self]
+        """Kids, own text's checksum and length, and the nodes of the tree, here and below."""
+        work, order = [self], []
         while work:
             n = work.pop()
+            order.append(n)
             n.kids = [x for x in n.items if type(x) is Node]
             own = " ".join(" ".join(x for x in n.items if type(x) is str).split())
             n.text, n.chars = crc32(own.encode("utf-8", "surrogatepass")), len(own)
             work += n.kids
+        for n in reversed(order):
+            n.size = 1 + sum(k.size for k in n.kids)
+
+    @property
+    def sign(self) -> str:
+        """What aligned nodes agree on: the tag, and class and id but for their numbers."""
+        return f"{self.tag}.{_NUMBERS.sub('0', self.name)}"
 
 
 def parsed(html: str) -> Node:
@@ -115,9 +132,9 @@ def parsed(html: str) -> Node:
             continue
         if tag == "br" or tag == "hr":
             stack[-1].items.append("\n")
-        if tag in _VOID or m[3].endswith("/"):
+        if tag in _VOID or m[3].endswith("/") and not _UNQUOTED.search(m[3]):
             continue
-        names, drop = "", tag in _DROPPED
+        names, drop = "", tag in _DROPPED and not (tag == "header" and any(n.tag in ("article", "main") for n in stack))
         if m[3]:
             got = {a.lower(): unescape(b or c or d) for a, b, c, d in _ATTRIBUTE.findall(m[3])}
             names = f"{got.get('class', '')} {got.get('id', '')}".strip()
@@ -152,94 +169,104 @@ def parsed(html: str) -> Node:
     return root
 
 
-def blocks(node: Node, constant: frozenset = frozenset(), mute: frozenset = frozenset()) -> list[str]:
-    """Texts of the blocks below a node, in page order, but for constant nodes and the own text of mute ones."""
-    out, buffer = [], []
+def blocks(root: Node) -> list[tuple[Node, str]]:
+    """The blocks of text below a node, in page order, each with the node whose own text it is; dropped nodes are left out."""
+    out: list[tuple[Node, str]] = []
+    buffer: list[str] = []
+    work: list = [iter(root.items)]
+    open_ = [root]
 
     def flush() -> None:
         if text := " ".join("".join(buffer).split()):
-            out.append(text)
+            out.append((open_[-1], text))
         buffer.clear()
 
-    work: list = [iter(node.items)]
-    open_ = [node]
     while work:
         for x in work[-1]:
             if type(x) is str:
-                if id(open_[-1]) not in mute:
-                    buffer.append(x)
+                buffer.append(x)
                 continue
             if not x.inline:
                 flush()
-            if x.dropped or id(x) in constant:
+            if x.dropped:
                 continue
             work.append(iter(x.items))
             open_.append(x)
             break
         else:
+            flush()
             work.pop()
-            if not open_.pop().inline:
-                flush()
+            open_.pop()
     return out
 
 
 def flat(root: Node) -> list:
-    """A tree as rows in document order: depth, signature, checksum of own text, its length, that of links, dropped."""
+    """A tree as rows in document order: depth, signature, checksum of own text."""
     out, work = [], [(root, 0)]
     while work:
         n, depth = work.pop()
-        out.append([depth, f"{n.tag}.{n.name}", n.text, n.chars, n.links, int(n.dropped)])
+        out.append([depth, n.sign, n.text])
         work += [(k, depth + 1) for k in reversed(n.kids)]
     return out
 
 
 class Reference:
-    """A flat tree with its children; a node is its place in document order."""
+    """A flat tree with its children and the sizes of its subtrees; a node is its place in document order."""
 
     def __init__(self, rows: list):
         self.rows = rows
         self.kids: list[list[int]] = [[] for _ in rows]
-        self.parent = [-1] * len(rows)
+        self.size = [1] * len(rows)
         path: list[int] = []
+        parent = [-1] * len(rows)
         for i, r in enumerate(rows):
             del path[r[0] :]
             if path:
                 self.kids[path[-1]].append(i)
-                self.parent[i] = path[-1]
+                parent[i] = path[-1]
             path.append(i)
+        for i in range(len(rows) - 1, 0, -1):
+            self.size[parent[i]] += self.size[i]
 
 
 def aligned(page: Node, ref: Reference) -> list[tuple[Node, int]]:
-    """Simple tree matching, top down: pairs of nodes with equal signatures, in order, that match most nodes below them."""
-    score: dict[tuple[int, int], int] = {}
-    sign = lambda n: f"{n.tag}.{n.name}"
+    """Simple tree matching: the pairs of a largest matching of the two trees that keeps signatures, ancestors and order."""
+    known: dict[tuple[int, int], int] = {}
 
     def ends(a: list[Node], b: list[int]) -> tuple[int, int]:
-        """Equal first and last runs are matched as they stand; the matching table is for what lies between."""
+        """First and last runs of pairs whose trees match whole. No matching of either node is larger, so some largest matching has these pairs."""
+
+        def whole(x: Node, i: int) -> bool:
+            return x.size == ref.size[i] and x.sign == ref.rows[i][1] and weight(x, i) == x.size
+
         low, most = 0, min(len(a), len(b))
-        while low < most and sign(a[low]) == ref.rows[b[low]][1]:
+        while low < most and whole(a[low], b[low]):
             low += 1
         high = 0
-        while high < most - low and sign(a[-1 - high]) == ref.rows[b[-1 - high]][1]:
+        while high < most - low and whole(a[-1 - high], b[-1 - high]):
             high += 1
         return low, high
 
-    def size(n: Node, i: int) -> int:
+    def weight(n: Node, i: int) -> int:
+        """Pairs in a largest matching of the trees below and with two nodes of one signature."""
+        a, b = n.kids, ref.kids[i]
+        if not a or not b:
+            return 1
         key = (id(n), i)
-        if key not in score:
-            a, b = n.kids, ref.kids[i]
-            low, high = ends(a, b) if a and b else (0, 0)
-            total = 1 + sum(size(x, y) for x, y in zip(a[:low], b[:low], strict=True)) + sum(size(x, y) for x, y in zip(a[len(a) - high :], b[len(b) - high :], strict=True))
-            score[key] = total + (grid(a[low : len(a) - high], b[low : len(b) - high])[-1][-1] if a and b else 0)
-        return score[key]
+        if key not in known:
+            low, high = ends(a, b)
+            inner = grid(a[low : len(a) - high], b[low : len(b) - high])[-1][-1]
+            known[key] = 1 + inner + sum(x.size for x in a[:low]) + sum(x.size for x in a[len(a) - high :])
+        return known[key]
 
     def grid(a: list[Node], b: list[int]) -> list[list[int]]:
         rows = [[0] * (len(b) + 1)]
-        for x in a:
-            above, row, s = rows[-1], [0], sign(x)
+        signs = [ref.rows[y][1] for y in b]
+        for x in a if b else ():
+            above, row, s = rows[-1], [0], x.sign
             for k, y in enumerate(b):
                 best = above[k + 1] if above[k + 1] >= row[k] else row[k]
-                if s == ref.rows[y][1] and (both := above[k] + size(x, y)) > best:
+                if s == signs[k] and (both := above[k] + weight(x, y)) > best:
                     best = both
                 row.append(best)
             rows.append(row)
@@ -284,125 +311,116 @@ def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.string()), pa.array([x[0] for x in least.values()], pa.int64()), pa.array([json.dumps(flat(parsed(x[1]))) for x in least.values()], pa.string())], ["host", "key", "tree"])
 
 
-def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each batch by host and reference node: pages aligned, same text, varying characters."""
+def _lone(root: Node) -> Node | None:
+    """The page's only article element, else its only main element."""
+    for tag in ("article", "main"):
+        found, work = [], [root]
+        while work:
+            n = work.pop()
+            if n.tag == tag:
+                found.append(n)
+            elif not n.dropped:
+                work += n.kids
+        if len(found) == 1:
+            return found[0]
+    return None
+
+
+def read_page(html: str, ref: Reference) -> tuple[bool, bool, list[dict]]:
+    """Whether a page votes, whether it has one article, and its blocks: the reference node of the block (-1: none) and the nearest one around it, whether the node's text is
+    as in the reference, whether the block lies in the article and is the first of its node, the node's characters and those of links, and the text."""
+    root = parsed(html)
+    to = {id(n): i for n, i in aligned(root, ref)}
+    article = _lone(root)
+    around: dict[int, int] = {}
+    inside: set[int] = set()
+    work = [(root, -1, False)]
+    while work:
+        n, near, in_ = work.pop()
+        in_ = in_ or n is article
+        around[id(n)] = near
+        if in_:
+            inside.add(id(n))
+        near = to.get(id(n), near)
+        work += [(k, near, in_) for k in n.kids]
+    out, seen, same, total = [], set(), 0, 0
+    for n, text in blocks(root):
+        i = to.get(id(n), -1)
+        as_there = i >= 0 and n.text == ref.rows[i][2]
+        first = id(n) not in seen
+        seen.add(id(n))
+        if first:
+            total += n.chars
+            same += n.chars if as_there else 0
+        out.append({"node": i, "around": around[id(n)], "same": as_there, "inside": id(n) in inside, "first": first, "chars": n.chars, "links": n.links, "text": text})
+    return same < COPY * total, article is not None, out
+
+
+_BLOCK_FIELDS = (("node", pa.int32()), ("around", pa.int32()), ("same", pa.bool_()), ("inside", pa.bool_()), ("first", pa.bool_()), ("chars", pa.int64()), ("links", pa.int64()), ("text", pa.string()))
+_BLOCKS = "array<struct<node:int,around:int,same:boolean,inside:boolean,first:boolean,chars:long,links:long,text:string>>"
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """page_id, url, host, html, tree -> page_id, url, host, votes, article, blocks."""
     trees: dict[str, Reference] = {}
     for b in batches:
-        sums: dict[tuple[str, int], list[int]] = {}
-        for host, html, tree in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if not html or tree is None:
-                continue
-            if host not in trees:
+        votes, article, found, host = [], [], [], b.column(2).to_pylist()
+        for i, html in enumerate(b.column(3).to_pylist()):
+            if html and host[i] not in trees:
                 if len(trees) > 1000:
                     trees.clear()
-                trees[host] = Reference(json.loads(tree))
-            ref = trees[host]
-            page = parsed(html)
-            if [x[2] for x in flat(page) if not x[5]] == [x[2] for x in ref.rows if not x[5]]:
-                continue  # the reference itself, or a copy
-            for n, i in aligned(page, ref):
-                s = sums.setdefault((host, i), [0, 0, 0])
-                same = n.text == ref.rows[i][2]
-                s[0] += 1
-                s[1] += same
-                s[2] += 0 if same else max(0, n.chars - n.links)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()), *(pa.array([s[j] for s in sums.values()], pa.int64()) for j in range(3))], ["host", "node", "pages", "same", "varying"])
-
-
-def templates(pages: DataFrame) -> DataFrame:
-    """host, tree (reference) and votes, array<struct<node, pages, same, varying>>, one row a host."""
-    rows = pages.select(_host(F.col("url")).alias("host"), F.xxhash64("page_id").alias("key"), "html")
-    refs = rows.mapInArrow(_references, "host string, key long, tree string").groupBy("host").agg(F.min_by("tree", "key").alias("tree"))
-    refs = cut(refs)
-    votes = joined(rows.select("host", "html"), refs).select("host", "html", "tree").mapInArrow(_votes, "host string, node int, pages long, same long, varying long")
-    votes = votes.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "varying")))
-    votes = votes.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "varying")).alias("votes"))
-    return cut(refs.join(votes, "host", "left"))
-
-
-def joined(rows: DataFrame, by_host: DataFrame) -> DataFrame:
-    """rows with their host's row: broadcast if these are SMALL together, else a shuffle join (whose skewed hosts AQE splits)."""
-    tree = F.octet_length("tree") + (F.size(F.coalesce("votes", F.array())) * 48 if "votes" in by_host.columns else F.lit(0)) + 100
-    total = by_host.agg(F.sum(tree)).first()[0] or 0
-    return rows.join(F.broadcast(by_host) if total <= SMALL else by_host, "host", "left")
+                trees[host[i]] = Reference(json.loads(b.column(4)[i].as_py()))
+            v, a, x = read_page(html, trees[host[i]]) if html else (False, False, [])
+            votes.append(v)
+            article.append(a)
+            found.append(x)
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(votes, pa.bool_()), pa.array(article, pa.bool_()), pa.array(found, pa.list_(pa.struct(_BLOCK_FIELDS)))], ["page_id", "url", "host", "votes", "article", "blocks"])
 
 
-class Wrapper:
-    """What the votes of a host say: the reference node of the content's main slot, whether that is an article, the constant nodes, and those beside the slot."""
-
-    def __init__(self, tree: str, votes: list[dict] | None):
-        self.ref = ref = Reference(json.loads(tree))
-        n = len(ref.rows)
-        told = {v["node"]: v for v in votes or ()}
-        dead = [False] * n
-        mass = [0] * n
-        for i in range(n):
-            dead[i] = bool(ref.rows[i][5]) or (i > 0 and dead[ref.parent[i]])
-            mass[i] = 0 if dead[i] or i not in told else told[i]["varying"]
-        for i in range(n - 1, 0, -1):
-            mass[ref.parent[i]] += mass[i]
-        self.content = 0
-        while (kids := ref.kids[self.content]) and mass[0]:
-            best = max(kids, key=mass.__getitem__)
-            if mass[best] < MASS * mass[0] or ref.rows[best][1].split(".")[0] in ("p", "li", "td", "tr"):
-                break
-            self.content = best
-            if ref.rows[best][1].startswith(("article.", "main.")):
-                break
-        self.article = ref.rows[self.content][1].startswith(("article.", "main."))
-        inside = [False] * n
-        for i in range(n):
-            inside[i] = i == self.content or (i > 0 and inside[ref.parent[i]])
-        self.beside = {i for i, v in told.items() if not inside[i] and v["same"] >= CONSTANT * v["pages"] and ref.rows[i][3]}
-        self.constant = {i for i, v in told.items() if v["pages"] >= LEAST and v["same"] >= CONSTANT * v["pages"] and ref.rows[i][3]}
-
-
-def _lone(root: Node, tag: str) -> Node | None:
-    found, work = [], [root]
-    while work:
-        n = work.pop()
-        if n.tag == tag:
-            found.append(n)
-        elif not n.dropped:
-            work += n.kids
-    return found[0] if len(found) == 1 else None
+def joined(rows: DataFrame, by_host: DataFrame, bytes_: Column) -> DataFrame:
+    """rows with their host's row: broadcast if these are SMALL together, else a shuffle join (whose skewed hosts AQE splits)."""
+    total = by_host.agg(F.sum(bytes_)).first()[0] or 0
+    return rows.join(F.broadcast(by_host) if total <= SMALL else by_host, "host", "left")
 
 
-def extracted(html: str, wrapper: Wrapper | None) -> str:
-    root = parsed(html)
-    content, constant, mute = root, frozenset(), frozenset()
-    if wrapper:
-        pairs = aligned(root, wrapper.ref)
-        if wrapper.article:
-            content = next((n for n, i in pairs if i == wrapper.content), root)
-        same = [(n, i) for n, i in pairs if n.text == wrapper.ref.rows[i][2]]
-        # a node is left out with its own text only if nothing in it varies
-        constant = frozenset(id(n) for n, i in same if i in wrapper.constant and not n.kids)
-        mute = frozenset(id(n) for n, i in same if i in wrapper.beside)
-    if content.tag not in ("article", "main"):
-        content = _lone(content, "article") or _lone(content, "main") or content
-    if content.tag in ("article", "main"):  # the page itself says that this is the article: a line that all of a host's articles hold is theirs
-        constant = mute = frozenset()
-    return "\n\n".join(blocks(content, constant, mute) or (blocks(root) if content is not root or wrapper and wrapper.content else []))
+def read_pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, votes, article and blocks of every row (see read_page). Each page is parsed and aligned once."""
+    rows = pages.select("page_id", "url", _host(F.col("url")).alias("host"), "html")
+    refs = rows.select("host", F.xxhash64("page_id").alias("key"), "html").mapInArrow(_references, "host string, key long, tree string").groupBy("host").agg(F.min_by("tree", "key").alias("tree"))
+    found = joined(rows, cut(refs), F.octet_length("tree") + 100).select("page_id", "url", "host", "html", "tree")
+    return stored(found.mapInArrow(_read, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, votes boolean, article boolean, blocks {_BLOCKS}"))
+
+
+def wrappers(read: DataFrame) -> DataFrame:
+    """host, template and menu (reference nodes), slots (nodes whose blocks below are menus) and bounded (whether the varying text lies in articles)."""
+    votes = read.filter("votes").select("host", F.explode("blocks").alias("b")).select("host", "b.*").filter("first")
+    often = F.col("pages") >= LEAST
+    by_node = votes.groupBy("host", "node").agg(
+        F.count("*").alias("pages"), F.sum(F.col("same").cast("long")).alias("same"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
+        F.sum(F.when(~F.col("same"), F.greatest(F.col("chars") - F.col("links"), F.lit(0))).otherwise(0)).alias("varying"),
+        F.sum(F.when(~F.col("same") & F.col("inside"), F.greatest(F.col("chars") - F.col("links"), F.lit(0))).otherwise(0)).alias("varying_inside"),
+    )
+    menu = often & (F.col("links") >= LINKS * F.col("chars"))
+    nodes = by_node.groupBy("host").agg(
+        F.collect_list(F.when((F.col("node") >= 0) & often & (F.col("same") >= CONSTANT * F.col("pages")), F.col("node"))).alias("template"),
+        F.collect_list(F.when((F.col("node") >= 0) & menu, F.col("node"))).alias("menu"),
+        (2 * F.sum("varying_inside") >= F.sum("varying")).alias("bounded"),
+    )
+    by_slot = votes.groupBy("host", "around").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    slots = by_slot.groupBy("host").agg(F.collect_list(F.when((F.col("around") >= 0) & menu, F.col("around"))).alias("slots"))
+    return cut(nodes.join(slots, "host"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row."""
-    by_host = templates(pages)
-    rows = joined(pages.select("page_id", "url", "html", _host(F.col("url")).alias("host")), by_host).select("page_id", "url", "html", "host", "tree", "votes")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wrappers: dict[str, Wrapper] = {}
-        for b in batches:
-            texts = []
-            host, tree, votes = b.column(3).to_pylist(), b.column(4), b.column(5)
-            for i, html in enumerate(b.column(2).to_pylist()):
-                if html and host[i] not in wrappers and tree[i].is_valid:
-                    if len(wrappers) > 1000:
-                        wrappers.clear()
-                    wrappers[host[i]] = Wrapper(tree[i].as_py(), votes[i].as_py())
-                texts.append(extracted(html, wrappers.get(host[i])) if html else "")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string")
+    read = read_pages(pages)
+    made = wrappers(read)
+    rows = joined(read, made, 100 + 4 * (F.size("template") + F.size("menu") + F.size("slots")))
+    none = F.array().cast("array<int>")
+    template, menu, slots = (F.coalesce(c, none) for c in ("template", "menu", "slots"))
+    bounds = F.col("article") & F.coalesce("bounded", F.lit(True))
+    main = F.filter("blocks", lambda b: ~bounds | b["inside"])
+    linked = lambda b: b["links"] >= LINKS * b["chars"]
+    kept = F.filter(main, lambda b: ~(b["same"] & F.array_contains(template, b["node"])) & ~(linked(b) & (F.array_contains(menu, b["node"]) | F.array_contains(slots, b["around"]))))
+    left = F.when(F.size(kept) > 0, kept).otherwise(F.when(F.size(main) > 0, main).otherwise(F.col("blocks")))
+    return rows.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n\n").alias("text"))
