@@ -101,7 +101,7 @@ def test_run_length_index_inverts():
     for i, t in enumerate(texts):
         symbols[i, : len(t)] = [ord(c) for c in t]
     sizes = np.array([len(t) for t in texts])
-    index = substrings.RunLengthIndex(symbols, sizes, 12)
+    index = substrings.RunLengthIndex(symbols, sizes, np.arange(12), 12)
     rows = np.arange(12)
     for back in range(1, 21):
         going = np.flatnonzero(sizes >= back)
@@ -110,6 +110,61 @@ def test_run_length_index_inverts():
         rows[going] = index.lf(rows[going])
 
 
+def test_matching_statistics_match_brute_force():
+    r = random.Random(3)
+    for alphabet in ("ab", "abcdefgh"):
+        make = lambda n: ["".join(r.choice(alphabet) for _ in range(r.randint(0, 30))) for _ in range(n)]
+        known = make(25)
+        others = make(15) + [k[:12] + "zz" + k[3:] for k in known[:10]]
+
+        def coded(texts):
+            out = np.zeros((len(texts), max(map(len, texts))), np.int16)
+            for i, t in enumerate(texts):
+                out[i, : len(t)] = [ord(c) for c in t]
+            return out, np.array([len(t) for t in texts])
+
+        ids = np.array(r.sample(range(100), 25))
+        index = substrings.RunLengthIndex(*coded(known), ids, 8)
+        seen = 0
+        for texts, column, match, rows in index.stream(*coded(others)):
+            least = index.first_of(rows)
+            for t, c, m, i in zip(texts.tolist(), column.tolist(), match.tolist(), least.tolist()):
+                tail = others[t][c:]
+                assert m == max(k for k in range(len(tail) + 1) if any(tail[:k] in x for x in known))
+                if m >= 8:
+                    assert i == min(d for d, x in zip(ids, known) if tail[:8] in x)
+                    seen += 1
+        assert seen > 20
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_contexts_match_brute_force_in_small_blocks(monkeypatch, seed):
+    r = random.Random(seed)
+    base = bytes(r.choice(b"abcd") for _ in range(400))
+    texts = [base[a : a + 150] if r.random() < 0.6 else base[a : a + 70] + bytes(r.choice(b"ab") for _ in range(9)) + base[a + 75 : a + 160] for a in (r.randrange(230) for _ in range(40))]
+    pack = substrings.Pack(np.arange(40, dtype=np.int64).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), __import__("zstandard").compress(b"".join(texts)), 50)
+    rows = substrings.contexts(pack, np.arange(len(pack.at)), 50)
+    ids = pack.ids[pack.doc]
+    least = {}
+    for i, t in enumerate(texts):
+        for w in range(len(t) - 49):
+            least.setdefault(t[w : w + 50], i)
+    want = {(i, w) for i, t in enumerate(texts) for w in range(len(t) - 49) if least[t[w : w + 50]] < i}
+    for most in (16_000, 7):
+        monkeypatch.setattr(substrings, "INDEXED", most)
+        got = set()
+        for row, at, i, bits in zip(rows, pack.at.tolist(), ids.tolist(), substrings.first_documents(rows, ids, 50).tolist()):
+            got |= {(i, at - 30 + w - int(pack.starts[i])) for w in range(row[80], row[81] - 49) if bits >> w & 1}
+        assert got == want and want
+
+
+def test_substrings_of_documents_with_named_ids(spark):
+    passage = "a passage of over fifty bytes that two of the documents share, word for word"
+    docs = documents(spark, [(1, "x " + passage), (2, passage + " y"), (10, "nothing"), (None, passage)]).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    got = {r["doc_id"]: sum(s["end"] - s["start"] for s in r["spans"]) for r in substrings.removals(docs).collect()}
+    assert got == {"d1": 0, "d2": len(passage), "d10": 0, None: len(passage)}
+
+
 def test_substrings_empty_table(spark):
     assert substrings.removals(documents(spark, [])).count() == 0
 

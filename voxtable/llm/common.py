@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word where a contract says ``[^\x20\x09-\x0D]+``, as a Java pattern.
@@ -46,6 +47,16 @@ def small(df: DataFrame, row_bytes: int = 64, counted: DataFrame | None = None,
     return F.broadcast(df) if (df if counted is None else counted).count() * row_bytes <= most else df
 
 
+def ordinals(ids: DataFrame) -> DataFrame:
+    """named, ordinal: the distinct values of a column, numbered in their order. They are range-partitioned and a partition sends its count, so no task orders all."""
+    named = ids.select(F.col(ids.columns[0]).alias("named")).filter("named is not null").distinct()
+    spread = cut(named.repartitionByRange("named").withColumn("part", F.spark_partition_id()))
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ahead = spread.groupBy("part").agg(F.count("*").alias("n")).select(F.col("part").alias("of"), before.alias("before"))
+    own = F.row_number().over(W.partitionBy("part").orderBy("named")) - 1
+    return cut(spread.withColumn("own", own).join(ahead, F.col("part") == F.col("of")).select("named", (F.col("before") + F.col("own")).alias("ordinal")))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

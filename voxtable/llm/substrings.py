@@ -7,17 +7,19 @@ A byte goes if it is covered by a ``length``-byte string that also starts in a d
    so windows need to meet by anchor alone. Each pack sends 32 bits an anchor to the anchor's bucket, which answers with one bit: is it in
    two documents?
 3. For each anchor in two documents a pack sends its context once (all windows around it) with the least doc_id.
-4. A bucket builds a run-length index over the contexts that agree with another one on half of their reach: suffix array, Burrows-Wheeler transform as runs
-   with suffix samples at run ends, and the places where neighbours share under ``length`` bytes. The contexts stream backwards through
-   the index (LF steps on runs), which gives their matching statistics: from ``length`` matched bytes on, the interval of the window and
-   with it the least document that has it. Contexts that are alone need no index: all but their first document repeat them.
+4. A bucket takes the contexts that agree with another one on half of their reach, by least document. Of the first half of them it builds a run-length index:
+   the Burrows-Wheeler transform as runs, suffix samples at both ends of each run, and for each stretch of rows that share ``length`` bytes the least document. The other
+   contexts stream backwards through it: an LF step where the row's run has the symbol, else a jump to the next run that has it, whose sampled suffix says how much still matches.
+   That gives their matching statistics, and from ``length`` matched bytes on the stretch of the window and with it its least document. A context
+   whose windows are all known by then needs no index. What is left is indexed in turn, at most INDEXED contexts at a time, so an index grows with what is new, not with
+   what is repeated. Contexts that are alone need none: all but their first document repeat them.
 5. The answer, a bit a window, goes back to the packs, which mark covered bytes.
 
 Work and memory of a task follow a pack or a bucket; buckets grow in number with spark.sql.shuffle.partitions. A passage in any
 share of the documents meets as one context a pack.
 
 Defined cases: null and empty texts have no bytes; texts under ``length`` bytes lose nothing; rows with equal ids don't dedup each other; a null id is
-greater than all others; an empty table gives an empty result; extra columns are not read.
+greater than all others; ids that aren't whole numbers (text, above all) go by their order; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,14 +32,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import partitions, stored, utf8
+from .common import ordinals, partitions, stored, utf8
 
 LENGTH = 50
 GRAM = 20
 PACK = 4 << 20
 _PIECE = 1 << 20
-#: Contexts in one index, but for those of one anchor.
+#: Contexts in one index at most.
 INDEXED = 16_000
 _NO_ID = np.iinfo(np.int64).max
 _PACKS = "pack long, ids binary, sizes binary, packed binary"
@@ -167,15 +170,18 @@ def contexts(pack: Pack, which: np.ndarray, length: int, gram: int = GRAM) -> np
 
 
 class RunLengthIndex:
-    """Burrows-Wheeler transform of many short texts as runs, with suffix samples at run ends and the depth-``length`` intervals.
+    """Burrows-Wheeler transform of many short texts as runs, with suffix samples at both ends of each run and the least id of each stretch of rows that share ``length`` symbols.
 
-    Texts are rows of symbols 1..256, 0 from their end on. A suffix is (text, column); suffixes that are equal to their text's end are in text order.
+    Texts are rows of symbols 1..256, 0 from their end on. A suffix is (text, column); suffixes that are equal to their text's end are in text order. The order of all
+    suffixes is made by prefix doubling and not kept.
     """
 
-    def __init__(self, symbols: np.ndarray, sizes: np.ndarray, length: int):
+    def __init__(self, symbols: np.ndarray, sizes: np.ndarray, least: np.ndarray, length: int):
         m, w = symbols.shape
-        self.sizes, self.symbols = sizes, symbols
-        wide = np.concatenate([symbols, np.zeros((m, 1), symbols.dtype)], 1).astype(np.int64)
+        self.sizes, self.length = sizes, length
+        #: The texts; what lies behind an end matches nothing.
+        self.symbols = np.concatenate([symbols, np.zeros((m, w + 1), symbols.dtype)], 1)
+        wide = self.symbols[:, : w + 1].astype(np.int64)
 
         def ahead(x: np.ndarray, by: int) -> np.ndarray:
             out = np.zeros_like(x)
@@ -199,48 +205,110 @@ class RunLengthIndex:
         text, column = text[order], column[order]
         before = np.where(column > 0, wide[text, np.maximum(column - 1, 0)], 0)
         self.starts = np.r_[0, np.flatnonzero(np.diff(before)) + 1]
+        self.ends = np.r_[self.starts[1:], len(before)]
         self.heads = before[self.starts]
-        ends = np.r_[self.starts[1:], len(before)]
-        self.samples = np.stack([text[ends - 1], column[ends - 1]], 1)
+        self.first_sample = np.stack([text[self.starts], column[self.starts]])
+        self.last_sample = np.stack([text[self.ends - 1], column[self.ends - 1]])
         # LF of each run's first row: rows of smaller symbols, then of the same symbol in runs before
         by_head = np.argsort(self.heads, kind="stable")
-        long = (ends - self.starts)[by_head]
+        long = (self.ends - self.starts)[by_head]
         self.landing = np.empty(len(self.starts), np.int64)
         self.landing[by_head] = np.cumsum(long) - long
+        self.by_head = np.sort(self.heads * len(self.starts) + np.arange(len(self.starts)))
         first, second = part[text, column], ahead(part, rest)[text, column] if rest else part[text, column]
-        self.intervals = np.r_[0, np.flatnonzero((np.diff(first) != 0) | (np.diff(second) != 0)) + 1]
+        self.stretches = np.r_[0, np.flatnonzero((np.diff(first) != 0) | (np.diff(second) != 0)) + 1]
+        self.least = np.minimum.reduceat(least[text], self.stretches)
 
-    def lf(self, rows: np.ndarray) -> np.ndarray:
-        run = np.searchsorted(self.starts, rows, "right") - 1
+    def lf(self, rows: np.ndarray, run: np.ndarray | None = None) -> np.ndarray:
+        run = np.searchsorted(self.starts, rows, "right") - 1 if run is None else run
         return self.landing[run] + rows - self.starts[run]
 
-    def stream(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """All texts backwards in step: (texts, column, interval) from ``length`` matched symbols on."""
+    def first_of(self, rows: np.ndarray) -> np.ndarray:
+        """Least id of the texts that have the first ``length`` symbols of these rows' suffixes."""
+        return self.least[np.searchsorted(self.stretches, rows, "right") - 1]
+
+    def own(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The indexed texts, backwards in step from their ends: (texts, column, least id of the window there)."""
         rows = np.arange(len(self.sizes))  # the empty suffixes come first, in text order
         texts = np.arange(len(self.sizes))
         for back in range(1, int(self.sizes.max(initial=0)) + 1):
             going = self.sizes[texts] >= back
             texts, rows = texts[going], self.lf(rows[going])
-            if back >= length:
-                yield texts, self.sizes[texts] - back, np.searchsorted(self.intervals, rows, "right") - 1
+            if back >= self.length:
+                yield texts, self.sizes[texts] - back, self.first_of(rows)
+
+    def stream(self, symbols: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Matching statistics of other texts, backwards in step: (texts, column, longest match from there, a row whose suffix has it)."""
+        texts = np.arange(len(sizes))
+        rows, match = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        for back in range(1, int(sizes.max(initial=0)) + 1):
+            going = sizes[texts] >= back
+            texts, rows, match = texts[going], rows[going], match[going]
+            column = sizes[texts] - back
+            symbol = symbols[texts, column].astype(np.int64)
+            run = np.searchsorted(self.starts, rows, "right") - 1
+            lost = np.flatnonzero(self.heads[run] != symbol)
+            if len(lost):
+                n = len(self.starts)
+                at = np.searchsorted(self.by_head, symbol[lost] * n + run[lost])
+                below, above = self.by_head[np.minimum(at, n - 1)], self.by_head[np.maximum(at - 1, 0)]
+                some_below, some_above = (at < n) & (below // n == symbol[lost]), (at > 0) & (above // n == symbol[lost])
+                below, above = below % n, above % n
+                of, here = texts[lost], column[lost] + 1
+                down = np.where(some_below, self.common(symbols, of, here, self.first_sample[:, below], np.where(some_below, match[lost], 0)), -1)
+                up = np.where(some_above, self.common(symbols, of, here, self.last_sample[:, above], np.where(some_above, match[lost], 0)), -1)
+                to_below = down >= up
+                run[lost] = np.where(to_below, below, above)
+                rows[lost] = np.where(to_below, self.starts[below], self.ends[above] - 1)
+                match[lost] = np.maximum(down, up)
+            rows, match = self.lf(rows, run), match + 1
+            rows[match == 0] = 0  # no text has the symbol
+            yield texts, column, match, rows
+
+    def common(self, symbols: np.ndarray, texts: np.ndarray, columns: np.ndarray, sample: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """How much, up to ``most``, the texts from these columns on have in common with the sampled suffixes."""
+        out, left = np.zeros(len(texts), np.int64), np.flatnonzero(most > 0)
+        k = 0
+        while len(left):
+            left = left[symbols[texts[left], columns[left] + k] == self.symbols[sample[0, left], sample[1, left] + k]]
+            k += 1
+            out[left] = k
+            left = left[most[left] > k]
+        return out
 
 
 def _matched(unique: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray, length: int, width: int) -> np.ndarray:
-    """Bits of the windows that a context with a smaller least document has too."""
+    """Bits of the windows that a context with a smaller least document has too. Contexts come by least document."""
     columns = np.arange(width)[None, :] + left[:, None]
-    symbols = np.where(columns < right[:, None], np.take_along_axis(unique, np.minimum(columns, width - 1), 1).astype(np.int16) + 1, 0)
-    index = RunLengthIndex(symbols, right - left, length)
-    best = np.full(len(index.intervals), _NO_ID)
-    met = list(index.stream(length))
-    for texts, _, interval in met:
-        np.minimum.at(best, interval, least[texts])
-    marks = np.zeros(len(unique), np.uint64)
-    for texts, column, interval in met:
-        hit = best[interval] < least[texts]
+    symbols = np.where(columns < right[:, None], np.take_along_axis(unique, np.minimum(columns, width - 1), 1).astype(np.int16) + 1, 0).astype(np.int16)
+    sizes, marks = right - left, np.zeros(len(unique), np.uint64)
+    all_ = _windows(left, right, length, width)
+
+    def mark(texts: np.ndarray, column: np.ndarray, known: np.ndarray) -> None:
+        hit = known < least[texts]
         marks[texts[hit]] |= np.uint64(1) << (column[hit] + left[texts[hit]]).astype(np.uint64)
+
+    waiting = np.arange(len(unique))
+    while len(waiting):
+        n = min(INDEXED, -(-len(waiting) // 2) if len(waiting) == len(unique) else len(waiting))
+        now, waiting = waiting[:n], waiting[n:]
+        index = RunLengthIndex(symbols[now], sizes[now], least[now], length)
+        for texts, column, known in index.own():
+            mark(now[texts], column, known)
+        for texts, column, match, rows in index.stream(symbols[waiting], sizes[waiting]):
+            met = match >= length
+            mark(waiting[texts[met]], column[met], index.first_of(rows[met]))
+        waiting = waiting[marks[waiting] != all_[waiting]]
     return marks
 
 
+def _windows(left: np.ndarray, right: np.ndarray, length: int, width: int) -> np.ndarray:
+    """A bit for each window of ``length`` bytes between left and right."""
+    window = np.arange(width - length + 1, dtype=np.uint64)
+    bits = np.where((window >= left[:, None].astype(np.uint64)) & (window + np.uint64(length) <= right[:, None].astype(np.uint64)), np.uint64(1) << window, np.uint64(0))
+    return np.bitwise_or.reduce(bits, axis=1) if len(bits) else np.zeros(0, np.uint64)
+
+
 def first_documents(rows: np.ndarray, ids: np.ndarray, length: int, gram: int = GRAM) -> np.ndarray:
     """For the contexts (bytes) and their ids, a bit for each window that also starts in a smaller document."""
     reach, width = length - gram, 2 * length - gram
@@ -268,11 +336,10 @@ def first_documents(rows: np.ndarray, ids: np.ndarray, length: int, gram: int =
     piece = _mixed(anchor.view("<u8")) % np.uint64(len(several) // INDEXED + 1)
     for k in range(len(several) // INDEXED + 1):
         own = several[piece == k]
+        own = own[np.argsort(least[own], kind="stable")]
         if len(own):
             marks[own] = _matched(unique[own], left[own], right[own], least[own], length, width)
-    window = np.arange(reach + 1, dtype=np.uint64)
-    bits = np.where((window >= left[:, None]) & (window + np.uint64(length) <= right[:, None]), np.uint64(1) << window, np.uint64(0))
-    every = np.bitwise_or.reduce(bits, axis=1) if len(bits) else np.zeros(0, np.uint64)
+    every = _windows(left, right, length, width)
     return np.where(ids > least[back], every[back], marks[back])
 
 
@@ -293,6 +360,10 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, spans (array<struct<start, end>>, bytes, maximal removed runs) and kept (binary) of every row."""
     if not GRAM + 8 <= length <= 80:
         raise ValueError("length must be between 28 and 80")
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        order = ordinals(docs.select("doc_id"))
+        numbered = docs.select("doc_id", "text").join(order, F.col("doc_id") == F.col("named"), "left").select(F.col("ordinal").alias("doc_id"), "text")
+        return removals(numbered, length).join(order, F.col("doc_id") == F.col("ordinal"), "left").select(F.col("named").alias("doc_id"), "n_bytes", "spans", "kept")
     n = partitions(docs.sparkSession)
     packs = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_packs, _PACKS))
 
