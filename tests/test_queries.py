@@ -2,6 +2,9 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -46,3 +49,17 @@ def test_entry_and_registry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(ORACLES) <= set(entry.oracle_sql()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_text_operators(tmp_path):
+    """The text operators and their tests may be deleted; their pipeline's file may stay or go with them."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(os.path.join(root, "voxtable"), tmp_path / "voxtable", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(os.path.join(root, name)):
+            shutil.copy(os.path.join(root, name), tmp_path / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), sum(n.startswith('op') or n == 'pipeline' for n in e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
+    for _ in range(2):
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True).stdout.split()
+        assert out == [str(len(QUERIES)), "0", "True"]
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
