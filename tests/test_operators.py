@@ -51,7 +51,7 @@ def test_tokenize_longest_match(spark):
 
 @pytest.mark.parametrize(
     "text,want",
-    [("a [b][c] d", [("twi", "a"), ("eng", "b"), ("eng", "c"), ("twi", "d")]), ("[] x [y", [("twi", "x [y")]), ("[ z ]", [("eng", "z")]), ("", []), ("p ] q", [("twi", "p ] q")])],
+    [("a [b][c] d", [("twi", "a"), ("eng", "b"), ("eng", "c"), ("twi", "d")]), ("[] x [y", [("twi", "x [y")]), ("[ z ]", [("eng", "z")]), ("", []), ("p ] q", [("twi", "p ] q")]), ("\x01a[b\x02]c", [("twi", "\x01a"), ("eng", "b\x02"), ("twi", "c")]), ("x [a [b] c", [("twi", "x"), ("eng", "a [b"), ("twi", "c")])],
 )
 def test_switch_spans(spark, text, want):
     assert [tuple(x) for x in one(spark, units.switch_spans(F.lit(text), "twi"))] == want
@@ -73,6 +73,12 @@ def test_edit_distance_counts_units(spark):
     assert all(x["d"] == distance(x["a"], x["b"]) for x in frame.withColumn("d", units.edit_distance(F.col("a"), F.col("b"))).collect())
 
 
+def test_edit_distance_of_many_distinct_units(spark):
+    a, b = [f"a{i}" for i in range(7000)], [f"b{i}" for i in range(7000)]
+    frame = spark.createDataFrame([(a, b), (a, a[1:] + ["x"]), (a, [])], "a array<string>, b array<string>")
+    assert [x["d"] for x in frame.withColumn("d", units.edit_distance(F.col("a"), F.col("b"))).collect()] == [7000, 2, 7000]
+
+
 def test_encode_ids(spark):
     table = symbols.map_column({"^": [1], "_": [0], "$": [2], "a": [5], "b": [6, 7], "«en»": [9]})
     encode = lambda us, lang: one(spark, units.encode_ids(F.array(*map(F.lit, us)).cast("array<string>"), F.lit(lang), table))
@@ -171,11 +177,14 @@ def test_shards_read_with_provenance(spark, tmp_path):
 
 def test_manifest_round_trip(spark, tmp_path):
     r = random.Random(3)
-    texts = ["".join(r.choice('ab\t\\"\r\n é') for _ in range(r.randint(0, 12))) for _ in range(200)] + ["", "\\", "\r\n", "\t"]
+    texts = ["".join(r.choice('ab\t\\"\r\n é\x01\x02') for _ in range(r.randint(0, 12))) for _ in range(200)] + ["", "\\", "\r\n", "\t"]
     rows = [(f"i{k:03d}", "s", "train", 1.5, t, "a b", 2, "en") for k, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "id string, speaker string, split string, duration double, text string, ipa string, n_units int, language string")
-    manifest.write_manifest(frame, str(tmp_path / "m"))
-    assert values(manifest.read_manifest(spark, str(tmp_path / "m")), *manifest.FIELDS) == values(frame, *manifest.FIELDS)
+    for k, single in enumerate((False, True)):
+        manifest.write_manifest(frame.repartition(4), str(tmp_path / f"m{k}"), single=single)
+        back = manifest.read_manifest(spark, str(tmp_path / f"m{k}"))
+        assert values(back, *manifest.FIELDS) == values(frame, *manifest.FIELDS)
+        assert [r["id"] for r in back.orderBy("line_no").collect()] == sorted(r[0] for r in rows)
 
 
 def test_merge_and_summary(spark):
@@ -261,6 +270,19 @@ def test_lexicon_coverage(spark):
     frame = spark.createDataFrame([("1", "The cat, the dog"), ("2", ""), ("3", None), ("4", "dog")], "id string, text string")
     got = {r["id"]: (r["phones"], r["coverage"]) for r in selection.lexicon_lookup(frame, lexicon).collect()}
     assert got == {"1": (["DH", "AH0", "K", "AE1", "T", "DH", "AH0"], 0.75), "2": ([], 0.0), "3": ([], 0.0), "4": ([], 0.0)}
+    joined = selection.lexicon_lookup(frame, lexicon, most=0)
+    assert {r["id"]: (r["phones"], r["coverage"]) for r in joined.collect()} == got
+    listed = spark.createDataFrame([("the", ["X"], 0), ("the", ["DH", "AH0"], 1)], "word string, phones array<string>, at int")
+    assert selection.lexicon_lookup(frame.filter("id = '1'"), listed, order="at").first()["phones"] == ["X", "X"]
+    assert selection.lexicon_lookup(frame, lexicon.limit(0)).filter("coverage = 0 and size(phones) = 0").count() == 4
+
+
+def test_candidates_are_placed(spark):
+    r = random.Random(2)
+    rows = [(f"c{i:03d}", r.choice([0.1, 0.2]), 15.0, r.random() < 0.8) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id string, uer double, snr_est double, eligible boolean").repartition(5)
+    want = [x[0] for x in sorted((x for x in rows if x[3]), key=lambda x: (x[1], x[0]))]
+    assert [x["id"] for x in selection.placed(frame).orderBy("place").collect()] == want
 
 
 # ---- batches, speakers, plugs ----
@@ -320,9 +342,33 @@ def test_pseudo_speakers_label_every_clip(spark):
     assert len({(int(r["id"][1:]) % 4, r["speaker"]) for r in out}) == 4
 
 
+def test_pseudo_speakers_of_few_rows(spark):
+    frame = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.1])], "id string, embedding array<double>")
+    assert speakers.pseudo_speakers(frame.limit(0)).collect() == []
+    same = spark.createDataFrame([(str(i), [0.6, 0.8]) for i in range(12)], "id string, embedding array<double>")
+    assert len({r["speaker"] for r in speakers.pseudo_speakers(same).collect()}) == 1
+    assert len(speakers.pseudo_speakers(frame.limit(1)).collect()) == 1 and len({r["speaker"] for r in speakers.pseudo_speakers(frame).collect()}) == 1
+
+
+@pytest.mark.parametrize("n", [0.001])
+def test_pseudo_speakers_match_plain_clustering(spark, n):
+    """The registered query on the whole table: every clip has the speaker of its centroid, and centroids are merged as plain linkage merges them."""
+    rows = spark.read.parquet(f"/root/testdata/sf{n}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("id"), "embedding")
+    placed, centers = speakers.oversegment(rows)
+    groups = plain_linkage(centers, 0.7)
+    of = {i: k for k, g in enumerate(groups) for i in g}
+    told = speakers.label_speakers(placed, speakers.agglomerate(centers, 0.7)).collect()
+    assert len(told) == rows.count() and len({(of[r["centroid"]], r["speaker"]) for r in told}) == len({r["speaker"] for r in told})
+
+
+def test_unknown_spans_of_mixed_sentences(spark):
+    spans = spark.createDataFrame([("1", 0, "twi", "ab", ["a", "b"]), ("1", 2, "eng", "zzz", []), ("1", 1, "eng", "q", []), ("2", 0, "twi", "c", ["c"])], "id string, pos int, lang string, span string, units array<string>")
+    assert sorted((r["id"], r["units"], r["unknown"]) for r in manifests.joined_spans(spans).collect()) == [("1", ["a", "b"], ["q", "zzz"]), ("2", ["c"], [])]
+
+
 def test_plugs_with_stand_ins(spark):
-    rows = [(f"w{i}", "s", 100, 0, [float(i + 1)] * (i + 1)) for i in range(4)]
-    frame = spark.createDataFrame(rows, "id string, shard string, rate int, batch long, samples array<float>")
+    rows = [(f"w{i}", 100, [float(i + 1)] * (i + 1)) for i in range(4)]
+    frame = spark.createDataFrame(rows, "id string, rate int, samples array<float>")
     got = plugs.recognize(frame, lambda: lambda waves, rate: [[0, len(w), len(w), 0] for w in waves], ["-", "a", "b", "c", "d"])
     assert values(got, "id", "units") == [("w0", ["a"]), ("w1", ["b"]), ("w2", ["c"]), ("w3", ["d"])]
     vectors = plugs.embed(frame, lambda: lambda waves, rate: np.array([[len(w), 0.0] for w in waves]), 0.02).collect()
@@ -339,6 +385,7 @@ def test_plugs_with_stand_ins(spark):
 
     made, mapping, fresh = plugs.rederive_targets(texts, {"twi": spell, "eng": plugs.tokenizing(["x", "y"], lambda t: t + "?")}, {"^": [1], "_": [0], "$": [2], "a": [9]})
     assert fresh == ["b", "x", "y"] and mapping["b"] == [3]
+    assert {r["id"]: r["failed"] for r in made.collect()} == {"1": None, "2": None, "3": "no plug", "4": "RuntimeError"}
     assert {r["id"]: r["ids"] for r in made.collect()} == {"1": [1, 0, 9, 0, 3, 0, 2], "2": [1, 0, 4, 0, 5, 0, 2], "3": None, "4": None}
 
 
@@ -351,6 +398,48 @@ def test_wavs_are_exported_listed_and_read(spark, tmp_path):
     assert values(back.select("id", "rate", F.size("samples").alias("n")), "id", "rate", "n") == [("a", 400, 400), ("b", 400, 200)]
 
 
+def test_transcription_from_bytes_to_units(spark):
+    """Waves of several lengths and rates; the stand-in model says the sign of each frame's mean, so padding and normalisation show."""
+    r = np.random.default_rng(1)
+    waves = {f"w{i}": (np.repeat(r.choice([-0.6, 0.6], 6 + i), 320 * rate // 16000).astype(np.float32), rate) for i, rate in enumerate([16000, 32000, 16000, 48000, 16000])}
+    frame = spark.createDataFrame([(k, bytearray(audio.encode_wav(x, rate))) for k, (x, rate) in waves.items()], "id string, bytes binary").repartition(2)
+
+    def plug():
+        def model(block, sizes, rate):
+            assert rate == 16000 and block.shape == (len(sizes), max(sizes)) and all(not b[n:].any() and abs(b[:n].mean()) < 1e-3 for b, n in zip(block, sizes))
+            frames = block[:, : block.shape[1] // 320 * 320].reshape(len(block), -1, 320).mean(axis=2)
+            return np.where(frames > 0, 1, 2)
+
+        return model
+
+    got = {x["id"]: x for x in plugs.transcribe(frame, plug, ["-", "up", "down"], budget=20_000, max_rows=3).collect()}
+    for k, (x, rate) in waves.items():
+        signs = x[:: 320 * rate // 16000] > x.mean()
+        want = [("up" if s else "down") for j, s in enumerate(signs) if j == 0 or s != signs[j - 1]]
+        assert got[k]["units"] == want and got[k]["n_units"] == len(want) and got[k]["ipa"] == " ".join(want) and abs(got[k]["duration"] - len(x) / rate) < 1e-6
+
+
+def test_every_writer(spark, tmp_path):
+    rows = [(f"c{i}", f"c{i}.wav", f"{'test' if i % 4 == 0 else 'train'}-{i % 2}", i, 1.5, f"text {i}", "a b", ["a", "b"], 2) for i in range(12)]
+    frame = spark.createDataFrame(rows, 'id string, audio_path string, shard string, row int, duration float, text string, ipa string, ipa_units array<string>, n_units int')
+    corpus.write_results(frame, str(tmp_path / "results"))
+    assert values(spark.read.parquet(str(tmp_path / "results")), "id", "shard") == values(frame, "id", "shard")
+    corpus.write_sidecar(frame, str(tmp_path / "side"), 4)
+    side = spark.read.parquet(str(tmp_path / "side"))
+    assert side.count() == 12 and max(r["count"] for r in side.groupBy("file_name").count().collect()) <= 4
+    stats = assemble.corpus_stats(frame)
+    corpus.write_stats(stats, str(tmp_path / "stats"))
+    assert values(spark.read.json(str(tmp_path / "stats")), "split", "clips") == values(stats, "split", "clips") == [("test", 3), ("train", 9)]
+    assert corpus.stats_markdown(stats).splitlines()[2:] == ["| `test` | 3 | 0.0 | 6 | 2.0 |", "| `train` | 9 | 0.0 | 18 | 2.0 |"]
+    languages = spark.createDataFrame([("1", "en"), ("2", "twi")], "id string, language string")
+    manifests.write_language(languages, str(tmp_path / "by"))
+    manifests.write_language(spark.createDataFrame([("9", "en")], "id string, language string"), str(tmp_path / "by"))
+    assert values(spark.read.parquet(str(tmp_path / "by")), "id", "language") == [("2", "twi"), ("9", "en")]
+    lines = frame.withColumns({"speaker": F.lit("s"), "split": F.split_part("shard", F.lit("-"), F.lit(1)), "ids": F.array(F.lit(1), F.lit(2))})
+    manifest.write_training_metadata(lines, str(tmp_path / "meta"))
+    assert ("val", "c0.wav|s|text 0|1 2") in values(spark.read.text(str(tmp_path / "meta")), "set", "value")
+
+
 def test_ingest_takes_new_shards_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id string, text string, n_units int, duration double"

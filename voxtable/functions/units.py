@@ -60,11 +60,12 @@ def alternation(symbols: list[str]) -> str:
 def switch_spans(text: Column, matrix: str, inner: str = "eng") -> Column:
     """array<struct<lang, text>>: [bracketed] spans are in the inner language, the rest in the matrix one; trimmed, empty ones dropped.
 
-    Brackets become marks first, so one split gives all spans in order; an unmatched [ is plain text.
+    One extraction gives bracketed and other stretches in order; an unmatched [ is plain text.
     """
-    marked = F.regexp_replace(text, r"\[([^\]]*)\]", "\x01$1\x02")
-    parts = F.flatten(F.transform(F.split(marked, "\x01"), lambda p: F.transform(F.split(p, "\x02"), lambda q, i: F.struct(((F.size(F.split(p, "\x02")) == 2) & (i == 0)).alias("inside"), q.alias("part")))))
-    spans = F.transform(parts, lambda x: F.struct(F.when(x["inside"], inner).otherwise(matrix).alias("lang"), trimmed(x["part"]).alias("text")))
+    parts = F.regexp_extract_all(text, F.lit(r"\[[^\]]*\]|(?:(?!\[[^\]]*\])[\s\S])++"), F.lit(0))
+    inside = lambda p: F.startswith(p, F.lit("[")) & F.endswith(p, F.lit("]"))
+    bare = lambda p: F.when(inside(p), F.substr(p, F.lit(2), F.length(p) - 2)).otherwise(p)
+    spans = F.transform(parts, lambda p: F.struct(F.when(inside(p), inner).otherwise(matrix).alias("lang"), trimmed(bare(p)).alias("text")))
     return F.filter(spans, lambda x: x["text"] != "")
 
 
@@ -89,16 +90,29 @@ def encode_ids(units: Column, lang: Column | None, symbols: Column, bos: str = "
     token = F.element_at(symbols, F.concat(F.lit("«"), F.coalesce(lang, F.lit("")), F.lit("»"))) if lang is not None else F.lit(None).cast("array<int>")
     head = F.when(token.isNotNull(), F.concat(token, of(pad))).otherwise(nothing)
     body = F.flatten(F.transform(units, lambda u: F.concat(F.element_at(symbols, u), of(pad))))
-    return F.when(F.size(units) > 0, F.concat(of(bos), of(pad), head, body, of(eos)))
+    # whether there are ids is told from the set of units: a filter on it needs no encoding
+    known = (F.size(units) > 0) & (F.size(F.array_except(units, F.map_keys(symbols))) == 0)
+    return F.when(known, F.coalesce(F.concat(of(bos), of(pad), head, body, of(eos)), nothing))
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two unit arrays, inside Spark: each distinct unit of the pair becomes one code point for levenshtein. Up to 6493 distinct units a pair."""
+    """Edit distance of two unit arrays, inside Spark: each distinct unit of the pair becomes one code point for levenshtein. There are 1,048,576 of these beyond
+    the short table; a pair with more distinct units is an error."""
 
     def coded(x: Column, known: Column) -> Column:
         return F.array_join(F.transform(x, lambda u: F.substr(F.lit(_CODES), F.array_position(known, u).cast("int"), F.lit(1))), "")
 
-    return bound(F.array_distinct(F.concat(a, b)), lambda known: F.levenshtein(coded(a, known), coded(b, known))).cast("long")
+    def wide(x: Column, known: Column) -> Column:
+        """Supplementary code points, written as UTF-32."""
+        code = lambda u: F.lit(0xFFFF) + F.array_position(known, u)
+        return F.decode(F.unhex(F.array_join(F.transform(x, lambda u: F.lpad(F.hex(code(u)), 8, "0")), "")), "UTF-32")
+
+    def distance(known: Column) -> Column:
+        few = F.size(known) <= len(_CODES)
+        too_many = F.raise_error(F.lit("over 1,048,576 distinct units in a pair")).cast("int")
+        return F.when(few, F.levenshtein(coded(a, known), coded(b, known))).when(F.size(known) <= 1 << 20, F.levenshtein(wide(a, known), wide(b, known))).otherwise(too_many)
+
+    return bound(F.array_distinct(F.concat(a, b)), distance).cast("long")
 
 
 def l2_normalize(vec: Column) -> Column:

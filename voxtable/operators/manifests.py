@@ -66,8 +66,11 @@ def span_rows(df: DataFrame, matrix: str, inner: str = "eng", text: str = "text"
 
 
 def joined_spans(spans: DataFrame, id_: str = "id") -> DataFrame:
-    """id, units of the spans in order (columns pos, units)."""
-    return spans.groupBy(id_).agg(F.flatten(F.sort_array(F.collect_list(F.struct("pos", "units")))["units"]).alias("units"))
+    """id, units of the spans in order (columns pos, units); with a column span also unknown: the spans, in order, for which there are no units."""
+    inner = ["pos", "units", *(["span"] if "span" in spans.columns else [])]
+    rows = spans.groupBy(id_).agg(F.sort_array(F.collect_list(F.struct(*inner))).alias("all"))
+    unknown = [F.transform(F.filter("all", lambda x: F.size(x["units"]) == 0), lambda x: x["span"]).alias("unknown")] if "span" in inner else []
+    return rows.select(id_, F.flatten(F.col("all.units")).alias("units"), *unknown)
 
 
 def synthesis_requests(encoded: DataFrame, speaker_ids: DataFrame, forced: str | None = None, limit: int | None = None, order: str = "line_no") -> DataFrame:

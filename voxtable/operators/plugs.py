@@ -12,33 +12,84 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtable.functions.audio import cap_wave, decode_wav, normalize_wave, resample, resampled_length
 from voxtable.functions.units import ctc_collapse
+from voxtable.operators.batching import batch_numbers
 from voxtable.operators.symbols import SymbolMap, collected, encoded, extend_symbol_map, fresh_symbols
 
 Waves = list[np.ndarray]
 
 
-def recognize(batches: DataFrame, plug: Callable[[], Callable[[Waves, int], list[list[int]]]], vocab: list[str], by: tuple[str, ...] = ("shard", "rate", "batch")) -> DataFrame:
-    """Rows with by, id and samples, one batch a group (see padded_batches) -> id, units. The plug gives CTC ids of each wave."""
+#: Frames of a wave of so many samples: one for so many of them.
+DOWNSAMPLE = 320
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rate = int(group["rate"].iloc[0])
-        ids = _once(plug)([np.asarray(x, np.float32) for x in group["samples"]], rate)
-        return pd.DataFrame({"id": group["id"], "ids": [list(map(int, x)) for x in ids]})
 
-    out = batches.groupBy(*by).applyInPandas(run, "id string, ids array<int>")
-    return out.select("id", ctc_collapse(F.col("ids"), F.array(*map(F.lit, vocab))).alias("units"))
+def recognize(waves: DataFrame, plug: Callable[[], Callable[[Waves, int], list[list[int]]]], vocab: list[str], budget: int = 16_000_000, max_rows: int = 64, held: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, samples, rate -> id, units (and the thin columns in keep). Waves stay in the tasks that have them: a task takes waves of about ``held`` budgets at a time, forms batches of one rate by length (see
+    batching.batch_numbers) and hands each to the plug, which gives CTC ids of each wave."""
 
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, waiting, size = plug(), [], 0
+
+        def told() -> Iterator[pd.DataFrame]:
+            for rate in sorted({w[2] for w in waiting}):
+                own = sorted(((len(x), i, x, kept) for i, x, r, kept in waiting if r == rate), key=lambda x: x[:2])
+                number = batch_numbers(np.array([n for n, *_ in own], np.int64), budget, max_rows)
+                for k in range(int(number[-1]) + 1):
+                    batch = [own[j] for j in np.flatnonzero(number == k)]
+                    ids = model([w[2] for w in batch], rate)
+                    yield pd.DataFrame({"id": [w[1] for w in batch], "ids": [list(map(int, x)) for x in ids], **{c: [w[3][j] for w in batch] for j, c in enumerate(keep)}})
+
+        for pdf in parts:
+            for i, x, r, *kept in zip(pdf["id"], pdf["samples"], pdf["rate"], *(pdf[c] for c in keep), strict=True):
+                waiting.append((i, np.asarray(x, np.float32), int(r), kept))
+                size += len(x)
+                if size >= held * budget:
+                    yield from told()
+                    waiting, size = [], 0
+        yield from told()
+
+    thin = "".join(f", `{c}` {waves.schema[c].dataType.simpleString()}" for c in keep)
+    out = waves.select("id", "samples", "rate", *keep).mapInPandas(run, f"id string, ids array<int>{thin}")
+    return out.select("id", *keep, ctc_collapse(F.col("ids"), F.array(*map(F.lit, vocab))).alias("units"))
+
+
+def transcribe(
+    shards: DataFrame, plug: Callable[[], Callable[[np.ndarray, np.ndarray, int], list[list[int]]]], vocab: list[str], target: int = 16_000, max_seconds: float | None = None, audio: str = "bytes",
+    budget: int = 16_000_000, max_rows: int = 64,
+) -> DataFrame:
+    """id, wav bytes -> id, duration, units, n_units, ipa: the whole way from bytes to units.
+
+    Each wave is decoded, mixed to one channel, brought to the target rate, cut at max_seconds and normalised over its own samples; batches by length are padded with zeros. The plug
+    gets a matrix of waves, their lengths and the rate, and gives frame ids; frames beyond a wave's own are dropped, repeats and blanks collapse. Audio is decoded where it is read and never shuffled.
+    """
+
+    def front(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            waves, seconds = [], []
+            for data in pdf[audio]:
+                x, rate = decode_wav(data)
+                seconds.append(len(x) / rate)
+                y = resample(x, rate, target)[: resampled_length(len(x), rate, target, len(x) * target // rate + 1)]
+                y = cap_wave(y, target, max_seconds) if max_seconds else y
+                waves.append(normalize_wave(y))
+            yield pd.DataFrame({"id": pdf["id"], "samples": waves, "rate": np.full(len(pdf), target, np.int32), "duration": np.array(seconds, np.float32)})
+
+    def padded() -> Callable[[Waves, int], list[list[int]]]:
+        model = plug()
 
-_made: dict[int, tuple[object, object]] = {}
+        def run(waves: Waves, rate: int) -> list[list[int]]:
+            sizes = np.array([len(x) for x in waves])
+            block = np.zeros((len(waves), max(1, sizes.max(initial=0))), np.float32)
+            for row, x in zip(block, waves, strict=True):
+                row[: len(x)] = x
+            return [list(ids)[: max(1, n // DOWNSAMPLE)] for ids, n in zip(model(block, sizes, rate), sizes.tolist(), strict=True)]
 
+        return run
 
-def _once(plug: Callable[[], Callable]) -> Callable:
-    """The plug's function, made once in a Python worker."""
-    held = _made.get(id(plug))
-    if held is None or held[0] is not plug:
-        held = _made[id(plug)] = (plug, plug())
-    return held[1]
+    waves = shards.select("id", audio).mapInPandas(front, "id string, samples array<float>, rate int, duration float")
+    out = recognize(waves, padded, vocab, budget, max_rows, keep=("duration",))
+    return out.select("id", "duration", "units", F.size("units").alias("n_units"), F.array_join("units", " ").alias("ipa"))
 
 
 def embed(df: DataFrame, plug: Callable[[], Callable[[Waves, int], np.ndarray]], cap_seconds: float = 8.0) -> DataFrame:
@@ -57,21 +108,24 @@ def embed(df: DataFrame, plug: Callable[[], Callable[[Waves, int], np.ndarray]],
 
 
 def phonemise(df: DataFrame, plugs: dict[str, Callable[[], Callable[[str], list[str]]]], text: str = "text", language: str = "language") -> DataFrame:
-    """df with units: each text by the plug of its language; a failing or missing plug gives no units."""
+    """df with units and failed: each text by the plug of its language; a failing or missing plug gives no units and says so (failed: the error's name, null if there is none)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = {k: p() for k, p in plugs.items()}
 
-        def units(lang, value) -> list[str]:
+        def units(lang, value) -> tuple[list[str], str | None]:
+            if lang not in made:
+                return [], "no plug"
             try:
-                return list(made[lang](value or ""))
-            except Exception:  # noqa: BLE001  an engine may fail on one text in any way; that text has no units then
-                return []
+                return list(made[lang](value or "")), None
+            except Exception as e:  # noqa: BLE001  an engine may fail on one text in any way; that text has no units then
+                return [], type(e).__name__
 
         for pdf in parts:
-            yield pdf.assign(units=[units(a, b) for a, b in zip(pdf[language], pdf[text], strict=True)])
+            got = [units(a, b) for a, b in zip(pdf[language], pdf[text], strict=True)]
+            yield pdf.assign(units=[x for x, _ in got], failed=[e for _, e in got])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "units array<string>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "units array<string>, failed string"])
     return df.mapInPandas(run, schema)
 
 

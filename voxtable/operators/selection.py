@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxtable.functions.classes import ipa_classes, phone_classes
 from voxtable.functions.clips import phoneme_rate, reasons
 from voxtable.functions.units import collapse, split_units
+from voxtable.sources.corpus import prefix_sums, settled
 
 
 @dataclass(frozen=True)
@@ -28,29 +30,61 @@ class Limits:
     max_rate: float = 25.0
 
 
-#: A lexicon of so many words at most is broadcast as one map; a larger one is joined by word.
-LEXICON_ROWS = 500_000
+#: A lexicon of so many bytes at most is sent to all tasks, which then look words up where the rows are; a larger one is joined by word.
+LEXICON_BYTES = 64 << 20
 
 
-def lexicon_lookup(df: DataFrame, lexicon: DataFrame, text: str = "text", id_: str = "id") -> DataFrame:
-    """id, phones (of the known words, in order), coverage = known / words (0 without words). lexicon: word, phones; the first pronunciation is the least."""
-    lexicon = lexicon.groupBy("word").agg(F.min("phones").alias("phones"))
-    words = df.select(id_, F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z']+"), F.lit(0)).alias("words"))
-    rows = words.select(id_, F.posexplode_outer("words").alias("at", "word"))
-    small = lexicon.limit(LEXICON_ROWS + 1).count() <= LEXICON_ROWS
-    known = rows.join(F.broadcast(lexicon) if small else lexicon, "word", "left")
+def lexicon_lookup(df: DataFrame, lexicon: DataFrame, text: str = "text", id_: str = "id", order: str | None = None, most: int = LEXICON_BYTES) -> DataFrame:
+    """df with phones (of the known words, in order) and coverage = known / words (0 without words).
+
+    lexicon: word, phones. Of a word's pronunciations the first by the column ``order`` counts; without one, the least.
+    """
+    one = F.min("phones") if order is None else F.min_by("phones", order)
+    lexicon = settled(lexicon.groupBy("word").agg(one.alias("phones")))
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z']+"), F.lit(0))
+    size = lexicon.agg(F.sum(F.octet_length("word") + F.octet_length(F.array_join("phones", " ")) + 16)).first()[0] or 0
+    if size <= most:
+        found = df.withColumn("looked", _lookup(lexicon)(words))
+        return found.select(*df.columns, "looked.phones", (F.col("looked.known") / F.greatest(F.col("looked.n"), F.lit(1))).alias("coverage"))
+    rows = df.select(id_, F.posexplode_outer(words).alias("at", "word"))
+    known = rows.join(lexicon, "word", "left")
     got = known.groupBy(id_).agg(
         F.sort_array(F.collect_list(F.when(F.col("phones").isNotNull(), F.struct("at", "phones")))).alias("found"),
         F.count("at").alias("n_words"), F.count("phones").alias("n_known"),
     )
-    return got.select(id_, F.flatten("found.phones").alias("phones"), (F.col("n_known") / F.greatest("n_words", F.lit(1))).alias("coverage"))
-
-
-def agreement(df: DataFrame, lexicon: DataFrame) -> DataFrame:
+    got = got.select(id_, F.flatten("found.phones").alias("phones"), (F.col("n_known") / F.greatest("n_words", F.lit(1))).alias("coverage"))
+    return df.join(got, id_)
+
+
+def _lookup(lexicon: DataFrame):
+    """A vectorised column function: array of words -> struct of the phones of the known ones, their number and that of all. No row is exploded or moved."""
+    table = lexicon.toArrow()
+    sent = lexicon.sparkSession.sparkContext.broadcast((table["word"].combine_chunks(), table["phones"].combine_chunks()))
+
+    @F.arrow_udf("struct<phones:array<string>,known:int,n:int>")
+    def look(words: pa.Array) -> pa.Array:
+        known, phones = sent.value
+        at = pc.index_in(words.flatten(), value_set=known)
+        found = phones.take(pc.drop_null(at))
+        row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+        n = np.bincount(row, minlength=len(words))
+        has = at.is_valid().to_numpy(zero_copy_only=False)
+        n_known = np.bincount(row[has], minlength=len(words))
+        # phones of a row: those of its words, one after the other
+        edges = np.r_[0, np.cumsum(n_known)]
+        offsets = found.offsets.to_numpy()[edges] if len(found) else np.zeros(len(edges), np.int32)
+        values = found.values if len(found) else pa.array([], pa.string())
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+        return pa.StructArray.from_arrays([lists, pa.array(n_known.astype(np.int32)), pa.array(n.astype(np.int32))], ["phones", "known", "n"])
+
+    return look
+
+
+def agreement(df: DataFrame, lexicon: DataFrame, order: str | None = None) -> DataFrame:
     """df (id, text, ipa) with coverage and uer: edits between the collapsed classes of text and audio over those of the text; 1 if the text has none."""
-    expected = lexicon_lookup(df, lexicon).select("id", F.array_join(collapse(phone_classes(F.col("phones"))), "").alias("expected"), "coverage")
+    expected = F.array_join(collapse(phone_classes(F.col("phones"))), "")
     observed = F.array_join(collapse(ipa_classes(split_units(F.coalesce("ipa", F.lit(""))))), "")
-    both = df.join(expected, "id").withColumn("observed", observed)
+    both = lexicon_lookup(df, lexicon, order=order).withColumn("expected", expected).drop("phones").withColumn("observed", observed)
     uer = F.when(F.length("expected") == 0, 1.0).otherwise(F.levenshtein("expected", "observed") / F.greatest(F.length("expected"), F.lit(1)))
     return both.withColumn("uer", uer).drop("expected", "observed")
 
@@ -80,46 +114,46 @@ def rank_candidates(df: DataFrame, tie: str = "id") -> DataFrame:
     return df.filter("eligible").withColumn("snr_down", -F.col("snr_est")).withColumn("tie", F.col(tie))
 
 
-def within_cap(group: pd.DataFrame, cap: float, key: str = "duration") -> pd.DataFrame:
-    """Rows of one speaker in rank order that keep the speaker's total within the cap; a longer one is passed over, a shorter one after it may still fit."""
-    group = group.sort_values(list(_RANK), kind="stable")
-    total, keep = 0.0, np.zeros(len(group), bool)
-    for i, seconds in enumerate(group[key].to_numpy(float)):
-        if total + seconds <= cap:
-            total += seconds
-            keep[i] = True
-    return group[keep]
+def placed(df: DataFrame, tie: str = "id") -> DataFrame:
+    """Eligible rows with place, from 1, among all of them."""
+    ranked = prefix_sums(rank_candidates(df, tie), list(_RANK), F.lit(1), "place")
+    return ranked.withColumn("place", F.col("place") + 1).drop("snr_down", "tie")
+
+
+def _within_cap(cap: float):
+    """Rows (speaker and duration first) by speaker in rank order -> those that keep the speaker's total within the cap; a longer one is passed over, a shorter one after it may still
+    fit. One running total is all that is held, so a speaker of any size may pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speaker, total = None, 0.0
+        for b in batches:
+            keep = []
+            for name, seconds in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if name != speaker:
+                    speaker, total = name, 0.0
+                keep.append(total + seconds <= cap)
+                total += seconds if keep[-1] else 0.0
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def select_budgeted(df: DataFrame, budget: float, speaker_share: float = 0.08, tie: str = "id", duration: str = "duration") -> DataFrame:
     """df with selected: best clips first until the budget is reached (it may be passed by one clip), no speaker over its share.
 
     Whether a clip passes its speaker's cap depends on that speaker's better clips alone, and the budget only cuts the tail. So speakers are scanned
-    side by side over thin rows; the accepted seconds are summed by rank key, the key totals are summed up, and only ties of one
-    key are ordered row by row.
+    side by side over thin rows, and the accepted seconds are summed up in ranges of the rank order.
     """
-    thin = rank_candidates(df, tie).select("id", "speaker", F.col(duration).cast("double").alias("duration"), *_RANK)
-    cap = speaker_share * budget
-
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        return within_cap(group, cap)
-
-    accepted = thin.groupBy("speaker").applyInPandas(scan, thin.schema)
+    thin = rank_candidates(df, tie).select("speaker", F.col(duration).cast("double").alias("duration"), "id", *_RANK)
+    by_speaker = thin.repartition("speaker").sortWithinPartitions("speaker", *_RANK)
+    accepted = by_speaker.mapInArrow(_within_cap(speaker_share * budget), thin.schema)
     chosen = budget_cut(accepted, budget)
     return df.join(chosen.select("id", F.lit(True).alias("selected")), "id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
 
 
 def budget_cut(accepted: DataFrame, budget: float) -> DataFrame:
-    """Rows whose exclusive prefix sum of duration, in rank order, is under the budget.
-
-    Coarse keys (uer in thousandths, whole SNR decibels) have bounded number; their running totals are one small window.
-    """
-    keyed = accepted.withColumn("k1", F.floor(F.col("uer") * 1000)).withColumn("k2", F.floor("snr_down"))
-    sums = keyed.groupBy("k1", "k2").agg(F.sum("duration").alias("in_key"))
-    before = sums.withColumn("before", F.coalesce(F.sum("in_key").over(W.orderBy("k1", "k2").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))).drop("in_key")
-    own = W.partitionBy("k1", "k2").orderBy(*_RANK).rowsBetween(W.unboundedPreceding, -1)
-    laid = keyed.join(before.filter(F.col("before") < budget), ["k1", "k2"]).withColumn("start", F.col("before") + F.coalesce(F.sum("duration").over(own), F.lit(0.0)))
-    return laid.filter(F.col("start") < budget).drop("k1", "k2", "before", "start")
+    """Rows whose exclusive prefix sum of duration, in rank order, is under the budget."""
+    return prefix_sums(accepted, list(_RANK), F.col("duration"), "start").filter(F.col("start") < budget).drop("start")
 
 
 def selection_summary(df: DataFrame, exact: bool = True) -> DataFrame:

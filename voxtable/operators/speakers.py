@@ -18,6 +18,8 @@ def oversegment(df: DataFrame, k: int = CENTROIDS, seed: int = 0, column: str =
     from pyspark.ml.functions import array_to_vector
 
     n = df.count()
+    if n < 2:  # nothing to part
+        return df.withColumn("centroid", F.lit(0)), unit(np.array([r[0] for r in df.select(column).collect()], float).reshape(n, -1 if n else 1))
     k = max(2, min(k, CENTROIDS, n // 4))
     rows = df.withColumn("features", array_to_vector(l2_normalize(F.col(column))))
     model = KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(rows)
@@ -87,6 +89,7 @@ def label_speakers(df: DataFrame, merged: np.ndarray, prefix: str = "spk") -> Da
 
 
 def pseudo_speakers(df: DataFrame, k: int = CENTROIDS, threshold: float = 0.7, seed: int = 0, prefix: str = "spk", column: str = "embedding") -> DataFrame:
+    """df with centroid, speaker_idx and speaker; an empty table stays empty."""
     rows, centers = oversegment(df, k, seed, column)
     return label_speakers(rows, agglomerate(centers, threshold), prefix)
 

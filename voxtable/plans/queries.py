@@ -149,14 +149,14 @@ def attach_audio(spark, d):
     broken as (select n.shard, n.row_ as r, n.id, n.id <> case when row_ = 3 and n.shard like 'train-src1-%' then 'other' else n.id end as moved from numbered n join ends using (shard)
         where not (n.shard like 'test-%' and row_ = last_) and n.shard not like 'train-src2-%'),
     shards as (select shard, count(*) as n from broken group by shard), all_ as (select shard, count(*) as n from numbered group by shard)
-    select a.shard, case when s.shard is null then 'missing_shard' else 'row_count' end as kind, (-1)::bigint as "row" from all_ a left join shards s using (shard) where s.shard is null or s.n <> a.n
-    union all select shard, 'path', min(r)::bigint from broken where moved group by shard""")
+    select a.shard, case when s.shard is null then 'missing_shard' else 'row_count' end as kind, null::double as "row" from all_ a left join shards s using (shard) where s.shard is null or s.n <> a.n
+    union all select shard, 'path', min(r)::double from broken where moved group by shard""")
 def audio_violations(spark, d):
     results, source = _sourced(spark, d)
     last = F.max("row").over(W.partitionBy("shard"))
     broken = source.select("shard", "row", "path", last.alias("last")).filter(~(F.col("shard").like("test-%") & (F.col("row") == F.col("last"))) & ~F.col("shard").like("train-src2-%"))
     moved = F.when((F.col("row") == 3) & F.col("shard").like("train-src1-%"), "other").otherwise(F.col("path"))
-    return assemble.audio_violations(results, broken.withColumn("path", moved)).withColumn("row", F.coalesce("row", F.lit(-1)))
+    return assemble.audio_violations(results, broken.withColumn("path", moved)).withColumn("row", F.col("row").cast("double"))
 
 
 @query(f"with {v.CLIPS} select distinct shard from clips where shard like 'test-%'")
@@ -198,11 +198,11 @@ def clip_ids(spark, d):
     return rows.select("page_id", clips.stem(F.col("url")).alias("stem"), clips.clip_id(F.lit(""), F.lit("shard.parquet"), F.col("page_id")).alias("numbered"), clips.split_of(F.col("shard")).alias("split"))
 
 
-@query(f"with {v.CLIPS} select id, case when language = 'en' then n_units else -1 end as n_units, case when language <> 'en' then dur_ms else -1 end as dur_ms from clips")
+@query(f"with {v.CLIPS} select id, case when language = 'en' then n_units::double end as n_units, case when language <> 'en' then dur_ms::double end as dur_ms from clips")
 def union_shards(spark, d):
-    rows = v.clips(spark, d)
-    both = assemble.union_shards(rows.filter("language = 'en'").select("id", "n_units"), rows.filter("language <> 'en'").select("id", "dur_ms"))
-    return both.fillna(-1)
+    """A column that a part lacks is null there (doubles, as a null takes no whole number in a comparison of frames)."""
+    rows = v.clips(spark, d).withColumns({c: F.col(c).cast("double") for c in ("n_units", "dur_ms")})
+    return assemble.union_shards(rows.filter("language = 'en'").select("id", "n_units"), rows.filter("language <> 'en'").select("id", "dur_ms"))
 
 
 @query(f"with {v.CLIPS} select id, n_units, '' as speaker from clips")
@@ -303,14 +303,14 @@ def empty_hyps(spark, d):
     select synth_uer, real_uer, n_real, round(synth_uer - real_uer, 4) as gap from a, b""")
 def uer_gap(spark, d):
     rows = v.hypotheses(spark, d)
-    real = rows.filter(F.col("shard").like("test-%")).withColumn("hyp", F.slice("ref", 2, 1_000_000))
+    real = rows.filter(F.col("shard").like("test-%")).withColumn("hyp", F.slice("ref", F.lit(2), F.size("ref")))
     return scoring.uer_gap(rows, real)
 
 
 @query(f"with {v.HYPOTHESES} select id, array_to_string(ref[2:], ' ') as hyp from coded where shard like 'test-%'")
 def floor_join(spark, d):
     rows = v.hypotheses(spark, d)
-    real = rows.filter(F.col("shard").like("test-%")).select("id", F.slice("ref", 2, 1_000_000).alias("hyp"))
+    real = rows.filter(F.col("shard").like("test-%")).select("id", F.slice("ref", F.lit(2), F.size("ref")).alias("hyp"))
     return scoring.floor_join(rows, real).select("id", F.array_join("hyp", " ").alias("hyp"))
 
 
@@ -338,10 +338,12 @@ def normalize_units(spark, d):
     return rows.select("id", F.array_join(classes.normalize_units(F.col("ipa_units"), classes.unit_lookup(rows, "ipa_units")), " ").alias("units"))
 
 
-@query("select vec_id, round(e[1]::double / (n + 1e-9), 9) as first_, round(n, 6) as norm from (select vec_id, embedding as e, sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) as n from embeddings)")
+@query("""with n as (select vec_id, embedding as e, sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) as n from embeddings)
+    select vec_id, array_to_string(list_transform(e, lambda x: round(x::double / (n + 1e-9) * 1000000)::bigint), ' ') as millionths from n""")
 def l2_normalize(spark, d):
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return v.table(spark, d, "embeddings").select("vec_id", F.round(F.get(units.l2_normalize(F.col("embedding")), F.lit(0)), 9).alias("first_"), F.round(norm, 6).alias("norm"))
+    """All elements, in whole millionths."""
+    unit = units.l2_normalize(F.col("embedding"))
+    return v.table(spark, d, "embeddings").select("vec_id", F.array_join(F.transform(unit, lambda x: F.round(x * 1_000_000).cast("long").cast("string")), " ").alias("millionths"))
 
 
 # ---- selection -------------------------------------------------------------------------------------------------------
@@ -390,11 +392,9 @@ def eligibility_tally(spark, d):
     return quality.reason_tally(_judged(spark, d), "why")
 
 
-@query(f"{_JUDGED} select id, row_number() over (order by uer, snr_est desc, id)::bigint as place from judged where why = '' order by place limit 100")
+@query(f"{_JUDGED} select id, row_number() over (order by uer, snr_est desc, id)::bigint as place from judged where why = ''")
 def rank_candidates(spark, d):
-    """The hundred best candidates."""
-    best = selection.rank_candidates(_judged(spark, d)).orderBy("uer", "snr_down", "tie").limit(100)
-    return best.select("id", F.row_number().over(W.orderBy("uer", "snr_down", "tie")).cast("long").alias("place"))
+    return selection.placed(_judged(spark, d)).select("id", F.col("place").cast("long").alias("place"))
 
 
 def _selected(spark, d) -> DataFrame:
@@ -403,14 +403,32 @@ def _selected(spark, d) -> DataFrame:
     return selection.select_budgeted(rows, budget, 0.08, duration="dur_ms")
 
 
-@query()
+_SELECTED = _JUDGED.replace("with ", "with recursive ", 1) + """,
+    pick as materialized (select id, speaker, eligible, duration, dur_ms, uer, snr_est from (select *, why = '' as eligible from judged)),
+    caps as materialized (select 0.15::double * sum(dur_ms) as budget from pick),
+    ranked as materialized (select id, speaker, dur_ms, uer, snr_est, row_number() over (partition by speaker order by uer, snr_est desc, id) as k from pick where eligible),
+    walk as (
+        select distinct speaker, 0::bigint as k, ''::varchar as id, 0::double as total, false as kept from ranked
+        union all
+        select r.speaker, r.k, r.id, case when w.total + r.dur_ms <= 0.08::double * budget then w.total + r.dur_ms else w.total end, w.total + r.dur_ms <= 0.08::double * budget
+        from walk w join ranked r on r.speaker = w.speaker and r.k = w.k + 1, caps),
+    accepted as (select r.id, sum(r.dur_ms) over (order by r.uer, r.snr_est desc, r.id) - r.dur_ms as before_ from walk join ranked r on walk.id = r.id where kept),
+    selected as (select p.*, p.id in (select a.id from accepted a, caps where before_ < budget) as selected from pick p)"""
+
+
+@query(f"{_SELECTED} select id, speaker, eligible, selected from selected")
 def select_budgeted(spark, d):
     return _selected(spark, d).select("id", "speaker", "eligible", "selected")
 
 
-@query()
+_SUMMARY = {"hours": 9, "uer_median": 9, "uer_p95": 9, "snr_median": 6, "duration_median": 6, "duration_mean": 6}
+
+
+@query(f"""{_SELECTED} select count(*)::bigint as n, count(distinct speaker)::bigint as speakers, round(sum(duration) / 3600, 9) as hours, round(quantile_cont(uer, 0.5), 9) as uer_median,
+    round(quantile_cont(uer, 0.95), 9) as uer_p95, round(quantile_cont(snr_est, 0.5), 6) as snr_median, round(quantile_cont(duration, 0.5), 6) as duration_median, round(avg(duration), 6) as duration_mean
+    from selected where selected""")
 def selection_summary(spark, d):
-    return selection.selection_summary(_selected(spark, d))
+    return selection.selection_summary(_selected(spark, d)).select("n", "speakers", *(F.round(c, k).alias(c) for c, k in _SUMMARY.items()))
 
 
 # ---- symbols ---------------------------------------------------------------------------------------------------------
@@ -657,15 +675,26 @@ def hash_split(spark, d):
 
 
 def _lengths(spark, d) -> DataFrame:
-    return v.clips(spark, d).select("id", "shard", F.when(F.col("doc_id") % 2 == 0, 24000).otherwise(16000).alias("rate"), batching.length_at(F.col("dur_ms") * 24, F.lit(24000)).alias("length"))
+    return v.clips(spark, d).select("id", "shard", F.when((F.col("doc_id") + F.col("line_no")) % 2 == 0, 24000).otherwise(16000).alias("rate"), batching.length_at(F.col("dur_ms") * 24, F.lit(24000)).alias("length"))
 
 
-@query()
+_BATCHED = f"""with recursive {v.CLIPS},
+    lengths as materialized (select *, row_number() over (partition by shard, rate order by length, id) as k
+        from (select id, shard, case when (doc_id + line_no) % 2 = 0 then 24000 else 16000 end as rate, dur_ms * 16 as length from clips)),
+    walk as (
+        select shard, rate, k, id, length, 0::bigint as batch, 1::bigint as size from lengths where k = 1
+        union all
+        select l.shard, l.rate, l.k, l.id, l.length, case when (w.size + 1) * l.length > 2000000 or w.size >= 64 then w.batch + 1 else w.batch end,
+            case when (w.size + 1) * l.length > 2000000 or w.size >= 64 then 1 else w.size + 1 end
+        from walk w join lengths l on l.shard = w.shard and l.rate = w.rate and l.k = w.k + 1)"""
+
+
+@query(f"{_BATCHED} select shard, rate, id, length, batch from walk")
 def padded_batches(spark, d):
     return batching.padded_batches(_lengths(spark, d), 2_000_000, 64)
 
 
-@query()
+@query(f"{_BATCHED} select shard, rate, batch, count(*)::bigint as rows, max(length)::bigint as longest, (count(*) * max(length))::bigint as padded from walk group by shard, rate, batch")
 def batch_report(spark, d):
     return batching.batch_report(batching.padded_batches(_lengths(spark, d), 2_000_000, 64))
 
@@ -675,8 +704,8 @@ def fixed_batches(spark, d):
     return batching.fixed_batches(_lengths(spark, d))
 
 
-@query(f"""with {v.CLIPS}, b as (select shard, doc_id, ((row_number() over (partition by shard order by dur_ms, id) - 1) // 64)::bigint as batch from clips)
-    select shard, batch, count(distinct doc_id % 2)::bigint as rates from b group by shard, batch having count(distinct doc_id % 2) > 1""")
+@query(f"""with {v.CLIPS}, b as (select shard, (doc_id + line_no) % 2 as r, ((row_number() over (partition by shard order by dur_ms, id) - 1) // 64)::bigint as batch from clips)
+    select shard, batch, count(distinct r)::bigint as rates from b group by shard, batch having count(distinct r) > 1""")
 def mixed_rates(spark, d):
     rows = _lengths(spark, d)
     return batching.mixed_rates(batching.fixed_batches(rows).join(rows.select("id", "rate"), "id"))
@@ -701,7 +730,7 @@ def snr_report(spark, d):
 @query()
 def pseudo_speakers(spark, d):
     rows = v.table(spark, d, "embeddings").select(F.format_string("segment_%06d", "vec_id").alias("id"), "embedding")
-    return speakers.pseudo_speakers(rows, 40, 0.5).select("id", "speaker", "speaker_idx")
+    return speakers.pseudo_speakers(rows).select("id", "speaker", "speaker_idx")
 
 
 def _waves(spark, d) -> DataFrame:
@@ -725,8 +754,28 @@ def acoustic_metrics_sql(spark, d):
     return wavs.metrics_sql(_waves(spark, d)).select("id", F.round("snr_est", 2).alias("snr_est"), "clip_frac", "silence_frac")
 
 
-@query("select printf('segment_%06d', vec_id) as id, 64::bigint as n, 400 as rate, 0.16::double as duration from embeddings")
+@query("""with w as (select printf('segment_%06d', vec_id) as id, list_transform(embedding, lambda x: (x * 5)::float) as s from embeddings),
+    p as (select id, s, list_max(list_transform(s, lambda x: abs(x)))::float as peak from w),
+    i as (select id, list_transform(s, lambda x: round_even((case when peak > 1 then x / peak else x end)::float::double * 32767, 0)::bigint) as s from p)
+    select id, len(s)::bigint as n, 400 as rate, 0.16::double as duration, list_sum(s)::bigint as total, list_sum(list_transform(s, lambda x, k: x * k))::bigint as weighted from i""")
 def wav_roundtrip(spark, d):
-    """Waves written as PCM_16 bytes and decoded again."""
+    """Waves written as PCM_16 bytes and decoded again; sums over the whole samples, plain and weighted by place."""
     out = wavs.decode(wavs.as_wav(_waves(spark, d), 400).select("id", "wav"), "wav")
-    return out.select("id", F.size("samples").cast("long").alias("n"), "rate", F.round(F.col("duration").cast("double"), 3).alias("duration"))
+    whole = F.transform("samples", lambda x: F.round(x.cast("double") * 32768).cast("long"))
+    add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x)
+    weighted = F.transform(whole, lambda x, k: x * (k + 1))
+    return out.select("id", F.size("samples").cast("long").alias("n"), "rate", F.round(F.col("duration").cast("double"), 3).alias("duration"), add(whole).alias("total"), add(weighted).alias("weighted"))
+
+
+@query("""with w as (select printf('segment_%06d', vec_id) as id, list_transform(embedding, lambda x: (x * 5)::float::double) as s from embeddings),
+    o as (select id, s, unnest(range(32)) as k from w),
+    t as (select id, k, unnest(s) as x, unnest(range(64)) as j from o),
+    h as (select id, k, x, (j - 2 * k) / 2.0::double * 0.99::double as t from t where abs((j - 2 * k) / 2.0::double * 0.99::double) < 6),
+    r as (select id, k, sum(x * case when t = 0 then 1.0::double else sin(pi() * t) / (pi() * t) end * cos(t * pi() / 12) ** 2 * 0.495::double) as y from h group by id, k)
+    select id, count(*)::bigint as n, round(sum(y), 2) as total, round(sum(y * (k + 1)), 1) as weighted from r group by id""")
+def resampled(spark, d):
+    """Waves at half their rate by a windowed sinc, decoded at the source's rate."""
+    out = wavs.resampled(_waves(spark, d), 200)
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda n, x: n + x)
+    y = F.transform("samples", lambda x: x.cast("double"))
+    return out.select("id", F.size("samples").cast("long").alias("n"), F.round(add(y), 2).alias("total"), F.round(add(F.transform(y, lambda x, k: x * (k + 1))), 1).alias("weighted"))

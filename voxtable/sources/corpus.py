@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,29 +54,41 @@ def write_results(df: DataFrame, path: str) -> None:
 def sidecar(df: DataFrame, rows_per_file: int = 40_000, columns=SIDECAR_COLUMNS) -> DataFrame:
     """Present columns with split, rank in the split by id, file ordinal and file name.
 
-    Rows are range-partitioned by (split, id); partition counts give each partition's offset, so no task ranks a whole split.
+    Ranks are prefix sums, so no task ranks a whole split.
     """
     kept = df.select(*(c for c in columns if c in df.columns), split_of(F.col("shard")).alias("split"))
-    parts = kept.repartitionByRange("split", "id").sortWithinPartitions("split", "id").withColumn("part", F.spark_partition_id())
-    parts = settled(parts)
-    counts = parts.groupBy("split", "part").agg(F.count("*").alias("n"))
-    window = W.partitionBy("split").orderBy("part")
-    offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    offsets = offsets.withColumn("total", F.sum("n").over(W.partitionBy("split"))).drop("n")
-    ranked = parts.withColumn("place", F.row_number().over(W.partitionBy("split", "part").orderBy("id")))
-    out = ranked.join(offsets, ["split", "part"]).withColumn("rank", F.col("before") + F.col("place") - 1)
-    out = out.withColumn("file", F.floor(F.col("rank") / rows_per_file).cast("int"))
+    ranked = prefix_sums(kept, ["id"], F.lit(1), "rank", ("split",))
+    totals = ranked.groupBy("split").agg(F.count("*").alias("total"))  # two rows
+    out = ranked.join(totals, "split").withColumn("file", F.floor(F.col("rank") / rows_per_file).cast("int"))
     files = F.ceil(F.col("total") / rows_per_file).cast("int")
-    return out.withColumn("file_name", F.format_string("%s-%05d-of-%05d.parquet", "split", "file", files)).drop("part", "place", "before", "total")
+    return out.withColumn("file_name", F.format_string("%s-%05d-of-%05d.parquet", "split", "file", files)).drop("total")
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Range bounds come from a sample: partition numbers must not be computed twice."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/voxtable-checkpoints")
+    """df, computed once, in the shared folder: where its partition numbers count (range bounds come from a sample), or where it has several uses."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="voxtable-"))
     return df.checkpoint()
 
 
+def prefix_sums(df: DataFrame, order: list[str], value: Column, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """df with the sum of value over the rows before each, in an order that tells rows apart (by: within equal values of these columns).
+
+    Rows are range-partitioned, so no task holds more than its share, whatever ties there are; a partition sends one sum a group.
+    """
+    parts = settled(df.withColumn("sum_of", value).repartitionByRange(*by, *order).withColumn("sum_part", F.spark_partition_id()))
+    earlier = W.partitionBy(*by).orderBy("sum_part").rowsBetween(W.unboundedPreceding, -1)
+    sums = parts.groupBy(*by, "sum_part").agg(F.sum("sum_of").alias("in_part")).withColumn("ahead", F.sum("in_part").over(earlier)).drop("in_part")
+    own = F.sum("sum_of").over(W.partitionBy(*by, "sum_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    out = parts.withColumn("own", own).join(sums, [*by, "sum_part"])
+    zero = F.lit(0)
+    return out.withColumn(name, F.coalesce("ahead", zero) + F.coalesce("own", zero)).drop("sum_of", "sum_part", "ahead", "own")
+
+
 def write_sidecar(df: DataFrame, path: str, rows_per_file: int = 40_000) -> None:
     sidecar(df, rows_per_file).repartition("file_name").sortWithinPartitions("file_name", "rank").drop("rank", "file").write.option("compression", "zstd").partitionBy("file_name").parquet(path)
 

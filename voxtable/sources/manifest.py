@@ -17,14 +17,14 @@ def escaped(value: Column) -> Column:
 
 
 def unescaped(value: Column) -> Column:
-    """Sentinel-marked fields as they were; see fields_of."""
-    return F.replace(F.replace(F.regexp_replace(value, r"\\", ""), F.lit("\x01"), F.lit("\\")), F.lit("\x02"), F.lit("\t"))
+    """A field without the backslash before each escaped character."""
+    return F.regexp_replace(value, r"\\([\s\S])", "$1")
 
 
 def fields_of(line: Column) -> Column:
-    r"""Fields of one record: escaped backslashes and tabs become marks (U+0001, U+0002), the rest splits on tabs."""
-    marked = F.replace(F.replace(line, F.lit("\\\\"), F.lit("\x01")), F.lit("\\\t"), F.lit("\x02"))
-    return F.transform(F.split(marked, "\t"), unescaped)
+    r"""Fields of one record. A field is what follows a tab, up to the next one without a backslash; a lone backslash at the end says nothing."""
+    found = F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit(r"\t((?:[^\\\t]|\\[\s\S])*+)"), F.lit(1))
+    return F.transform(found, unescaped)
 
 
 def manifest_lines(df: DataFrame, fields=FIELDS) -> DataFrame:
@@ -44,18 +44,28 @@ def parse_lines(lines: DataFrame, fields=FIELDS) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     r"""Columns of the header, typed. Records end in CRLF; an embedded CRLF was written as ``\CR\LF``, so it doesn't end one."""
-    lines = spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("line_no"))
-    header = lines.select("line").first()
-    return parse_lines(lines, tuple(header["line"].split("\t")) if header else FIELDS)
-
-
-def write_manifest(df: DataFrame, path: str, fields=FIELDS, order: str = "id") -> None:
-    """One file in id order: a manifest is metadata of the size of its clip list. Many files are as good for Spark; drop the repartition then."""
-    header = df.sparkSession.createDataFrame([("\t".join(fields), 0)], "line string, part int")
-    rows = df.withColumn("key", F.col(order))
-    body = rows.select(_line(df, fields).alias("line"), F.lit(1).alias("part"), F.col("key").cast("string").alias("key"))
-    out = header.withColumn("key", F.lit("")).select("line", "part", "key").unionByName(body)
-    out.repartitionByRange(1, "part", "key").sortWithinPartitions("part", "key").select("line").write.option("lineSep", "\r\n").text(path)
+    text = spark.read.option("lineSep", "\r\n").text(path)
+    files = text.select(F.col("_metadata.file_path").alias("file"))
+    first = files.agg(F.min("file")).first()[0]
+    header = spark.read.option("lineSep", "\r\n").text(first).first() if first else None
+    # of many files, rows are in order by file, block and place
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return parse_lines(text.select(F.col("value").alias("line"), place.alias("line_no")), tuple(header["value"].split("\t")) if header else FIELDS)
+
+
+#: Rows of a manifest that is written as one file.
+SINGLE_ROWS = 1_000_000
+
+
+def write_manifest(df: DataFrame, path: str, fields=FIELDS, order: str = "id", single: bool = False) -> None:
+    """Files that are in order one after the other, the header in the first; ``single`` writes one file, for manifests of SINGLE_ROWS rows at most."""
+    if single and df.limit(SINGLE_ROWS + 1).count() > SINGLE_ROWS:
+        raise ValueError(f"over {SINGLE_ROWS} rows are too many for one file")
+    kind = df.schema[order].dataType
+    header = df.sparkSession.range(1).select(F.lit("\t".join(fields)).alias("line"), F.lit(0).alias("part"), F.lit(None).cast(kind).alias("key"))
+    out = header.unionByName(df.select(_line(df, fields).alias("line"), F.lit(1).alias("part"), F.col(order).alias("key")))
+    out = out.repartitionByRange(1, "part", "key") if single else out.repartitionByRange("part", "key")
+    out.sortWithinPartitions("part", "key").select("line").write.option("lineSep", "\r\n").text(path)
 
 
 def val_manifest(df: DataFrame) -> DataFrame:

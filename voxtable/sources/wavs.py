@@ -42,6 +42,17 @@ def decode(df: DataFrame, column: str = "bytes", target: int | None = None) -> D
     return df.mapInPandas(run, schema)
 
 
+def resampled(df: DataFrame, target: int) -> DataFrame:
+    """id, samples, rate -> the same at the target rate."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            waves = [resample(np.asarray(x, np.float32), int(r), target) for x, r in zip(pdf["samples"], pdf["rate"], strict=True)]
+            yield pd.DataFrame({"id": pdf["id"], "samples": waves, "rate": np.full(len(pdf), target, np.int32)})
+
+    return df.select("id", "samples", "rate").mapInPandas(run, "id string, samples array<float>, rate int")
+
+
 def as_wav(df: DataFrame, target: int) -> DataFrame:
     """id, samples, rate -> id, wav (mono PCM_16 bytes at the target rate), duration (3 digits)."""
 
