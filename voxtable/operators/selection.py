@@ -82,7 +82,9 @@ def _lookup(lexicon: DataFrame):
 
 def agreement(df: DataFrame, lexicon: DataFrame, order: str | None = None) -> DataFrame:
     """df (id, text, ipa) with coverage and uer: edits between the collapsed classes of text and audio over those of the text; 1 if the text has none."""
-    expected = F.array_join(collapse(phone_classes(F.col("phones"))), "")
+    # classes are told once a word of the lexicon, not once a word of the text
+    lexicon = lexicon.withColumn("phones", phone_classes(F.col("phones")))
+    expected = F.array_join(collapse(F.col("phones")), "")
     observed = F.array_join(collapse(ipa_classes(split_units(F.coalesce("ipa", F.lit(""))))), "")
     both = lexicon_lookup(df, lexicon, order=order).withColumn("expected", expected).drop("phones").withColumn("observed", observed)
     uer = F.when(F.length("expected") == 0, 1.0).otherwise(F.levenshtein("expected", "observed") / F.greatest(F.length("expected"), F.lit(1)))
