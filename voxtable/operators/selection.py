@@ -34,13 +34,17 @@ class Limits:
 LEXICON_BYTES = 64 << 20
 
 
+def one_pronunciation(lexicon: DataFrame, order: str | None = None) -> DataFrame:
+    """word, phones: of a word's pronunciations the first by the column ``order``; without one, the least."""
+    return lexicon.groupBy("word").agg((F.min("phones") if order is None else F.min_by("phones", order)).alias("phones"))
+
+
 def lexicon_lookup(df: DataFrame, lexicon: DataFrame, text: str = "text", id_: str = "id", order: str | None = None, most: int = LEXICON_BYTES) -> DataFrame:
     """df with phones (of the known words, in order) and coverage = known / words (0 without words).
 
     lexicon: word, phones. Of a word's pronunciations the first by the column ``order`` counts; without one, the least.
     """
-    one = F.min("phones") if order is None else F.min_by("phones", order)
-    lexicon = settled(lexicon.groupBy("word").agg(one.alias("phones")))
+    lexicon = settled(one_pronunciation(lexicon, order))
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z']+"), F.lit(0))
     size = lexicon.agg(F.sum(F.octet_length("word") + F.octet_length(F.array_join("phones", " ")) + 16)).first()[0] or 0
     if size <= most:
@@ -83,10 +87,10 @@ def _lookup(lexicon: DataFrame):
 def agreement(df: DataFrame, lexicon: DataFrame, order: str | None = None) -> DataFrame:
     """df (id, text, ipa) with coverage and uer: edits between the collapsed classes of text and audio over those of the text; 1 if the text has none."""
     # classes are told once a word of the lexicon, not once a word of the text
-    lexicon = lexicon.withColumn("phones", phone_classes(F.col("phones")))
+    lexicon = one_pronunciation(lexicon, order).withColumn("phones", phone_classes(F.col("phones")))
     expected = F.array_join(collapse(F.col("phones")), "")
     observed = F.array_join(collapse(ipa_classes(split_units(F.coalesce("ipa", F.lit(""))))), "")
-    both = lexicon_lookup(df, lexicon, order=order).withColumn("expected", expected).drop("phones").withColumn("observed", observed)
+    both = lexicon_lookup(df, lexicon).withColumn("expected", expected).drop("phones").withColumn("observed", observed)
     uer = F.when(F.length("expected") == 0, 1.0).otherwise(F.levenshtein("expected", "observed") / F.greatest(F.length("expected"), F.lit(1)))
     return both.withColumn("uer", uer).drop("expected", "observed")
 
