@@ -191,21 +191,27 @@ class RunLengthIndex:
         def ranked(key: np.ndarray) -> np.ndarray:
             return np.unique(key, return_inverse=True)[1].reshape(key.shape)  # 0: the empty suffix
 
-        key = wide
-        for k in range(1, 7):
-            key = key * 512 + ahead(wide, k)
-        rank, depth = ranked(key), 7
-        while depth < w + 1:
+        # the first ``depth`` symbols as digits of one number, as many as fit
+        alphabet, digit = np.unique(wide, return_inverse=True)
+        base = len(alphabet) + int(alphabet[0] != 0)
+        digit = (digit.reshape(wide.shape) + (alphabet[0] != 0)).astype(np.uint64)
+        key, depth = digit, 1
+        while base ** (depth + 1) < 1 << 64 and depth < length:
+            key, depth = key * np.uint64(base) + ahead(digit, depth), depth + 1
+        rank = ranked(key)
+        while depth < w or depth <= length:
             if depth <= length < 2 * depth:
                 part, rest = rank, length - depth  # two ranks that together are the first ``length`` symbols
             rank = ranked(rank * (rank.max() + 1) + ahead(rank, depth))
             depth *= 2
         text, column = np.nonzero(np.arange(w + 1)[None, :] <= sizes[:, None])
-        order = np.lexsort((text, rank[text, column]))
+        order = np.argsort(rank[text, column], kind="stable")
         text, column = text[order], column[order]
         before = np.where(column > 0, wide[text, np.maximum(column - 1, 0)], 0)
         self.starts = np.r_[0, np.flatnonzero(np.diff(before)) + 1]
         self.ends = np.r_[self.starts[1:], len(before)]
+        #: The run of each row, plainly: an index is small, and a search a step costs more.
+        self.run_of = np.repeat(np.arange(len(self.starts), dtype=np.int32), self.ends - self.starts)
         self.heads = before[self.starts]
         self.first_sample = np.stack([text[self.starts], column[self.starts]])
         self.last_sample = np.stack([text[self.ends - 1], column[self.ends - 1]])
@@ -214,18 +220,19 @@ class RunLengthIndex:
         long = (self.ends - self.starts)[by_head]
         self.landing = np.empty(len(self.starts), np.int64)
         self.landing[by_head] = np.cumsum(long) - long
-        self.by_head = np.sort(self.heads * len(self.starts) + np.arange(len(self.starts)))
+        self.by_head = self.heads[by_head] * len(self.starts) + by_head
         first, second = part[text, column], ahead(part, rest)[text, column] if rest else part[text, column]
-        self.stretches = np.r_[0, np.flatnonzero((np.diff(first) != 0) | (np.diff(second) != 0)) + 1]
-        self.least = np.minimum.reduceat(least[text], self.stretches)
+        stretches = np.r_[0, np.flatnonzero((np.diff(first) != 0) | (np.diff(second) != 0)) + 1]
+        self.least = np.minimum.reduceat(least[text], stretches)
+        self.stretch_of = np.repeat(np.arange(len(stretches), dtype=np.int32), np.diff(np.r_[stretches, len(before)]))
 
     def lf(self, rows: np.ndarray, run: np.ndarray | None = None) -> np.ndarray:
-        run = np.searchsorted(self.starts, rows, "right") - 1 if run is None else run
+        run = self.run_of[rows] if run is None else run
         return self.landing[run] + rows - self.starts[run]
 
     def first_of(self, rows: np.ndarray) -> np.ndarray:
         """Least id of the texts that have the first ``length`` symbols of these rows' suffixes."""
-        return self.least[np.searchsorted(self.stretches, rows, "right") - 1]
+        return self.least[self.stretch_of[rows]]
 
     def own(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """The indexed texts, backwards in step from their ends: (texts, column, least id of the window there)."""
@@ -246,7 +253,7 @@ class RunLengthIndex:
             texts, rows, match = texts[going], rows[going], match[going]
             column = sizes[texts] - back
             symbol = symbols[texts, column].astype(np.int64)
-            run = np.searchsorted(self.starts, rows, "right") - 1
+            run = self.run_of[rows]
             lost = np.flatnonzero(self.heads[run] != symbol)
             if len(lost):
                 n = len(self.starts)
