@@ -9,6 +9,7 @@ import sys
 import duckdb
 import pytest
 
+from voxtable.plans import sinks  # noqa: F401  registers its queries
 from voxtable.plans.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"

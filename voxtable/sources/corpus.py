@@ -64,14 +64,20 @@ def sidecar(df: DataFrame, rows_per_file: int = 40_000, columns=SIDECAR_COLUMNS)
     return out.withColumn("file_name", F.format_string("%s-%05d-of-%05d.parquet", "split", "file", files)).drop("total")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, computed once, in the shared folder: where its partition numbers count (range bounds come from a sample), or where it has several uses."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where it is unset, a local session gets a folder of its own; on a cluster that is an error."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="voxtable-"))
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed once, in the shared folder: where its partition numbers count (range bounds come from a sample), or where it has several uses."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
