@@ -2,10 +2,11 @@ r"""Suffix-array dedup: repeated byte strings by a run-length compressed index.
 
 A byte goes if it is covered by a ``length``-byte string that also starts in a document with a smaller doc_id.
 
-1. Documents are packed, compressed, into rows of about PACK bytes and stored: later steps read them again, and text moves twice only.
+1. Documents are packed, compressed, into packs of about PACK bytes, UNIT of them a row, and stored: later steps read them again, and text moves twice only.
+   A step opens the packs of a row one by one, so memory follows a pack; messages are a row's, so there are UNIT times fewer of them.
 2. Anchors: in every window of ``length`` bytes the ``GRAM``-byte substring of least hash. Equal windows have equal anchors at equal places,
-   so windows need to meet by anchor alone. Each pack sends 32 bits an anchor to the anchor's bucket, which answers with one bit: is it in
-   two documents?
+   so windows need to meet by anchor alone. Each row sends 32 bits an anchor of a pack to the anchor's bucket, which answers with one bit: is it in
+   two documents? A message is a row's share of a bucket, so there are never more messages than anchors, however many rows and buckets there are.
 3. For each anchor in two documents a pack sends its context once (all windows around it) with the least doc_id.
 4. A bucket takes the contexts that agree with another one on half of their reach, by least document. Of the first half of them it builds a run-length index:
    the Burrows-Wheeler transform as runs, suffix samples at both ends of each run, and for each stretch of rows that share ``length`` bytes the least document. The other
@@ -39,32 +40,43 @@ from .common import ordinals, partitions, stored, utf8
 LENGTH = 50
 GRAM = 20
 PACK = 4 << 20
+#: Packs in a row of the stored table.
+UNIT = 4
 _PIECE = 1 << 20
 #: Contexts in one index at most.
 INDEXED = 16_000
 _NO_ID = np.iinfo(np.int64).max
-_PACKS = "pack long, ids binary, sizes binary, packed binary"
+_PACKS = "unit long, packs array<struct<ids: binary, sizes: binary, packed: binary>>"
 
 
 def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, seq, zip_ = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
-    ids, texts, size = [], [], 0
+    kind = pa.list_(pa.struct([("ids", pa.binary()), ("sizes", pa.binary()), ("packed", pa.binary())]))
+    ids, texts, size, packs = [], [], 0, []
+
+    def close() -> None:
+        nonlocal ids, texts, size
+        packs.append({"ids": np.array(ids, np.int64).tobytes(), "sizes": np.array([len(t) for t in texts], np.int64).tobytes(), "packed": zip_.compress(b"".join(texts))})
+        ids, texts, size = [], [], 0
 
     def row() -> pa.RecordBatch:
-        nonlocal seq
-        arrays = [pa.array([part << 32 | seq], pa.int64()), *(pa.array([x], pa.binary()) for x in (np.array(ids, np.int64).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zip_.compress(b"".join(texts))))]
-        seq += 1
-        return pa.RecordBatch.from_arrays(arrays, ["pack", "ids", "sizes", "packed"])
+        nonlocal seq, packs
+        out = pa.RecordBatch.from_arrays([pa.array([part << 32 | seq], pa.int64()), pa.array([packs], kind)], ["unit", "packs"])
+        seq, packs = seq + 1, []
+        return out
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
             if size and size + len(t) > PACK:
-                yield row()
-                ids, texts, size = [], [], 0
+                close()
+                if len(packs) == UNIT:
+                    yield row()
             ids.append(_NO_ID if i is None else i)
             texts.append(t)
             size += len(t)
     if ids:
+        close()
+    if packs:
         yield row()
 
 
@@ -356,11 +368,41 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(bucket[a]), slice(int(a), int(b))
 
 
-def _rows(pack: int, blobs: list[tuple[int, bytes]], names: tuple[str, str] = ("bucket", "blob")) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([pack] * len(blobs), pa.int64()), pa.array([b for b, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["pack", *names])
+def _rows(unit: int, blobs: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([unit] * len(blobs), pa.int64()), pa.array([b for b, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["unit", "bucket", "blob"])
+
+
+def _sent(unit: int, blobs: Iterator[tuple[int, bytes]]) -> pa.RecordBatch:
+    """One message a bucket: what the unit's packs have for it, in their order."""
+    by: dict[int, list[bytes]] = {}
+    for k, x in blobs:
+        by.setdefault(k, []).append(x)
+    return _rows(unit, [(k, b"".join(by[k])) for k in sorted(by)])
+
+
+class _Answers:
+    """What the buckets told a unit, as arrays, taken in the order in which its packs asked."""
+
+    def __init__(self, told, read):
+        self.by = {x["bucket"]: read(np.frombuffer(x["blob"], np.uint8)) for x in told or ()}
+        self.at = dict.fromkeys(self.by, 0)
 
+    def next(self, bucket: int, size: int) -> np.ndarray:
+        at = self.at[bucket]
+        self.at[bucket] = at + size
+        return self.by[bucket][at : at + size]
 
-_BLOBS = "pack long, bucket int, blob binary"
+
+def _frames(blob: bytes) -> Iterator[bytes]:
+    """Contents of the compressed frames of a message, each after its length."""
+    unzip, at = zstandard.ZstdDecompressor(), 0
+    while at < len(blob):
+        size = int.from_bytes(blob[at : at + 4], "little")
+        yield unzip.decompress(blob[at + 4 : at + 4 + size])
+        at += 4 + size
+
+
+_BLOBS = "unit long, bucket int, blob binary"
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -374,21 +416,25 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     n = partitions(docs.sparkSession)
     packs = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_packs, _PACKS))
 
-    def opened(b: pa.RecordBatch) -> Iterator[tuple[int, int, Pack]]:
-        for i in range(b.num_rows):
-            yield i, b.column(0)[i].as_py(), Pack(*(b.column(k)[i].as_py() for k in (1, 2, 3)), length)
+    def opened(b: pa.RecordBatch, i: int) -> Iterator[Pack]:
+        for x in b.column("packs")[i]:
+            yield Pack(*(x[c].as_py() for c in ("ids", "sizes", "packed")), length)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def asked(p: Pack) -> Iterator[tuple[int, bytes]]:
+            _, bucket, low, two = p.grams(n)
+            sent = (low | two.astype(np.int64) << 31).astype(np.uint32)
+            for k, s in _by_bucket(bucket):
+                yield k, sent[s].tobytes()
+
         for b in batches:
-            for _, pack, p in opened(b):
-                _, bucket, low, two = p.grams(n)
-                sent = (low | two.astype(np.int64) << 31).astype(np.uint32)
-                yield _rows(pack, [(k, sent[s].tobytes()) for k, s in _by_bucket(bucket)])
+            for i, unit in enumerate(b.column("unit").to_pylist()):
+                yield _sent(unit, (x for p in opened(b, i) for x in asked(p)))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packs_, buckets, blobs = [], [], []
+        units, buckets, blobs = [], [], []
         for b in batches:
-            for into, c in zip((packs_, buckets, blobs), b.columns, strict=True):
+            for into, c in zip((units, buckets, blobs), b.columns, strict=True):
                 into += c.to_pylist()
         for k in sorted(set(buckets)):
             own = [i for i, x in enumerate(buckets) if x == k]
@@ -399,18 +445,18 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             at = 0
             for i in own:
                 size = len(blobs[i]) // 4
-                yield _rows(packs_[i], [(k, np.packbits(shared[at : at + size]).tobytes())])
+                yield _rows(units[i], [(k, np.packbits(shared[at : at + size]).tobytes())])
                 at += size
 
-    def told(b: pa.RecordBatch, i: int, column: int) -> dict[int, bytes]:
-        return {x["bucket"]: x["blob"] for x in b.column(column)[i].as_py() or ()}
+    def bits_of(b: pa.RecordBatch, i: int) -> _Answers:
+        return _Answers(b.column("bits")[i].as_py(), np.unpackbits)
 
-    def entries(p: Pack, bits: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def entries(p: Pack, bits: _Answers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Shared anchors of a pack and their distinct contexts: places in p.at, context number of each, contexts, bucket and least id of each context (by bucket)."""
         back, bucket, _, _ = p.grams(n)
         shared = np.zeros(len(bucket), bool)
         for k, s in _by_bucket(bucket):
-            shared[s] = np.unpackbits(np.frombuffer(bits[k], np.uint8), count=s.stop - s.start)
+            shared[s] = bits.next(k, s.stop - s.start)
         which = np.flatnonzero(shared[back]) if len(back) else np.zeros(0, np.int64)
         rows = contexts(p, which, length)
         first, group = grouped(rows.view("<u8"))
@@ -424,71 +470,83 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
+
+        def sent(p: Pack, bits: _Answers) -> Iterator[tuple[int, bytes]]:
+            _, _, rows, bucket, least = entries(p, bits)
+            for k, s in _by_bucket(bucket):
+                frame = zip_.compress(least[s].tobytes() + rows[s].T.tobytes())
+                yield k, len(frame).to_bytes(4, "little") + frame
+
         for b in batches:
-            for i, pack, p in opened(b):
-                _, _, rows, bucket, least = entries(p, told(b, i, 4))
-                yield _rows(pack, [(k, zip_.compress(least[s].tobytes() + rows[s].T.tobytes())) for k, s in _by_bucket(bucket)])
+            for i, unit in enumerate(b.column("unit").to_pylist()):
+                bits = bits_of(b, i)
+                yield _sent(unit, (x for p in opened(b, i) for x in sent(p, bits)))
 
     size = 8 + -(-(2 * length - GRAM + 2) // 8) * 8
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor()
         by: dict[int, list[tuple[int, bytes]]] = {}
         for b in batches:
-            for pack, k, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                by.setdefault(k, []).append((pack, blob))
+            for unit, k, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                by.setdefault(k, []).append((unit, blob))
         for k in sorted(by):
-            got = [(pack, unzip.decompress(x)) for pack, x in by.pop(k)]
-            counts = [len(x) // size for _, x in got]
-            ids = np.concatenate([np.frombuffer(x[: 8 * c], np.int64) for (_, x), c in zip(got, counts, strict=True)])
-            rows = np.concatenate([np.frombuffer(x[8 * c :], np.uint8).reshape(size - 8, c).T for (_, x), c in zip(got, counts, strict=True)])
+            sent = [(unit, list(_frames(x))) for unit, x in by.pop(k)]
+            got = [x for _, frames in sent for x in frames]
+            counts = [len(x) // size for x in got]
+            ids = np.concatenate([np.frombuffer(x[: 8 * c], np.int64) for x, c in zip(got, counts, strict=True)])
+            rows = np.concatenate([np.frombuffer(x[8 * c :], np.uint8).reshape(size - 8, c).T for x, c in zip(got, counts, strict=True)])
             marks = first_documents(np.ascontiguousarray(rows), ids, length)
             at = 0
-            for (pack, _), c in zip(got, counts, strict=True):
-                yield _rows(pack, [(k, marks[at : at + c].tobytes())])
+            for unit, frames in sent:
+                c = sum(len(x) // size for x in frames)
+                yield _rows(unit, [(k, marks[at : at + c].tobytes())])
                 at += c
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for b in batches:
-            for i, _, p in opened(b):
-                which, entry, rows, bucket, least = entries(p, told(b, i, 4))
-                marks = np.zeros(len(rows), np.uint64)
-                answers = told(b, i, 5)
-                for k, s in _by_bucket(bucket):
-                    marks[s] = np.frombuffer(answers[k], np.uint64)
-                at, doc = p.at[which] - (length - GRAM), p.doc[which]
-                first = np.maximum(0, p.starts[doc] - at)
-                last = np.minimum(length - GRAM, p.ends[doc] - length - at)
-                later = p.ids[doc] > least[entry]  # repeats of the pack's own first
-                hits = np.where(later, ~np.uint64(0), marks[entry])
-                begun = np.zeros(len(p.buffer) + 1, bool)
-                for w in range(length - GRAM + 1):
-                    begun[at[(first <= w) & (w <= last) & (hits >> np.uint64(w) & np.uint64(1)).astype(bool)] + w] = True
-                count = np.cumsum(begun[: len(p.buffer)], dtype=np.int32)
-                gone = count > 0
-                gone[length:] = count[length:] > count[:-length]
-                spans, kept = [], []
-                for a, e in zip(p.starts.tolist(), p.ends.tolist(), strict=True):
-                    own = gone[a:e]
-                    if not own.any():
-                        spans.append([])
-                        kept.append(p.bytes[a:e])
-                        continue
-                    turns = np.flatnonzero(np.diff(np.r_[False, own, False]))
-                    spans.append([{"start": int(x), "end": int(y)} for x, y in turns.reshape(-1, 2)])
-                    kept.append(p.buffer[a:e][~own].tobytes())
-                ids = pa.array([None if x == _NO_ID else x for x in p.ids.tolist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(p.sizes), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
-
-    def told_packs(blobs: DataFrame, name: str) -> DataFrame:
-        return blobs.groupBy(F.col("pack").alias(f"of_{name}")).agg(F.collect_list(F.struct("bucket", "blob")).alias(name))
+            for i in range(b.num_rows):
+                bits, answers = bits_of(b, i), _Answers(b.column("marks")[i].as_py(), lambda x: x.view(np.uint64))
+                for p in opened(b, i):
+                    yield marked(p, bits, answers, span)
+
+    def marked(p: Pack, bits: _Answers, answers: _Answers, span: pa.DataType) -> pa.RecordBatch:
+        which, entry, rows, bucket, least = entries(p, bits)
+        marks = np.zeros(len(rows), np.uint64)
+        for k, s in _by_bucket(bucket):
+            marks[s] = answers.next(k, s.stop - s.start)
+        at, doc = p.at[which] - (length - GRAM), p.doc[which]
+        first = np.maximum(0, p.starts[doc] - at)
+        last = np.minimum(length - GRAM, p.ends[doc] - length - at)
+        later = p.ids[doc] > least[entry]  # repeats of the pack's own first
+        hits = np.where(later, ~np.uint64(0), marks[entry])
+        begun = np.zeros(len(p.buffer) + 1, bool)
+        for w in range(length - GRAM + 1):
+            begun[at[(first <= w) & (w <= last) & (hits >> np.uint64(w) & np.uint64(1)).astype(bool)] + w] = True
+        count = np.cumsum(begun[: len(p.buffer)], dtype=np.int32)
+        gone = count > 0
+        gone[length:] = count[length:] > count[:-length]
+        spans, kept = [], []
+        for a, e in zip(p.starts.tolist(), p.ends.tolist(), strict=True):
+            own = gone[a:e]
+            if not own.any():
+                spans.append([])
+                kept.append(p.bytes[a:e])
+                continue
+            turns = np.flatnonzero(np.diff(np.r_[False, own, False]))
+            spans.append([{"start": int(x), "end": int(y)} for x, y in turns.reshape(-1, 2)])
+            kept.append(p.buffer[a:e][~own].tobytes())
+        ids = pa.array([None if x == _NO_ID else x for x in p.ids.tolist()], pa.int64())
+        return pa.RecordBatch.from_arrays([ids, pa.array(p.sizes), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+
+    def told(blobs: DataFrame, name: str) -> DataFrame:
+        return blobs.groupBy(F.col("unit").alias(f"of_{name}")).agg(F.collect_list(F.struct("bucket", "blob")).alias(name))
 
     bits = stored(packs.mapInArrow(ask, _BLOBS).repartitionById(n, "bucket").mapInArrow(answer, _BLOBS))
-    asked = told_packs(bits, "bits")
-    known = packs.join(asked, packs["pack"] == asked["of_bits"], "left").select(*packs.columns, "bits")
+    asked = told(bits, "bits")
+    known = packs.join(asked, packs["unit"] == asked["of_bits"], "left").select(*packs.columns, "bits")
     marks = known.mapInArrow(send, _BLOBS).repartitionById(n, "bucket").mapInArrow(match, _BLOBS)
-    answered = told_packs(marks, "marks")
+    answered = told(marks, "marks")
     done = asked.join(answered, asked["of_bits"] == answered["of_marks"], "left").select("of_bits", "bits", "marks")
-    final = packs.join(done, packs["pack"] == done["of_bits"], "left").select(*packs.columns, "bits", "marks")
+    final = packs.join(done, packs["unit"] == done["of_bits"], "left").select(*packs.columns, "bits", "marks")
     return final.mapInArrow(finish, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
