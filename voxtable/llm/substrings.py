@@ -175,8 +175,9 @@ def contexts(pack: Pack, which: np.ndarray, length: int, gram: int = GRAM) -> np
     out = np.zeros((len(at), -(-(width + 2) // 8) * 8), np.uint8)
     left = np.maximum(0, pack.starts[doc] - (at - reach))
     right = np.minimum(width, pack.ends[doc] - (at - reach))
-    for k in range(width):
-        out[:, k] = np.where((k >= left) & (k < right), padded[at + k], 0)
+    out[:, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[at]
+    edge, k = np.flatnonzero((left > 0) | (right < width)), np.arange(width)
+    out[edge, :width] *= (k >= left[edge, None]) & (k < right[edge, None])
     out[:, width], out[:, width + 1] = left, right
     return out
 
