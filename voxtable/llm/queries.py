@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html_text, mixing, quality, secrets, sharding, simhash, substrings, token_counts
+from . import chat, decontam, html_text, mixing, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts
 from .common import table
 
 
@@ -64,6 +64,13 @@ def op10_html_extraction(spark, sf_dir):
     return html_text.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    nodes = prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    return nodes.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), F.col("n").alias("n_convs"), F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), F.coalesce("ends", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -75,6 +82,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -155,4 +163,30 @@ ORACLES = {
         select doc_id, n_bytes, case when d = 0 then '' else right(lpad(bin(place >> (60 - d)), 60, '0'), d::integer) end as shard,
             d::bigint as depth, shard_bytes, shard_bytes > {sharding.LIMIT} as oversize
         from judged where k = 1""",
+    "op13_prefix_trie": rf"""
+        with recursive t as (select conv_id::bigint as conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+        told as (select conv_id, turn, md5(length(role)::varchar || ':' || role || text) as dg, len(regexp_extract_all(text, '{_WORDS}'))::bigint as words from t),
+        own as (select *, row_number() over (partition by conv_id order by turn nulls first, dg) as k from told),
+        c as (
+            select conv_id, xor(4294967295, list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint),
+                lambda crc, x: list_reduce(range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(crc, x)), 4294967295::bigint)) % {prefix_trie.HEAD} as h
+            from (select distinct conv_id from t)),
+        mixed as (
+            select c.conv_id, k, dg, words from c join own on own.conv_id = c.conv_id where k > h
+            union all select c.conv_id, k, dg, words from c join own on own.conv_id = c.conv_id - c.conv_id % {prefix_trie.GROUP} where k <= h),
+        r as (select *, row_number() over (partition by conv_id order by k) as d from mixed),
+        p as (
+            select conv_id, 0::bigint as d, '' as node, 0::bigint as words from c
+            union all select r.conv_id, r.d, md5(p.node || r.dg), r.words from p join r on r.conv_id = p.conv_id and r.d = p.d + 1),
+        n as (select node, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words from p group by node, d),
+        up as (select n.*, q.node as parent from n left join p q on q.conv_id = n.conv_id and q.d = n.d - 1),
+        kids as (select parent, count(*) as n_children from up where parent is not null group by parent),
+        full_ as (select up.*, coalesce(n_children, 0) as n_children from up left join kids on kids.parent = up.node),
+        below as (
+            select p.node, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * f.words) as saved
+            from full_ f join p on p.conv_id = f.conv_id and p.d <= f.d group by p.node),
+        final_ as (select conv_id, max_by(node, d) as node from p group by conv_id),
+        ended as (select node, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends from final_ group by node)
+        select f.conv_id, f.d as depth, m.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved::bigint as saved_tokens, coalesce(ends, sha256('')) as ends_sha256
+        from full_ f join below using (node) left join ended using (node) left join n m on m.node = f.parent""",
 }
