@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html_text, mixing, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts
+from . import chat, collocations, decontam, html_text, mixing, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op10_html_extraction(spark, sf_dir):
     return html_text.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     nodes = prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
     return nodes.select(
@@ -82,6 +86,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
+    "op11_collocations": op11_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -163,6 +168,28 @@ ORACLES = {
         select doc_id, n_bytes, case when d = 0 then '' else right(lpad(bin(place >> (60 - d)), 60, '0'), d::integer) end as shard,
             d::bigint as depth, shard_bytes, shard_bytes > {sharding.LIMIT} as oversize
         from judged where k = 1""",
+    "op11_collocations": rf"""
+        with pieces as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws
+            from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+        f as (
+            select lang, size, phrase, count(*) as n
+            from (select lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) as phrase
+                from pieces, range(1, {collocations.WORDS + 1}) t(size) where len(ws) >= size)
+            group by all),
+        totals as (select lang, sum(n)::bigint as n from f where size = 1 group by lang),
+        c as (select lang, size, phrase, string_split(phrase, ' ') as w, n as a from f where size > 1 and n >= {collocations.LEAST}),
+        cuts as (
+            select c.*, k, x.n as l, y.n as r, (1000000::hugeint * a * a) // (x.n::hugeint * y.n) as score
+            from (select *, unnest(range(1, size)) as k from c) c
+                join f x on x.lang = c.lang and x.phrase = array_to_string(w[:k], ' ') join f y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+        s as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        inner_ as (
+            select distinct lang, array_to_string(w[i:i + m - 1], ' ') as phrase, a as outer_a
+            from (select *, unnest(range(1, size - m + 2)) as i from c, range(2, {collocations.WORDS}) t(m) where m < size)),
+        kept as (select * from s where not exists (select 1 from inner_ where inner_.lang = s.lang and inner_.phrase = s.phrase and 100 * outer_a >= {collocations.HIDES} * s.a)),
+        placed as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+        select lang, rank, phrase, a, l, r, totals.n, score::bigint as score from placed join totals using (lang) where rank <= {collocations.TOP}""",
     "op13_prefix_trie": rf"""
         with recursive t as (select conv_id::bigint as conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
         told as (select conv_id, turn, md5(length(role)::varchar || ':' || role || text) as dg, len(regexp_extract_all(text, '{_WORDS}'))::bigint as words from t),
