@@ -41,7 +41,7 @@ TILE, DENSE = 512, 8
 #: Bits of the map that tells rare words and pairs.
 BITS = 1 << 26
 #: Bytes of text read at once; encoded words in one row; words counted at once.
-PIECE, ROW, BATCH = 1 << 20, 1 << 18, 1 << 21
+PIECE, ROW, BATCH = 1 << 20, 1 << 18, 1 << 20
 _BREAK, _RARE, _TAIL, _HASHED = -1, -2, -3, 1 << 62
 _MARKS = bytes(10 if c in b".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _TOKEN = re.compile(rb"[^ \n]+|\n+")
@@ -311,8 +311,8 @@ def phrase_counts(texts: DataFrame, size: int, shorter: DataFrame | None, least:
                 ends = ends[whole]
                 held[lang].append([ids[ends - size + 1 + k] for k in range(size)])
                 waiting[lang] += len(ends)
-                if waiting[lang] >= BATCH:
-                    yield from counted(lang)
+                if waiting.total() >= BATCH:
+                    yield from counted(max(waiting, key=waiting.get))
         for lang in list(held):
             yield from counted(lang)
 
