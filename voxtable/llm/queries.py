@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontam, html_text, mixing, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts
+from . import chat, collocations, decontam, html_text, mixing, prefix_trie, pu_quality, quality, secrets, sharding, simhash, substrings, token_counts
 from .common import table
 
 
@@ -68,6 +68,10 @@ def op11_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pu_quality(spark, sf_dir):
+    return pu_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     nodes = prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
     return nodes.select(
@@ -87,6 +91,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
     "op11_collocations": op11_collocations,
+    "op12_pu_quality": op12_pu_quality,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
