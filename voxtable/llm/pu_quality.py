@@ -83,7 +83,7 @@ def features(texts: list[bytes]) -> np.ndarray:
             words = max(1.0, n)
             out[i, : len(pairs)] = np.sqrt(pairs / len(text))
             out[i, len(pairs) : -_FIGURES] = np.sqrt(triples / len(text))
-            out[i, -_FIGURES:] = np.log1p(n) / 10, chars / words / 10, stutter / words, kinds / words, np.log1p(words / max(1.0, lines)) / 5, line_kinds / max(1.0, lines), capitals / words
+            out[i, -_FIGURES:] = np.log1p(n) / 10, np.log1p(chars / words) / 3, stutter / words, kinds / words, np.log1p(words / max(1.0, lines)) / 5, line_kinds / max(1.0, lines), capitals / words
     return out
 
 
