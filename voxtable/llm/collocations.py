@@ -37,11 +37,11 @@ HIDES = 50
 #: Words, and phrases of each length, that get a number and are known to all tasks; some 100 bytes each.
 HEAD = 1 << 18
 #: Words a side of a tile; a tile is dense if a batch has a pair for every DENSE cells of it.
-TILE, DENSE = 512, 8
+TILE, DENSE = 256, 8
 #: Bits of the map that tells rare words and pairs.
 BITS = 1 << 26
 #: Bytes of text read at once; encoded words in one row; words counted at once.
-PIECE, ROW, BATCH = 1 << 20, 1 << 18, 1 << 20
+PIECE, ROW, BATCH = 1 << 20, 1 << 16, 1 << 19
 _BREAK, _RARE, _TAIL, _HASHED = -1, -2, -3, 1 << 62
 _MARKS = bytes(10 if c in b".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _TOKEN = re.compile(rb"[^ \n]+|\n+")
@@ -94,7 +94,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         yield from told()
 
     out = docs.select("text", _langs()).mapInArrow(run, "lang string, word binary, n long")
-    return out.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return out.repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def hashed(words: list[bytes], seed: int) -> list[int]:
@@ -316,8 +316,9 @@ def phrase_counts(texts: DataFrame, size: int, shorter: DataFrame | None, least:
         for lang in list(held):
             yield from counted(lang)
 
-    counts = texts.mapInArrow(run, f"lang string, {', '.join(f'{k} long' for k in names)}, n long").groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    return counts.filter(F.col("n") >= least)
+    counts = texts.mapInArrow(run, f"lang string, {', '.join(f'{k} long' for k in names)}, n long")
+    # a task has summed up its own, so rows are moved first and summed up once
+    return counts.repartition("lang", *names).groupBy("lang", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 def _sorted_rows(rows: np.ndarray, rank: np.ndarray) -> list[np.ndarray]:
