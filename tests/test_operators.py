@@ -426,7 +426,7 @@ def test_every_writer(spark, tmp_path):
     assert values(spark.read.parquet(str(tmp_path / "results")), "id", "shard") == values(frame, "id", "shard")
     corpus.write_sidecar(frame, str(tmp_path / "side"), 4)
     side = spark.read.parquet(str(tmp_path / "side"))
-    assert side.count() == 12 and max(r["count"] for r in side.groupBy("file_name").count().collect()) <= 4
+    assert side.count() == 12 and max(r["count"] for r in side.groupBy("_metadata.file_name").count().collect()) <= 4
     stats = assemble.corpus_stats(frame)
     corpus.write_stats(stats, str(tmp_path / "stats"))
     assert values(spark.read.json(str(tmp_path / "stats")), "split", "clips") == values(stats, "split", "clips") == [("test", 3), ("train", 9)]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtable.functions.clips import split_of
+from voxtable.operators.lookup import ROUND_BYTES, beside, located
 
 
 class IntegrityError(ValueError):
@@ -30,31 +31,38 @@ def audio_violations(results: DataFrame, source: DataFrame, path: str = "audio_p
     return counts.unionByName(paths)
 
 
-def attach_audio(results: DataFrame, source: DataFrame, check: bool = True) -> DataFrame:
-    """results with the audio column of source, joined on (shard, row). The thin side is the one to move: Spark broadcasts it if it is small."""
+def attach_audio(results: DataFrame, source: DataFrame, check: bool = True, most: int = ROUND_BYTES) -> DataFrame:
+    """results with the audio column of source, joined on (shard, row). Results go to where the audio is read, at most ``most`` bytes at a time (see lookup); audio isn't exchanged."""
     if check:
         bad = audio_violations(results, source.withColumn("path", F.col("audio.path"))).orderBy("shard", "kind").take(5)
         if bad:
             raise IntegrityError("; ".join(f"{r['shard']}: {r['kind']}" + (f" at row {r['row']}" if r["row"] is not None else "") for r in bad))
-    return results.join(source.select("shard", "row", "audio"), ["shard", "row"])
+    return beside(source.select("shard", "row", "audio"), results, most).select(*results.columns, "audio")
 
 
 def missing_shards(results: DataFrame, source: DataFrame) -> DataFrame:
     return results.select("shard").distinct().join(source.select("shard").distinct(), "shard", "left_anti")
 
 
-def join_selected(source: DataFrame, selection: DataFrame) -> DataFrame:
+def _joined(source: DataFrame, thin: DataFrame, most: int) -> DataFrame:
+    """source with the columns of thin, by id. Rows that have an address (shard, row) stay where they are read: thin is brought to the addresses first; others are joined by id."""
+    thin = thin.select("id", *(c for c in thin.columns if c not in source.columns))
+    if not {"shard", "row"} <= set(source.columns):
+        return source.join(thin, "id")
+    return beside(source, located(source, thin).drop("id"), most).select(*source.columns, *(c for c in thin.columns if c != "id"))
+
+
+def join_selected(source: DataFrame, selection: DataFrame, most: int = ROUND_BYTES) -> DataFrame:
     """Source rows of selected clips with the selection's columns."""
-    chosen = selection.filter("selected")
-    return source.join(chosen.select("id", *(c for c in chosen.columns if c not in source.columns)), "id")
+    return _joined(source, selection.filter("selected"), most)
 
 
 def restrict_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(ids.select("id"), "id", "left_semi")
 
 
-def join_sidecar(source: DataFrame, sidecar: DataFrame) -> DataFrame:
-    return source.join(sidecar.select("id", *(c for c in sidecar.columns if c not in source.columns)), "id")
+def join_sidecar(source: DataFrame, sidecar: DataFrame, most: int = ROUND_BYTES) -> DataFrame:
+    return _joined(source, sidecar, most)
 
 
 def union_shards(*parts: DataFrame) -> DataFrame:

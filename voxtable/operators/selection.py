@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from voxtable.functions.classes import ipa_classes, phone_classes
 from voxtable.functions.clips import phoneme_rate, reasons
 from voxtable.functions.units import collapse, split_units
+from voxtable.operators.quantiles import number, quantiles
 from voxtable.sources.corpus import prefix_sums, settled
 
 
@@ -162,12 +163,12 @@ def budget_cut(accepted: DataFrame, budget: float) -> DataFrame:
     return prefix_sums(accepted, list(_RANK), F.col("duration"), "start").filter(F.col("start") < budget).drop("start")
 
 
-def selection_summary(df: DataFrame, exact: bool = True) -> DataFrame:
-    """n, hours, speakers; UER median and p95, SNR median, duration median and mean of the selected rows."""
-    pick = (lambda c, p: F.percentile(c, F.lit(p))) if exact else (lambda c, p: F.approx_percentile(c, p, 10_000))
+def selection_summary(df: DataFrame) -> DataFrame:
+    """n, hours, speakers; UER median and p95, SNR median, duration median and mean of the selected rows. Quantiles are exact (see quantiles)."""
     seconds = F.col("duration").cast("double")
-    return df.filter("selected").agg(
-        F.count("*").alias("n"), (F.sum(seconds) / 3600).alias("hours"), F.count_distinct("speaker").alias("speakers"),
-        pick(F.col("uer"), 0.5).alias("uer_median"), pick(F.col("uer"), 0.95).alias("uer_p95"), pick(F.col("snr_est"), 0.5).alias("snr_median"),
-        pick(seconds, 0.5).alias("duration_median"), F.avg(seconds).alias("duration_mean"),
+    rows = settled(df.filter("selected").select("speaker", "uer", "snr_est", seconds.alias("seconds")))
+    found = quantiles(rows, {"uer": (F.col("uer"), (0.5, 0.95)), "snr": (F.col("snr_est"), (0.5,)), "seconds": (F.col("seconds"), (0.5,))})
+    return rows.agg(F.count("*").alias("n"), (F.sum("seconds") / 3600).alias("hours"), F.count_distinct("speaker").alias("speakers"), F.avg("seconds").alias("duration_mean")).select(
+        "n", "hours", "speakers", number(found["uer", 0.5]).alias("uer_median"), number(found["uer", 0.95]).alias("uer_p95"), number(found["snr", 0.5]).alias("snr_median"),
+        number(found["seconds", 0.5]).alias("duration_median"), "duration_mean",
     )

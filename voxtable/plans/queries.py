@@ -727,6 +727,32 @@ def snr_report(spark, d):
     return speakers.snr_report(v.speakers(spark, d)).select(*(F.round(c, 6).alias(c) for c in ("p5", "median", "p95")))
 
 
+@query("""with recursive e as (select printf('segment_%06d', vec_id) as id, embedding as x from embeddings),
+    z as (select id, x, sqrt(list_sum(list_transform(x, lambda y: y::double * y::double))) + 1e-9 as norm from e),
+    q as (select id, list_transform(x, lambda y: round(y::double / norm * 32768)::double) as q from z),
+    named as (select distinct md5(array_to_string(list_transform(q, lambda y: y::int), ',')) as name, q from q),
+    k as (select greatest(2, least(4000, count(*) // 4)) as k from q),
+    state as (
+        select 0 as turn, cid::bigint as cid, q as c from (select row_number() over (order by name) as cid, q from named), k where cid <= k
+        union all
+        select turn, cid, list(c order by i) as c
+        from (
+            select turn + 1 as turn, cid, i, floor((2 * sum(x) + count(*)) / (2 * count(*))) as c
+            from (
+                select turn, cid, unnest(q) as x, generate_subscripts(q, 1) as i
+                from (select id, q, min(turn) as turn, arg_min(cid, (dist, cid)) as cid from (select id, q, turn, cid, list_dot_product(c, c) - 2 * list_dot_product(q, c) as dist from q, state where turn < 20) group by id, q))
+            group by turn, cid, i)
+        group by turn, cid),
+    centers as (select row_number() over (order by c) - 1 as centroid, c from state where turn = 20),
+    put as (select id, arg_min(centroid, (dist, centroid)) as centroid from (select id, centroid, list_dot_product(c, c) - 2 * list_dot_product(q, c) as dist from q, centers) group by id)
+    select id, centroid::bigint as centroid, count(*) over (partition by centroid)::bigint as clips from put""")
+def oversegmented(spark, d):
+    """Every clip's centroid of a k-means in whole numbers, and how many share it."""
+    rows = v.table(spark, d, "embeddings").select(F.format_string("segment_%06d", "vec_id").alias("id"), "embedding")
+    out = speakers.oversegment(rows)[0]
+    return out.select("id", F.col("centroid").cast("long").alias("centroid"), F.count("*").over(W.partitionBy("centroid")).alias("clips"))
+
+
 @query()
 def pseudo_speakers(spark, d):
     rows = v.table(spark, d, "embeddings").select(F.format_string("segment_%06d", "vec_id").alias("id"), "embedding")

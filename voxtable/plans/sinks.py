@@ -8,13 +8,14 @@ import wave
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxtable.functions import clips, units
 from voxtable.operators import assemble, plugs
 from voxtable.plans import views as v
 from voxtable.plans.queries import BASE, query
-from voxtable.sources import corpus, wavs
+from voxtable.sources import corpus, files, wavs
 from voxtable.streaming import ingest
 
 
@@ -38,7 +39,7 @@ def write_results(spark, d):
 def write_sidecar(spark, d):
     path = _folder(spark, "sidecar")
     corpus.write_sidecar(v.clips(spark, d).select("id", "shard", "n_units"), path, 1000)
-    return spark.read.parquet(path).groupBy("file_name").agg(F.count("*").alias("clips"), F.sum("n_units").alias("n_units"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("clips"), F.sum("n_units").alias("n_units"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 
 _STATS = """s as (select split, count(*)::bigint as clips, round(sum(dur_ms) / 3600000.0::double, 2) as hours, sum(n_units)::bigint as phoneme_units,
@@ -67,6 +68,56 @@ def normalize_audio(spark, d):
     return corpus.normalize_audio(rows).select("doc_id", F.octet_length("audio.bytes").cast("long").alias("n_bytes"), "audio.path", F.md5("audio.bytes").alias("digest"))
 
 
+# ---- shards as files -------------------------------------------------------------------------------------------------
+
+
+def _shard_files(spark: SparkSession, d: str) -> str:
+    """A folder with a file a shard: its clips by id, with audio (the text's bytes stand for it)."""
+    path = _folder(spark, "shards")
+    audio = F.struct(F.encode("text", "UTF-8").alias("bytes"), F.col("id").alias("path")).alias("audio")
+    files.write_named(v.clips(spark, d).select("id", audio, F.concat("shard", F.lit(".parquet")).alias("file_name")), path, order=("id",))
+    return path
+
+
+_IN_FILES = f"{v.CLIPS}, placed as (select *, shard || '.parquet' as file, row_number() over (partition by shard order by id) - 1 as row_ from clips)"
+
+
+@query(f"with {_IN_FILES} select id, file as shard, row_::bigint as \"row\", ipa, n_units, md5(text) as audio_md5 from placed")
+def attach_audio_files(spark, d):
+    """Audio beside its metadata, which comes in rounds of 4 MiB, each to the files of its own shards; paths and counts are checked before."""
+    source = corpus.read_shards(spark, _shard_files(spark, d), ["audio"])
+    rows = v.clips(spark, d).withColumn("shard", F.concat("shard", F.lit(".parquet"))).withColumn("row", F.row_number().over(W.partitionBy("shard").orderBy("id")).cast("long") - 1)
+    out = assemble.attach_audio(rows.select("id", "shard", "row", F.col("id").alias("audio_path"), "ipa", "n_units"), source, most=4 << 20)
+    return out.select("id", "shard", "row", "ipa", "n_units", F.md5(F.col("audio.bytes")).alias("audio_md5"))
+
+
+@query(f"with {_IN_FILES} select id, file as shard, row_::bigint as \"row\", dur_ms, md5(text) as audio_md5 from placed where n_units % 3 = 0")
+def join_selected_files(spark, d):
+    """Source rows of chosen clips: ids are brought to the rows' addresses, then to the tasks that read the audio."""
+    source = corpus.read_shards(spark, _shard_files(spark, d))
+    chosen = v.clips(spark, d).select("id", "dur_ms", (F.col("n_units") % 3 == 0).alias("selected"))
+    return assemble.join_selected(source, chosen, most=4 << 20).select("id", "shard", "row", "dur_ms", F.md5(F.col("audio.bytes")).alias("audio_md5"))
+
+
+@query(f"with {_IN_FILES} select file as shard, count(*)::bigint as clips, max(row_)::bigint as last_row, min(id) as first_id from placed where file not like 'test-%' group by file")
+def read_pending(spark, d):
+    """The shards whose results aren't there: those of the test split are."""
+    source, results = _shard_files(spark, d), _folder(spark, "results")
+    done = v.clips(spark, d).filter(F.col("shard").like("test-%")).select("id", F.concat("shard", F.lit(".parquet")).alias("file_name"))
+    files.write_named(done, results)
+    return files.read_pending(spark, source, results, columns=["id"]).groupBy("shard").agg(F.count("*").alias("clips"), F.max("row").alias("last_row"), F.min("id").alias("first_id"))
+
+
+@query(f"""with {_IN_FILES}, s as (select distinct file from placed where contains(file, 'src1') and file not like 'test-%' order by file limit 3)
+    select file as shard, count(*)::bigint as clips from placed where file in (select file from s) group by file""")
+def read_pending_some(spark, d):
+    """Of the pending shards of some name the first three."""
+    source, results = _shard_files(spark, d), _folder(spark, "results")
+    done = v.clips(spark, d).filter(F.col("shard").like("test-%")).select("id", F.concat("shard", F.lit(".parquet")).alias("file_name"))
+    files.write_named(done, results)
+    return files.read_pending(spark, source, results, "src1", 3, ["id"]).groupBy("shard").agg(F.count("*").alias("clips"))
+
+
 # ---- streaming -----------------------------------------------------------------------------------------------------
 
 

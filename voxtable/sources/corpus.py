@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxtable.functions.clips import clip_id, split_of, stem
+from voxtable.sources.files import write_named
 
 SIDECAR_COLUMNS = ("id", "audio_path", "shard", "row", "duration", "text", "ipa", "ipa_units", "n_units")
 
@@ -95,8 +96,9 @@ def prefix_sums(df: DataFrame, order: list[str], value: Column, name: str, by: t
     return out.withColumn(name, F.coalesce("ahead", zero) + F.coalesce("own", zero)).drop("sum_of", "sum_part", "ahead", "own")
 
 
-def write_sidecar(df: DataFrame, path: str, rows_per_file: int = 40_000) -> None:
-    sidecar(df, rows_per_file).repartition("file_name").sortWithinPartitions("file_name", "rank").drop("rank", "file").write.option("compression", "zstd").partitionBy("file_name").parquet(path)
+def write_sidecar(df: DataFrame, path: str, rows_per_file: int = 40_000) -> list[str]:
+    """Files <split>-<i>-of-<n>.parquet of so many rows, in the order of ids; returns their names."""
+    return write_named(sidecar(df, rows_per_file), path, order=("rank",), without=("rank", "file", "split"))
 
 
 def write_stats(df: DataFrame, path: str) -> None:
