@@ -80,13 +80,15 @@ def resample(samples: np.ndarray, source: int, target: int, zeros: int = 6, roll
 
 def acoustic_metrics(samples: np.ndarray, rate: int) -> tuple[float, float, float]:
     """SNR estimate (dB), share of clipped samples and share of near-silent 20 ms frames; (0, 0, 1) for a clip under one frame."""
-    size = max(int(0.02 * rate), 1)
-    frames = len(samples) // size
-    if not frames:
+    per_frame = max(rate // 50, 1)
+    starts = np.arange(0, len(samples) - per_frame + 1, per_frame)
+    if not len(starts):
         return 0.0, 0.0, 1.0
-    energy = np.square(samples[: frames * size].reshape(frames, size)).mean(axis=1) + 1e-12
-    low, high = np.percentile(energy, (10, 90))
-    return float(10 * np.log10(high / low)), float(np.mean(np.abs(samples) > 0.99)), float(np.mean(energy < 2 * low))
+    heard = samples[: len(starts) * per_frame].astype(np.float64)
+    power = np.sort(np.add.reduceat(heard * heard, starts) / per_frame + 1e-12)
+    quiet, loud = np.interp(np.array([0.1, 0.9]) * (len(power) - 1), np.arange(len(power)), power)
+    clipped = np.count_nonzero((samples > 0.99) | (samples < -0.99)) / len(samples)
+    return float(10 * (np.log10(loud) - np.log10(quiet))), clipped, float(np.searchsorted(power, 2 * quiet) / len(power))
 
 
 def cap_wave(samples: np.ndarray, rate: int, seconds: float = 8.0) -> np.ndarray:

@@ -215,6 +215,55 @@ def embedded(spark, d):
     return out.select("id", *(F.round(F.col("embedding")[k].cast("double"), 5).alias(c) for k, c in enumerate(("mean_size", "least", "greatest"))))
 
 
+def _profile_of_rows():
+    """The same of the rows of a padded matrix, by their relative lengths; a batch is of one rate, of four rows at most, and none is much shorter than another if it is full."""
+
+    def model(block: np.ndarray, lengths: np.ndarray, rate: int) -> np.ndarray:
+        sizes = np.rint(lengths * block.shape[1]).astype(int)
+        if rate not in (400, 800) or len(block) > 4 or sizes.max() != block.shape[1] or (len(block) == 4 and sizes.min() < 1):
+            raise ValueError("not a batch")
+        return np.array([[np.abs(x[:n].astype(np.float64)).mean(), x[:n].min(), x[:n].max()] for x, n in zip(block, sizes, strict=True)])
+
+    return model
+
+
+@query(f"""with {_pcm("i")},
+    c as (select id, substr(id, 9)::bigint as k, list_transform(q, lambda x: x / 32768.0::double) as x from i),
+    s as (select id, k, x[1:16 + (k % 4)::bigint * 16] as x from c),
+    m as (select id, k, x[1:40] as y, list_sort(list_transform(range(0, len(x) // 8), lambda j: list_sum(list_transform(x[j * 8 + 1:j * 8 + 8], lambda v: v * v)) / 8 + 1e-12)) as e from s),
+    p as (select *, 0.1::double * (len(e) - 1) as a, 0.9::double * (len(e) - 1) as b from m),
+    r as (select *, e[floor(a)::bigint + 1] + (a - floor(a)) * (e[ceil(a)::bigint + 1] - e[floor(a)::bigint + 1]) as low, e[floor(b)::bigint + 1] + (b - floor(b)) * (e[ceil(b)::bigint + 1] - e[floor(b)::bigint + 1]) as high from p),
+    v as (select *, [list_avg(list_transform(y, lambda x: abs(x))), list_min(y), list_max(y)] as v from r),
+    n as (select *, sqrt(v[1] * v[1] + v[2] * v[2] + v[3] * v[3]) + 1e-9 as n from v)
+    select id, case when k % 7 = 0 then 'EOFError' end as failed, case when k % 7 > 0 then round(v[1] / n, 4) end as mean_size, case when k % 7 > 0 then round(v[2] / n, 4) end as least,
+        case when k % 7 > 0 then round(v[3] / n, 4) end as greatest, case when k % 7 > 0 then round(10 * log10(high / low), 1) end as snr_est, case when k % 7 > 0 then round(len(list_filter(e, lambda x: x < 2 * low)) / len(e)::double, 5) end as silence_frac
+    from n""")
+def embedded_audio(spark, d):
+    """From wav bytes to unit vectors and recording metrics: waves of four lengths, cut at a tenth of a second, in batches of four; every seventh can't be decoded."""
+    number = F.substring("id", 9, 20).cast("long")
+    some = F.slice("samples", F.lit(1), (16 + number % 4 * 16).cast("int"))
+    data = wavs.as_wav(_waves(spark, d).withColumn("peak", F.array_max(F.transform("samples", lambda x: F.abs(x)))).withColumn("samples", F.when(F.col("peak") > 1, F.transform("samples", lambda x: (x / F.col("peak")).cast("float"))).otherwise(F.col("samples"))).withColumn("samples", some), 400)
+    data = data.select("id", F.when(number % 7 == 0, F.encode(F.lit("no wave"), "UTF-8")).otherwise(F.col("wav")).alias("bytes"))
+    out = plugs.embed_audio(data, _profile_of_rows, 0.1, target=400, batch=4)
+    vector = [F.round(F.col("embedding")[k].cast("double"), 4).alias(c) for k, c in enumerate(("mean_size", "least", "greatest"))]
+    return out.select("id", "failed", *vector, F.round(F.col("snr_est").cast("double"), 1).alias("snr_est"), F.round(F.col("silence_frac").cast("double"), 5).alias("silence_frac"))
+
+
+@query("""with w as (select printf('segment_%06d', vec_id) as id, list_transform(embedding, lambda x: (x * 5)::float) as s from embeddings),
+    p as (select id, s, list_max(list_transform(s, lambda x: abs(x)))::float as peak from w),
+    i as (select id, list_transform(s, lambda x: round_even((case when peak > 1 then x / peak else x end)::float::double * 32767, 0)::bigint) as s from p)
+    select id, id || '.wav' as name, 0.16::double as duration, len(s)::bigint as n, list_sum(s)::bigint as total, list_sum(list_transform(s, lambda x, k: x * k))::bigint as weighted from i""")
+def exported(spark, d):
+    """Waves exported to files, listed, read back and decoded."""
+    folder = _folder(spark, "wavs")
+    made = wavs.export_wavs(_waves(spark, d), folder, 400)
+    back = wavs.decode(wavs.read_wavs(spark, folder)).join(wavs.list_wavs(spark, folder).select("id", F.regexp_extract("path", "[^/]*$", 0).alias("name")), "id")
+    whole = F.transform("samples", lambda x: F.round(x.cast("double") * 32768).cast("long"))
+    add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x)
+    back = back.select("id", "name", F.size("samples").cast("long").alias("n"), add(whole).alias("total"), add(F.transform(whole, lambda x, k: x * (k + 1))).alias("weighted"))
+    return made.select("id", "duration").join(back, "id")
+
+
 def _speller(but: str):
     """A stand-in engine: letters by longest match; it fails on texts with a given one."""
 

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxtable.functions.audio import acoustic_metrics, decode_wav, encode_wav, resample
 from voxtable.functions.clips import stem
-
-#: Clips are large: few at a time keep a task's memory small.
-ROWS_A_BATCH = 64
-
+from voxtable.sources.corpus import settled
 
 def list_wavs(spark: SparkSession, path: str) -> DataFrame:
     """id (file stem), path, length of every wav below a folder, without reading content."""
@@ -28,20 +28,30 @@ def read_wavs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode(df: DataFrame, column: str = "bytes", target: int | None = None) -> DataFrame:
-    """samples (array<float>), rate and duration in place of wav bytes."""
+    """samples (array<float>), rate, duration and failed in place of wav bytes; bytes that can't be decoded give nulls and the error's name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            waves = [decode_wav(x) for x in pdf.pop(column)]
-            if target:
-                waves = [(resample(w, r, target), target) for w, r in waves]
-            yield pdf.assign(samples=[w for w, _ in waves], rate=np.array([r for _, r in waves], np.int32), duration=np.array([len(w) / r for w, r in waves], np.float32))
+            found = [decoded(x) for x in pdf.pop(column)]
+            waves = [(None, None, error) if error else (resample(w, r, target) if target else w, target or r, None) for w, r, error in found]
+            seconds = pd.array([None if e else len(w) / r for w, r, e in waves], "Float32")
+            yield pdf.assign(samples=[w for w, _, _ in waves], rate=pd.array([r for _, r, _ in waves], "Int32"), duration=seconds, failed=[e for _, _, e in waves])
 
     kept = [c for c in df.columns if c != column]
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), "samples array<float>, rate int, duration float"])
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), "samples array<float>, rate int, duration float, failed string"])
     return df.mapInPandas(run, schema)
 
 
+def decoded(data: bytes | None) -> tuple[np.ndarray | None, int | None, str | None]:
+    """Samples and rate, or the name of what went wrong."""
+    if data is None:
+        return None, None, "missing"
+    try:
+        return *decode_wav(data), None
+    except Exception as e:  # noqa: BLE001  bytes may be broken in any way; that clip has no wave then
+        return None, None, type(e).__name__
+
+
 def resampled(df: DataFrame, target: int) -> DataFrame:
     """id, samples, rate -> the same at the target rate."""
 
@@ -65,20 +75,49 @@ def as_wav(df: DataFrame, target: int) -> DataFrame:
 
 
 def export_wavs(df: DataFrame, folder: str, target: int) -> DataFrame:
-    """Writes <folder>/<id>.wav from the tasks (a folder that every executor mounts) and returns id, path, duration. Rewriting a file on a retry gives the same bytes."""
-    import os
+    """Writes <folder>/<id>.wav and returns id, path, duration. folder: a path or URI of any file system that pyarrow knows.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
+    Two phases, so that neither a repeated nor a speculative task shows: each attempt writes files of its own names below a staging folder and tells them; what Spark takes as the tasks' result is
+    the manifest of winners, settled before a file is moved to its name. Moving again what is moved already does nothing. Of several rows of one id the one with the least bytes' digest is exported.
+    """
+    staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = pafs.FileSystem.from_uri(staging)
+        system.create_dir(at, recursive=True)
         for pdf in batches:
-            paths = [f"{folder}/{i}.wav" for i in pdf["id"]]
-            for path, data in zip(paths, pdf["wav"], strict=True):
-                with open(f"{path}.part", "wb") as f:
+            parts = [f"{uuid.uuid4().hex}.wav" for _ in range(len(pdf))]
+            for part, data in zip(parts, pdf["wav"], strict=True):
+                with system.open_output_stream(f"{at}/{part}") as f:
                     f.write(data)
-                os.replace(f"{path}.part", path)
-            yield pd.DataFrame({"id": pdf["id"], "path": paths, "duration": pdf["duration"]})
+            yield pd.DataFrame({"id": pdf["id"], "part": parts, "duration": pdf["duration"], "digest": [hashlib.md5(x).hexdigest() for x in pdf["wav"]]})
 
-    return as_wav(df, target).mapInPandas(run, "id string, path string, duration double")
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = pafs.FileSystem.from_uri(staging)
+        for pdf in batches:
+            for i, part in zip(pdf["id"], pdf["part"], strict=True):
+                moved_into_place(system, f"{at}/{part}", f"{at.rpartition('/')[0]}/{i}.wav")
+            yield pd.DataFrame({"id": pdf["id"], "path": [f"{folder.rstrip('/')}/{i}.wav" for i in pdf["id"]], "duration": pdf["duration"]})
+
+    manifest = settled(as_wav(df, target).mapInPandas(write, "id string, part string, duration double, digest string"))
+    winners = settled(manifest.groupBy("id").agg(F.min_by(F.struct("part", "duration"), F.struct("digest", "part")).alias("won")).select("id", "won.*"))
+    out = settled(winners.mapInPandas(move, "id string, path string, duration double"))
+    system, at = pafs.FileSystem.from_uri(staging)
+    if system.get_file_info(at).type == pafs.FileType.Directory:
+        system.delete_dir(at)
+    return out
+
+
+def moved_into_place(system: pafs.FileSystem, part: str, path: str) -> None:
+    """Moves a staged file to its name; what another attempt moved stays."""
+    if system.get_file_info(part).type == pafs.FileType.File:
+        try:
+            system.move(part, path)
+        except OSError:
+            if system.get_file_info(part).type == pafs.FileType.File or system.get_file_info(path).type != pafs.FileType.File:
+                raise
+    elif system.get_file_info(path).type != pafs.FileType.File:
+        raise FileNotFoundError(f"neither {part} nor {path}")
 
 
 def metrics(df: DataFrame) -> DataFrame:
