@@ -724,3 +724,31 @@ def test_histogram_answers(spark):
     assert a["total_tokens"] == sum(counts) and a["kept_at_16"] == sum(min(c, 16) for c in counts)
     assert a["q50"] == sorted(counts)[-(-len(counts) // 2) - 1] and a["q90"] == sorted(counts)[int(np.ceil(len(counts) * 0.9)) - 1]
     assert token_counts.suffix_sums(token_counts.histogram(token_counts.lengths(documents(spark, [])))).count() == 0
+
+
+# ---- white space of any length, survivors of equal rows ----
+
+
+def test_white_space_of_any_length_is_counted():
+    encoding = token_counts._encoder(token_counts.VOCABULARY)
+    count = lambda t: token_counts.n_tokens(encoding, t)
+    r = random.Random(3)
+    for _ in range(60):  # the same as the pattern where its engine can follow
+        text = "".join(r.choice(["word", "é", "1", "!", "'s", "\x1c", "\n" * r.randint(1, 3), " " * 20_000, "\n" * 17_000, "\t 　" * 6_000, "\xa0" * 16_384]) for _ in range(r.randint(1, 7)))
+        assert count(text) == len(encoding.encode_ordinary(text))
+    n = 10_000_000
+    assert count("word" + "\n" * n) == 1 + n // 2
+    assert count("word" + "\n" * n + "word") == 2 + count("\n" * (n - 1)) + 1 == 2 + n // 2 + 1
+    assert count(" " * n + "word") == n - 1 + 1
+    assert count("a" * n) > 0 and count("!" * n) > 0
+
+
+def test_survivors_of_equal_rows_do_not_depend_on_order(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text, "en", s, 1, {"k": s}) for s in "fdbace"] + [(9, text + " tail", "en", "a", 1, None), (None, text, "en", None, 1, None)]
+    found = set()
+    for k in range(4):
+        random.Random(k).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, row long, extra map<string,string>").repartition(k + 1)
+        found.add(tuple((x["doc_id"], x["source"]) for x in near_copies.first_documents(docs).collect()))
+    assert found == {((5, "a"),)}

@@ -18,6 +18,7 @@ texts; an empty table gives an empty result; extra columns are kept.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -249,11 +250,13 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
 
 
 def first_documents(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """docs with one row of each group, that of its smallest doc_id. An id may name several texts, so the row is told by its id and text."""
+    """docs with one row of each group, that of its smallest doc_id. An id may name several texts, so the row is told by its id and text; of rows that agree in both, the least by all columns
+    (those that have an order) stays, so reruns agree."""
     first = grouped(docs, shingle, similarity).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest")).alias("kept"))
     named = lambda id_: F.coalesce(F.concat(F.lit("i"), id_.cast("string")), F.lit("-"))
     told = lambda id_, text: F.unhex(F.md5(F.concat(named(id_).cast("binary"), text)))
     first = first.select(told(F.col("kept.id"), F.col("kept.digest")).alias("kept_key"))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), told(F.col("doc_id"), digest(F.col("text"))).alias("key"))
+    ordered = [c for c, kind in docs.dtypes if not re.search(r"\b(map|variant|interval)\b", kind)]
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.struct(*(docs[c] for c in ordered)).alias("by"), told(F.col("doc_id"), digest(F.col("text"))).alias("key"))
     kept = rows.join(first, rows["key"] == first["kept_key"], "left_semi")
-    return kept.dropDuplicates(["key"]).select("row.*")
+    return kept.groupBy("key").agg(F.min_by("row", "by").alias("row")).select("row.*")
