@@ -256,7 +256,7 @@ def first_documents(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     named = lambda id_: F.coalesce(F.concat(F.lit("i"), id_.cast("string")), F.lit("-"))
     told = lambda id_, text: F.unhex(F.md5(F.concat(named(id_).cast("binary"), text)))
     first = first.select(told(F.col("kept.id"), F.col("kept.digest")).alias("kept_key"))
-    ordered = [c for c, kind in docs.dtypes if not re.search(r"\b(map|variant|interval)\b", kind)]
+    ordered = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and not re.search(r"\b(map|variant|interval)\b", kind)]  # id and text agree
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.struct(*(docs[c] for c in ordered)).alias("by"), told(F.col("doc_id"), digest(F.col("text"))).alias("key"))
     kept = rows.join(first, rows["key"] == first["kept_key"], "left_semi")
     return kept.groupBy("key").agg(F.min_by("row", "by").alias("row")).select("row.*")
