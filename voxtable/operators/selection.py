@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +13,9 @@ from pyspark.sql import functions as F
 from voxtable.functions.classes import ipa_classes, phone_classes
 from voxtable.functions.clips import phoneme_rate, reasons
 from voxtable.functions.units import collapse, split_units
+from voxtable.operators import wordjoin
 from voxtable.operators.quantiles import number, quantiles
+from voxtable.operators.walk import WALK_ROWS, within_cap
 from voxtable.sources.corpus import prefix_sums, settled
 
 
@@ -31,7 +32,7 @@ class Limits:
     max_rate: float = 25.0
 
 
-#: A lexicon of so many bytes at most is sent to all tasks, which then look words up where the rows are; a larger one is joined by word.
+#: A lexicon of so many bytes at most is sent to all tasks, which then look words up where the rows are; of a larger one the most frequent words are (see wordjoin).
 LEXICON_BYTES = 64 << 20
 
 
@@ -51,14 +52,7 @@ def lexicon_lookup(df: DataFrame, lexicon: DataFrame, text: str = "text", id_: s
     if size <= most:
         found = df.withColumn("looked", _lookup(lexicon)(words))
         return found.select(*df.columns, "looked.phones", (F.col("looked.known") / F.greatest(F.col("looked.n"), F.lit(1))).alias("coverage"))
-    rows = df.select(id_, F.posexplode_outer(words).alias("at", "word"))
-    known = rows.join(lexicon, "word", "left")
-    got = known.groupBy(id_).agg(
-        F.sort_array(F.collect_list(F.when(F.col("phones").isNotNull(), F.struct("at", "phones")))).alias("found"),
-        F.count("at").alias("n_words"), F.count("phones").alias("n_known"),
-    )
-    got = got.select(id_, F.flatten("found.phones").alias("phones"), (F.col("n_known") / F.greatest("n_words", F.lit(1))).alias("coverage"))
-    return df.join(got, id_)
+    return wordjoin.looked_up(df, lexicon, words, id_, most)
 
 
 def _lookup(lexicon: DataFrame):
@@ -127,34 +121,14 @@ def placed(df: DataFrame, tie: str = "id") -> DataFrame:
     return ranked.withColumn("place", F.col("place") + 1).drop("snr_down", "tie")
 
 
-def _within_cap(cap: float):
-    """Rows (speaker and duration first) by speaker in rank order -> those that keep the speaker's total within the cap; a longer one is passed over, a shorter one after it may still
-    fit. One running total is all that is held, so a speaker of any size may pass."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speaker, total = None, 0.0
-        for b in batches:
-            keep = []
-            for name, seconds in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if name != speaker:
-                    speaker, total = name, 0.0
-                keep.append(total + seconds <= cap)
-                total += seconds if keep[-1] else 0.0
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def select_budgeted(df: DataFrame, budget: float, speaker_share: float = 0.08, tie: str = "id", duration: str = "duration") -> DataFrame:
+def select_budgeted(df: DataFrame, budget: float, speaker_share: float = 0.08, tie: str = "id", duration: str = "duration", most: int = WALK_ROWS) -> DataFrame:
     """df with selected: best clips first until the budget is reached (it may be passed by one clip), no speaker over its share.
 
-    Whether a clip passes its speaker's cap depends on that speaker's better clips alone, and the budget only cuts the tail. So speakers are scanned
-    side by side over thin rows, and the accepted seconds are summed up in ranges of the rank order.
+    Whether a clip passes its speaker's cap depends on that speaker's better clips alone, and the budget only cuts the tail. So speakers are walked
+    side by side over thin rows (see walk; one with over ``most`` clips on all machines), and the accepted seconds are summed up in ranges of the rank order.
     """
     thin = rank_candidates(df, tie).select("speaker", F.col(duration).cast("double").alias("duration"), "id", *_RANK)
-    by_speaker = thin.repartition("speaker").sortWithinPartitions("speaker", *_RANK)
-    accepted = by_speaker.mapInArrow(_within_cap(speaker_share * budget), thin.schema)
-    chosen = budget_cut(accepted, budget)
+    chosen = budget_cut(within_cap(thin, "speaker", "duration", list(_RANK), speaker_share * budget, most), budget)
     return df.join(chosen.select("id", F.lit(True).alias("selected")), "id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
 
 
