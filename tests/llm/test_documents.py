@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -555,6 +556,59 @@ def test_wrapped_base64_is_joined(width, end):
         assert ("assign", start, start + len(hidden)) in [x[:3] for x in secrets.find_secrets(text)]
 
 
+@pytest.mark.parametrize("n", [5, 9, 40, 50_000])
+def test_chains_that_unwrap_a_level_a_pass(n):
+    began = time.perf_counter()
+    chain = "%" * n + "3" * n + "D"  # the last level reads =
+    text = f"é password{chain}abcdefghijklmnop"
+    assert [x[:3] for x in secrets.find_secrets(text) if x[0] == "assign"] == [("assign", 2, len(text))]
+    assert time.perf_counter() - began < 10
+
+
+def test_lines_settle_to_the_fixpoint_of_single_passes():
+    r = random.Random(21)
+    parts = ["%", "25", "41", "c3", "a9", "\\", "u", "00", "5c", "x", "U0001", "f600", "{", "}", "\\ud83d", "\\ude00", "\\u{1F600}", "%u0025", "é", "Z", "3"]
+    for _ in range(4000):
+        line = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        want, spans = line, (np.arange(len(line)), np.arange(1, len(line) + 1))
+        while secrets._URL_RUN.search(want) or secrets._CODE_RUN.search(want):
+            want, new = secrets._unescaped(want)
+            spans = spans[0][new[0]], spans[1][new[1] - 1]
+        got, (first, ends) = secrets._settled(line)
+        if "\ufffd" not in want + got:  # a character of parts from several layers
+            assert got == want and first.tolist() == spans[0].tolist() and ends.tolist() == spans[1].tolist(), line
+        assert len(first) == len(ends) == len(got)
+
+
+_SECRET = "password=abcdefghijklmnop"
+
+
+@pytest.mark.parametrize("head", ["https://x.example/data/", "blob_", "blob", "a", "ab", "key-", "some/path/with-words_", ""])
+@pytest.mark.parametrize("tail", ["", "/raw", "_v2 and more"])
+def test_base64_among_characters_of_its_alphabet(head, tail):
+    hidden = base64.b64encode(_SECRET.encode()).decode().rstrip("=")
+    text = f"see {head}{hidden}{tail} there"
+    start = text.index(hidden)
+    got = [x for x in secrets.find_secrets(text) if x[0] == "assign"]
+    assert got and all(x[1] <= start and x[2] >= start + len(hidden) for x in got)
+    packed = base64.urlsafe_b64encode(gzip.compress(_SECRET.encode() * 3)).decode()
+    if not head or head[-1] in "/":
+        assert any(x[0] == "assign" for x in secrets.find_secrets(f"see {head}{packed} there"))
+
+
+@pytest.mark.parametrize("data", [_SECRET.encode("utf-16"), _SECRET.encode("utf-16-le"), _SECRET.encode("utf-16-be"), b"abc" + _SECRET.encode("utf-16-le") + b"\xff", gzip.compress((_SECRET + "\n" + "x" * 3_000_000).encode("utf-16-le")), zlib.compress(_SECRET.encode() * 2)[2:-4], b"HEAD\0\x01" + gzip.compress(_SECRET.encode())])
+def test_encodings_inside_base64(data):
+    hidden = base64.b64encode(data).decode()
+    assert ("assign", 4, 4 + len(hidden)) in [x[:3] for x in secrets.find_secrets(f"see {hidden} there")]
+
+
+@pytest.mark.parametrize("one", ["%u{:04x}", "\\u{{{:x}}}", "\\U{:08x}", "\\x{:02x}", "\\u{{0000{:x}}}"])
+def test_unicode_escapes(one):
+    hidden = "".join(one.format(ord(c)) for c in _SECRET)
+    text = f"é {hidden} \\u{{110000}} \\U0001F600 there"
+    assert [x[:3] for x in secrets.find_secrets(text) if x[0] == "assign"] == [("assign", 2, 2 + len(hidden))]
+
+
 # ---- decontamination ----
 
 
