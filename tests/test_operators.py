@@ -440,6 +440,17 @@ def test_every_writer(spark, tmp_path):
     assert ("val", "c0.wav|s|text 0|1 2") in values(spark.read.text(str(tmp_path / "meta")), "set", "value")
 
 
+def test_the_last_entry_of_an_id_wins(spark):
+    rows = [("a", "x", 1, "s1", 4), ("a", "y", 2, "s2", 0), ("a", "z", 3, "s2", 1), ("b", "x", 1, None, None), ("b", "w", 9, None, None), (None, "n", 0, "s1", 1)]
+    side = spark.createDataFrame(rows, "id string, speaker string, speaker_idx long, shard string, row long")
+    for n in (1, 3):
+        assert sorted((r["id"] or "", r["speaker"]) for r in quality.last_wins(side.repartition(n)).collect()) == [("", "n"), ("a", "z"), ("b", "x")]
+        assert sorted((r["id"] or "", r["speaker"]) for r in quality.last_wins(side.repartition(n), order="speaker_idx").collect()) == [("", "n"), ("a", "z"), ("b", "w")]
+    clips = spark.createDataFrame([("a",), ("c",)], "id string")
+    assert sorted((r["id"], r["speaker"]) for r in quality.attach_speakers(clips, side, 1).collect()) == [("a", "z"), ("c", "spk_unknown")]
+    assert quality.attach_metrics(clips, side).columns == ["id", "speaker", "snr_est", "clip_frac", "silence_frac"]
+
+
 def test_ingest_takes_new_shards_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id string, text string, n_units int, duration double"

@@ -79,10 +79,11 @@ def select_present(df: DataFrame, columns: list[str], fill: bool = False) -> Dat
 
 
 def corpus_stats(df: DataFrame) -> DataFrame:
-    """Per split: clips, hours, phoneme units, mean units a clip, empty transcriptions. Columns: shard, duration, n_units."""
+    """Per split: clips, hours, phoneme units, mean units a clip, empty transcriptions. Columns: shard, duration, n_units. Durations are summed in whole microseconds, so the order of rows doesn't count."""
+    micros = F.sum(F.round(F.col("duration").cast("double") * 1_000_000).cast("long"))
     stats = df.groupBy(split_of(F.col("shard")).alias("split")).agg(
         F.count("*").alias("clips"),
-        F.round(F.coalesce(F.sum(F.col("duration").cast("double")), F.lit(0.0)) / 3600, 2).alias("hours"),
+        F.round(F.coalesce(micros, F.lit(0)) / 3_600_000_000, 2).alias("hours"),
         F.coalesce(F.sum(F.col("n_units").cast("long")), F.lit(0)).alias("phoneme_units"),
         F.sum((F.coalesce("n_units", F.lit(-1)) == 0).cast("long")).alias("empty_transcriptions"),
     )

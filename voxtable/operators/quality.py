@@ -21,12 +21,19 @@ class QcLimits:
     min_speaker_clips: int = 20
 
 
+PROVENANCE = ("shard", "row")
+
+
+def _ordering(side: DataFrame, order: str | None) -> list[str]:
+    """The columns that tell which of two rows is later: ``order``, else where they were read."""
+    return [order] if order else [c for c in PROVENANCE if c in side.columns]
+
+
 def last_wins(side: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
-    """One row a key, the last by ``order``; without it any one of them."""
-    if order is None:
-        return side.dropDuplicates([key])
-    rest = [c for c in side.columns if c not in (key, order)]
-    return side.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("last")).select(key, "last.*")
+    """One row a key, without the columns of the order: the last by ``order``, else by shard and row if there are such; of equals the one with the greatest values."""
+    by = _ordering(side, order)
+    rest = [c for c in side.columns if c not in (key, *by)]
+    return side.groupBy(key).agg(F.max(F.struct(*by, *rest)).alias("last")).select(key, *(f"last.{c}" for c in rest))
 
 
 def speaker_counts(speakers: DataFrame, min_clips: int = 20) -> DataFrame:
@@ -42,7 +49,7 @@ def speaker_summary(speakers: DataFrame, min_clips: int = 20) -> DataFrame:
 def attach_speakers(df: DataFrame, speakers: DataFrame, min_clips: int = 20, order: str | None = None) -> DataFrame:
     """df with speaker, speaker_idx (defaults spk_unknown, -1) and rare_speaker: missing, or with few clips in the speaker table."""
     counts = speaker_counts(speakers, min_clips).select(F.col("speaker").alias("counted"), "small")
-    side = last_wins(speakers.select("id", "speaker", "speaker_idx", *([order] if order else [])), order=order)
+    side = last_wins(speakers.select("id", "speaker", "speaker_idx", *_ordering(speakers, order)), order=order)
     side = side.join(counts, side["speaker"] == counts["counted"], "left").drop("counted")
     out = df.join(side, "id", "left")
     rare = F.col("speaker").isNull() | F.coalesce("small", F.lit(False))
@@ -53,7 +60,7 @@ def attach_speakers(df: DataFrame, speakers: DataFrame, min_clips: int = 20, ord
 def attach_metrics(df: DataFrame, speakers: DataFrame, order: str | None = None) -> DataFrame:
     """df with speaker (default eng_unknown) and the three recording metrics (default 0)."""
     names = ("snr_est", "clip_frac", "silence_frac")
-    side = last_wins(speakers.select("id", "speaker", *(n for n in names if n in speakers.columns), *([order] if order else [])), order=order)
+    side = last_wins(speakers.select("id", "speaker", *(n for n in names if n in speakers.columns), *_ordering(speakers, order)), order=order)
     out = df.join(side, "id", "left").withColumn("speaker", F.coalesce("speaker", F.lit("eng_unknown")))
     return out.withColumns({n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) if n in side.columns else F.lit(0.0) for n in names})
 

@@ -53,6 +53,21 @@ def qc_flags(spark, d):
     return _flagged(spark, d).select(F.col("clip").alias("id"), "speaker", "speaker_idx", "qc_pass", "qc_reason")
 
 
+@query(f"""with {v.CLIPS},{v.SPEAKERS},
+    entries as (select id, speaker, speaker_idx, 'a' as shard, speaker_idx as row_ from speakers union all select id, speaker || '_b', speaker_idx + 1, 'b', -speaker_idx from speakers where speaker_idx % 3 = 0
+        union all select id, speaker || '_c', speaker_idx + 2, 'b', 1 from speakers where speaker_idx % 6 = 0),
+    last as (select * from (select *, row_number() over (partition by id order by shard desc, row_ desc) as k from entries) where k = 1),
+    sizes as (select speaker, count(*) as clips from entries group by speaker)
+    select c.id, coalesce(s.speaker, 'spk_unknown') as speaker, coalesce(s.speaker_idx, -1) as speaker_idx, s.speaker is null or z.clips < {MIN_CLIPS} as rare_speaker
+    from clips c left join last s on c.recording = s.id left join sizes z on s.speaker = z.speaker""")
+def attach_last_speakers(spark, d):
+    """A speaker table in which ids come again in later shards and rows: the last entry counts."""
+    one = v.speakers(spark, d).select("id", "speaker", "speaker_idx", F.lit("a").alias("shard"), F.col("speaker_idx").alias("row"))
+    other = lambda by, tail, k, row: one.filter(F.col("speaker_idx") % by == 0).select("id", F.concat("speaker", F.lit(tail)).alias("speaker"), F.col("speaker_idx") + k, F.lit("b"), row)
+    entries = one.union(other(3, "_b", 1, -F.col("row"))).union(other(6, "_c", 2, F.lit(1).cast("long")))
+    return quality.attach_speakers(v.spoken(spark, d), entries, MIN_CLIPS).select(F.col("clip").alias("id"), "speaker", "speaker_idx", "rare_speaker")
+
+
 @query(f"""{_FLAGGED} select reason, count(*)::bigint as n, count(*) / (select count(*) from flagged)::double as share
     from (select unnest(string_split(qc_reason, ',')) as reason from flagged where qc_reason <> '') group by reason""")
 def qc_reason_tally(spark, d):
@@ -106,12 +121,10 @@ def phoneme_rate(spark, d):
 # ---- assembling ----------------------------------------------------------------------------------------------------
 
 
-@query(f"""with {v.CLIPS} select split, count(*)::bigint as clips, sum(dur_ms)::bigint as ms, sum(n_units)::bigint as phoneme_units, round(sum(n_units) / count(*)::double, 1) as mean_units_per_clip,
+@query(f"""with {v.CLIPS} select split, count(*)::bigint as clips, round(sum(dur_ms) / 3600000.0::double, 2) as hours, sum(n_units)::bigint as phoneme_units, round(sum(n_units) / count(*)::double, 1) as mean_units_per_clip,
     sum((n_units = 0)::int)::bigint as empty_transcriptions from clips group by split""")
 def corpus_stats(spark, d):
-    rows = v.clips(spark, d)
-    ms = rows.groupBy(clips.split_of(F.col("shard")).alias("split")).agg(F.sum("dur_ms").alias("ms"))
-    return assemble.corpus_stats(rows).join(ms, "split").select("split", "clips", "ms", "phoneme_units", "mean_units_per_clip", "empty_transcriptions")
+    return assemble.corpus_stats(v.clips(spark, d)).select("split", "clips", "hours", "phoneme_units", "mean_units_per_clip", "empty_transcriptions")
 
 
 @query("select md5(coalesce(text, '')) as id, count(*)::bigint as n from documents group by all having count(*) > 1")
@@ -644,14 +657,16 @@ def switch_spans(spark, d):
     return manifests.span_rows(_switched(spark, d), "twi")
 
 
-@query(f"""with {_SWITCHED}, u as (select id, pos, case when lang = 'eng' then ['<', span, '>'] else regexp_extract_all(lower(span), '{v.UNIT_PATTERN}') end as units from kept)
-    select id, md5(array_to_string(flatten(list(units order by pos)), ' ')) as units_md5, sum(len(units))::bigint as n_units from u group by id""")
+@query(f"""with {_SWITCHED}, u as (select id, pos, span, case when lang = 'eng' then ['<', span, '>'] else regexp_extract_all(lower(span), '{v.UNIT_PATTERN}') end as units from kept)
+    select id, md5(array_to_string(flatten(list(units order by pos)), ' ')) as units_md5, sum(len(units))::bigint as n_units, sum((len(units) = 0)::int)::bigint as n_unknown,
+        md5(coalesce(array_to_string(list(span order by pos) filter (where len(units) = 0), '|'), '')) as unknown_md5 from u group by id""")
 def mixed_units(spark, d):
     """Spans phonemised each by its language and put together again."""
     rows = manifests.span_rows(_switched(spark, d), "twi")
     own = F.when(F.col("lang") == "eng", F.array(F.lit("<"), "span", F.lit(">"))).otherwise(units.tokenize(F.lower("span"), v.SYMBOLS))
     out = manifests.joined_spans(rows.withColumn("units", own))
-    return out.select("id", F.md5(F.array_join("units", " ")).alias("units_md5"), F.size("units").cast("long").alias("n_units"))
+    unknown = F.size("unknown").cast("long").alias("n_unknown"), F.md5(F.array_join("unknown", "|")).alias("unknown_md5")
+    return out.select("id", F.md5(F.array_join("units", " ")).alias("units_md5"), F.size("units").cast("long").alias("n_units"), *unknown)
 
 
 @query(r"""with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as text, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as k from documents),

@@ -12,9 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxtable.functions import clips, units
-from voxtable.operators import assemble, plugs
+from voxtable.operators import assemble, plugs, quality
 from voxtable.plans import views as v
-from voxtable.plans.queries import BASE, query
+from voxtable.plans.queries import _FLAGGED, BASE, MIN_CLIPS, query
 from voxtable.sources import corpus, files, wavs
 from voxtable.streaming import ingest
 
@@ -46,19 +46,18 @@ _STATS = """s as (select split, count(*)::bigint as clips, round(sum(dur_ms) / 3
         round(sum(n_units) / count(*)::double, 1) as mean_units_per_clip from clips group by split)"""
 
 
-@query(f"with {v.CLIPS},{_STATS} select split, clips, phoneme_units, mean_units_per_clip from s")
+@query(f"with {v.CLIPS},{_STATS} select split, clips, hours, phoneme_units, mean_units_per_clip from s")
 def write_stats(spark, d):
     path = _folder(spark, "stats")
     corpus.write_stats(assemble.corpus_stats(v.clips(spark, d)), path)
-    return spark.read.json(path).select("split", "clips", "phoneme_units", "mean_units_per_clip")
+    return spark.read.json(path).select("split", "clips", "hours", "phoneme_units", "mean_units_per_clip")
 
 
-@query(f"""with {v.CLIPS},{_STATS} select format('| `{{}}` | {{:,}} |', split, clips) as head, format('| {{:,}} |', phoneme_units) as phoneme_units from s""")
+@query(f"""with {v.CLIPS},{_STATS} select format('| `{{}}` | {{:,}} | {{:,}} | {{:,}} | {{}} |', split, clips, hours, phoneme_units, mean_units_per_clip) as line from s""")
 def stats_markdown(spark, d):
-    """The table's rows, one a split, without the column of hours (their last digit depends on the order of a float sum)."""
+    """The table's rows, one a split."""
     lines = corpus.stats_markdown(assemble.corpus_stats(v.clips(spark, d))).split("\n")[2:]
-    cells = F.split("line", r" \| ")
-    return spark.createDataFrame([(x,) for x in lines], "line string").select(F.concat(cells[0], F.lit(" | "), cells[1], F.lit(" |")).alias("head"), F.concat(F.lit("| "), cells[3], F.lit(" |")).alias("phoneme_units"))
+    return spark.createDataFrame([(x,) for x in lines], "line string")
 
 
 @query("select doc_id, strlen(coalesce(text, ''))::bigint as n_bytes, null::varchar as path, md5(coalesce(text, '')) as digest from documents")
@@ -136,6 +135,20 @@ def ingested(spark, d):
     return spark.read.parquet(target).select("id", "qc_reason")
 
 
+@query(f"{_FLAGGED} select id, speaker, rare_speaker, qc_reason from flagged")
+def ingested_speakers(spark, d):
+    """Each lot of clips meets the speaker table as it streams in."""
+    source, target, seen = (_folder(spark, x) for x in ("arrived", "ingested", "progress"))
+    side = v.speakers(spark, d).select(F.col("id").alias("recording"), "speaker").join(quality.speaker_counts(v.speakers(spark, d), MIN_CLIPS), "speaker")
+    rows = v.clips(spark, d)
+    of_clips = rows.select("id", "recording").join(side, "recording").select("id", "speaker", "small")
+    schema = "id string, text string, n_units long, duration double"
+    for split in ("train", "test"):
+        rows.filter(clips.split_of(F.col("shard")) == split).select("id", "text", "n_units", "duration").write.mode("append").parquet(source)
+        ingest.ingest(spark, source, schema, target, seen, of_clips, quality.QcLimits(min_speaker_clips=MIN_CLIPS)).awaitTermination()
+    return spark.read.parquet(target).select("id", "speaker", "rare_speaker", "qc_reason")
+
+
 # ---- waves and plugs -----------------------------------------------------------------------------------------------
 
 
