@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +179,55 @@ def test_teaser_articles_do_not_bound_the_page(spark):
     assert all(got[(i, u)].split("\n\n")[-1].startswith("The long text") for i, u, _ in rows)
 
 
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<div class='layout with-sidebar'>{0}<div class=sidebar><p>Side {{n}}</p></div></div>",
+        "<div class='page sidebar-right'>{0}<div class=sidebar><p>Side {{n}}</p></div></div>",
+        "<form id=aspnetForm action=/x>{0}<div class=ad>Buy {{n}}</div></form>",
+        "<form action=/x><div>{0}</div></form>",
+    ],
+)
+def test_names_of_whole_pages_are_overruled(spark, frame):
+    html = lambda n: f"<html><body><nav><a href=/>Home {n}</a></nav>{frame.format(ARTICLE).format(n=n)}<footer>&copy; {n}</footer></body></html>"
+    rows = [(n, f"https://w.example/{n}", html(n)) for n in range(8)] + [(50, "https://lone.example/", html(50))]
+    got = texts(spark, rows)
+    assert all(got[(i, u)] == WANT.format(n=i) for i, u, _ in rows)
+
+
+def test_parts_of_names_inside_articles_are_left_to_links_and_votes(spark):
+    body = (
+        "<article><div class=article-header><h1>Title {n}</h1></div><p>Body of page {n} in words.</p><section id=related-work><h2>Related work {n}</h2><p>Others did {n}.</p></section>"
+        "<div class=related-posts><a href=/1>Post one {n}</a> <a href=/2>Post two {n}</a></div><div class=page-notice><p>We use data</p></div><div class=post-comments><p>Nice {n}</p></div><div class=ad-slot>Buy {n}</div></article>"
+    )
+    rows = [(n, f"https://x.example/{n}", page(n, body)) for n in range(8)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)] == f"Title {i}\n\nBody of page {i} in words.\n\nRelated work {i}\n\nOthers did {i}." for i, u, _ in rows)  # the notice is told by votes alone
+
+
+def test_many_comments_are_no_article(spark):
+    body = "<article><h1>Title {n}</h1><p>Short {n}.</p></article><div class=comments>" + "<article><p>Comment on page {n}, which goes on and on.</p></article>" * 40 + "</div>"
+    rows = [(n, f"https://y.example/{n}", page(n, body)) for n in range(6)]
+    got = texts(spark, rows)
+    assert all(got[(i, u)] == f"Title {i}\n\nShort {i}." for i, u, _ in rows)
+
+
+def test_long_lists_of_unlike_siblings_align_in_time():
+    def table(seed, n):
+        r = random.Random(seed)
+        return "<table>" + "".join("<tr>" + "".join(f"<td class={r.choice('abcdefgh')}>{r.random()}</td>" for _ in range(r.randint(1, 9))) + "</tr>" for _ in range(n)) + "</table>"
+
+    root, ref = html_text.parsed(table(1, 10_000)), html_text.Reference(html_text.flat(html_text.parsed(table(2, 10_000))))
+    began = time.perf_counter()
+    pairs = html_text.aligned(root, ref)
+    assert time.perf_counter() - began < 10
+    assert len({id(n) for n, _ in pairs}) == len({i for _, i in pairs}) == len(pairs) and all(n.sign == ref.rows[i][1] for n, i in pairs)
+    assert sum(n.tag == "tr" for n, _ in pairs) > 9_000
+    to = {id(n): i for n, i in pairs}
+    rows = [to[id(k)] for k in root.kids[0].kids if id(k) in to]
+    assert rows == sorted(rows)
+
+
 def plain_matching(a, b):
     """Largest matching of two lists of (signature, kids), by trying all."""
     if not a or not b:

@@ -5,7 +5,8 @@ with the reference tree by simple tree matching, and its text blocks are stored
 which nodes are template (their text is that of the reference on CONSTANT of the pages that have it, of LEAST pages at least), which are menus (nearly all of their text,
 or of the blocks below them, is link text), and whether the varying text lies in the article or main element. What is left, the varying slots and the blocks that the reference lacks,
 is the content. Tags, roles, classes and ids drop what they name (menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments); a header inside of an article or main element is the article's own and stays. A page's only article or main element bounds its content unless most of the varying text of
+comments); a header inside of an article or main element is the article's own and stays. Names are overruled: one that is a part of a longer name inside of an article ("article-header", "related-work")
+drops only what is mostly links, and leaves the rest to the votes; names of a page's layout ("with-sidebar") count for nothing; and an element that holds most of a page's text with its heading or article stays. A page's only article or main element bounds its content unless most of the varying text of
 its host lies outside of such elements.
 
 Pages that say nearly the same as the reference cast no vote, so that a text posted often isn't taken for template. A page of which nothing would be left keeps its constant text.
@@ -22,10 +23,11 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
-from zlib import crc32
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ CONSTANT, LEAST = 0.9, 3
 COPY = 0.9
 #: Share of link text in a menu.
 LINKS = 0.9
+#: Pairs of two lists of children up to which a largest matching is found.
+CELLS = 2500
 #: Elements nested deeper become siblings, as in browsers; no text is lost.
 DEPTH = 150
 
@@ -54,11 +58,18 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"o
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr"}, "th": {"tr"}}
 _DROPPED = frozenset("nav footer aside form select button dialog menu svg header".split())
 _ROLES = re.compile(r"navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu|menubar|toolbar", re.I)
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|widget|ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|gdpr|newsletter|subscribe|"
-    r"signup|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|pagination|pager|popup|modal|overlay|login|search|toolbar|skip|copyright)(?:$|[\s_-])",
+_NAME = re.compile(
+    r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|widget|ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|gdpr|newsletter|subscribe|"
+    r"signup|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|pagination|pager|popup|modal|overlay|login|search|toolbar|skip|copyright",
     re.I,
 )
+#: Names that say little as a part of a longer one inside of an article ("article-header"): the element's links and the votes decide.
+_WEAK = frozenset("header related search notice menu banner login".split())
+#: Heads of names that tell how a whole page is laid out ("with-sidebar").
+_LAYOUT = frozenset("with has no without layout".split())
+_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|replies)(?:$|[\s_-])", re.I)
+#: Elements that hold no page, whatever their share of it.
+_SMALL = frozenset("nav footer header select button dialog menu svg".split())
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>?|<[A-Za-z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -68,28 +79,74 @@ _UNQUOTED = re.compile(r"=[^\s\"']+\Z")
 _NUMBERS = re.compile(r"\d+")
 
 
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _shape(sign: str, kids: list[str]) -> str:
+    """Equal for trees of the same signatures alone."""
+    return _digest("\n".join((sign, *kids)))
+
+
+def _named(names: str, inside: bool) -> str:
+    """Whether classes and ids name what is dropped: "soft" or, where the element's links decide, "weak"; else nothing."""
+    out = ""
+    for word in names.split():
+        parts = re.split(r"[_-]+", word.lower())
+        hits = [x for x in parts if _NAME.fullmatch(x)] if parts[0] not in _LAYOUT or len(parts) == 1 else ()
+        if hits and not (inside and len(parts) > 1 and _WEAK.issuperset(hits)):
+            return "soft"
+        out = "weak" if hits else out
+    return out
+
+
+def _weighed(root: Node) -> None:
+    """Takes back what names and forms drop in error: an element inside of an article whose name says little and whose text isn't mostly links,
+    and one that holds most of a page's text and its heading or article (a form may hold all there is)."""
+    work, nodes, kept = [(root, False)], [], 0
+    while work:
+        n, out = work.pop()
+        nodes.append(n)
+        if n.soft == "weak" and 2 * n.linked < n.plain + n.linked:
+            n.dropped = False
+        out = out or n.dropped
+        kept += 0 if out else max(0, n.chars - n.links)
+        work += [(k, out) for k in n.kids]
+    heads = set()
+    for n in reversed(nodes):
+        if n.tag in ("h1", "main", "article") or any(id(k) in heads for k in n.kids):
+            heads.add(id(n))
+    for n in nodes:
+        if n.dropped and n.soft and n.tag not in _SMALL and 2 * n.plain > root.plain and not _COMMENTS.search(n.name):
+            n.dropped = not (id(n) in heads or n.tag == "form" and not kept)
+
+
 class Node:
     """A block element, or an inline one that is dropped. items: text pieces and nodes in page order."""
 
-    __slots__ = ("tag", "name", "items", "dropped", "inline", "links", "kids", "text", "chars", "size")
+    __slots__ = ("tag", "name", "items", "dropped", "soft", "inline", "links", "kids", "text", "chars", "size", "shape", "plain", "linked")
 
     def __init__(self, tag: str, name: str = "", dropped: bool = False, inline: bool = False):
         self.tag, self.name, self.dropped, self.inline = tag, name, dropped, inline
         self.items: list[str | Node] = []
         self.links = 0
+        self.soft = ""
 
     def settle(self) -> None:
-        """Kids, own text's checksum and length, and the nodes of the tree, here and below."""
+        """Kids, own text's digest and length, and the shape, the nodes and the characters outside and inside of links of the tree, here and below."""
         work, order = [self], []
         while work:
             n = work.pop()
             order.append(n)
             n.kids = [x for x in n.items if type(x) is Node]
             own = " ".join(" ".join(x for x in n.items if type(x) is str).split())
-            n.text, n.chars = crc32(own.encode("utf-8", "surrogatepass")), len(own)
+            n.text, n.chars = _digest(own), len(own)
             work += n.kids
         for n in reversed(order):
             n.size = 1 + sum(k.size for k in n.kids)
+            n.shape = _shape(n.sign, [k.shape for k in n.kids])
+            n.plain = max(0, n.chars - n.links) + sum(k.plain for k in n.kids)
+            n.linked = min(n.chars, n.links) + sum(k.linked for k in n.kids)
 
     @property
     def sign(self) -> str:
@@ -134,12 +191,19 @@ def parsed(html: str) -> Node:
             stack[-1].items.append("\n")
         if tag in _VOID or m[3].endswith("/") and not _UNQUOTED.search(m[3]):
             continue
-        names, drop = "", tag in _DROPPED and not (tag == "header" and any(n.tag in ("article", "main") for n in stack))
+        inside = any(n.tag in ("article", "main") for n in stack)
+        names, soft, drop = "", "", tag in _DROPPED and not (tag == "header" and inside)
+        soft = "soft" if drop else ""
         if m[3]:
             got = {a.lower(): unescape(b or c or d) for a, b, c, d in _ATTRIBUTE.findall(m[3])}
             names = f"{got.get('class', '')} {got.get('id', '')}".strip()
-            drop = drop or bool(names and tag not in ("html", "body", "article", "main") and _NAMES.search(names)) or bool(_ROLES.fullmatch(got.get("role", "").strip()))
-            drop = drop or "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
+            if not drop and names and tag not in ("html", "body", "article", "main"):
+                soft = _named(names, inside)
+            if _ROLES.fullmatch(got.get("role", "").strip()):
+                soft = "soft"
+            drop = drop or bool(soft)
+            if "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower():
+                drop, soft = True, ""
         if tag == "a":
             anchors += 1
         block = tag in _BLOCK
@@ -163,9 +227,11 @@ def parsed(html: str) -> Node:
         if len(stack) > DEPTH:
             stack.pop()
         node = Node(tag, " ".join(names.split()), drop, not block)
+        node.soft = soft
         stack[-1].items.append(node)
         stack.append(node)
     root.settle()
+    _weighed(root)
     return root
 
 
@@ -201,7 +267,7 @@ def blocks(root: Node) -> list[tuple[Node, str]]:
 
 
 def flat(root: Node) -> list:
-    """A tree as rows in document order: depth, signature, checksum of own text."""
+    """A tree as rows in document order: depth, signature, digest of own text."""
     out, work = [], [(root, 0)]
     while work:
         n, depth = work.pop()
@@ -227,39 +293,79 @@ class Reference:
             path.append(i)
         for i in range(len(rows) - 1, 0, -1):
             self.size[parent[i]] += self.size[i]
+        self.shape = [""] * len(rows)
+        for i in range(len(rows) - 1, -1, -1):
+            self.shape[i] = _shape(rows[i][1], [self.shape[k] for k in self.kids[i]])
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest part of pairs, by their first places, in which the second places rise."""
+    tails: list[int] = []
+    at: list[int] = []
+    before = [-1] * len(pairs)
+    for k, (_, y) in enumerate(pairs):
+        j = bisect_left(tails, y)
+        before[k] = at[j - 1] if j else -1
+        tails[j : j + 1] = [y]
+        at[j : j + 1] = [k]
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
+
+
+def _in_turn(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of equal entries, the first with the first and so on, of which a longest part keeps the order."""
+    places = defaultdict(list)
+    for k in range(len(b) - 1, -1, -1):
+        places[b[k]].append(k)
+    return _rising([(k, places[x].pop()) for k, x in enumerate(a) if places.get(x)])
 
 
 def aligned(page: Node, ref: Reference) -> list[tuple[Node, int]]:
-    """Simple tree matching: the pairs of a largest matching of the two trees that keeps signatures, ancestors and order."""
-    known: dict[tuple[int, int], int] = {}
-
-    def ends(a: list[Node], b: list[int]) -> tuple[int, int]:
-        """First and last runs of pairs whose trees match whole. No matching of either node is larger, so some largest matching has these pairs."""
+    """Simple tree matching: the pairs of a largest matching of the two trees that keeps signatures, ancestors and order.
 
-        def whole(x: Node, i: int) -> bool:
-            return x.size == ref.size[i] and x.sign == ref.rows[i][1] and weight(x, i) == x.size
-
-        low, most = 0, min(len(a), len(b))
-        while low < most and whole(a[low], b[low]):
-            low += 1
-        high = 0
-        while high < most - low and whole(a[-1 - high], b[-1 - high]):
-            high += 1
-        return low, high
+    Two lists of children with more than CELLS pairs are parted by children of equal shape first, and what is left between these, if it still has more, is paired by signatures in turn;
+    or all are paired in turn, if that gives more pairs. Time grows as n log n of a list's length; such a matching needn't be a largest one."""
+    known: dict[tuple[str, str], int] = {}
 
     def weight(n: Node, i: int) -> int:
-        """Pairs in a largest matching of the trees below and with two nodes of one signature."""
-        a, b = n.kids, ref.kids[i]
-        if not a or not b:
+        """Pairs in the matching of the trees below and with two nodes of one signature."""
+        if not n.kids or not ref.kids[i]:
             return 1
-        key = (id(n), i)
+        if n.shape == ref.shape[i]:
+            return n.size
+        key = (n.shape, ref.shape[i])
         if key not in known:
-            low, high = ends(a, b)
-            inner = grid(a[low : len(a) - high], b[low : len(b) - high])[-1][-1]
-            known[key] = 1 + inner + sum(x.size for x in a[:low]) + sum(x.size for x in a[len(a) - high :])
+            known[key] = 1 + sum(weight(x, y) for x, y in matched(n.kids, ref.kids[i]))
         return known[key]
 
-    def grid(a: list[Node], b: list[int]) -> list[list[int]]:
+    def matched(a: list[Node], b: list[int]) -> list[tuple[Node, int]]:
+        # first and last runs of trees that are equal: no matching of either node is larger, so some largest matching has these pairs
+        low, most = 0, min(len(a), len(b))
+        while low < most and a[low].shape == ref.shape[b[low]]:
+            low += 1
+        high = 0
+        while high < most - low and a[-1 - high].shape == ref.shape[b[-1 - high]]:
+            high += 1
+        ends = [*zip(a[:low], b[:low], strict=True), *zip(a[len(a) - high :], b[len(b) - high :], strict=True)]
+        a, b = a[low : len(a) - high], b[low : len(b) - high]
+        if len(a) * len(b) <= CELLS:
+            return ends + grid(a, b)
+        by_sign = in_turn(a, b)
+        by_shape, x0, y0 = [], 0, 0
+        for x, y in [*_in_turn([n.shape for n in a], [ref.shape[i] for i in b]), (len(a), len(b))]:
+            c, d = a[x0:x], b[y0:y]
+            by_shape += grid(c, d) if len(c) * len(d) <= CELLS else in_turn(c, d)
+            by_shape += [(a[x], b[y])] if x < len(a) and y < len(b) else []
+            x0, y0 = x + 1, y + 1
+        return ends + max(by_shape, by_sign, key=lambda pairs: sum(weight(n, i) for n, i in pairs))
+
+    def in_turn(a: list[Node], b: list[int]) -> list[tuple[Node, int]]:
+        return [(a[x], b[y]) for x, y in _in_turn([n.sign for n in a], [ref.rows[i][1] for i in b])]
+
+    def grid(a: list[Node], b: list[int]) -> list[tuple[Node, int]]:
         rows = [[0] * (len(b) + 1)]
         signs = [ref.rows[y][1] for y in b]
         for x in a if b else ():
@@ -270,22 +376,7 @@ def aligned(page: Node, ref: Reference) -> list[tuple[Node, int]]:
                     best = both
                 row.append(best)
             rows.append(row)
-        return rows
-
-    pairs, work = [], [(page, 0)]
-    while work:
-        n, i = work.pop()
-        pairs.append((n, i))
-        a, b = n.kids, ref.kids[i]
-        if not a or not b:
-            continue
-        low, high = ends(a, b)
-        work += zip(a[:low], b[:low], strict=True)
-        work += zip(a[len(a) - high :], b[len(b) - high :], strict=True)
-        a, b = a[low : len(a) - high], b[low : len(b) - high]
-        if not a or not b:
-            continue
-        rows, x, y = grid(a, b), len(a), len(b)
+        out, x, y = [], len(rows) - 1, len(b)
         while x and y:
             if rows[x][y] == rows[x - 1][y]:
                 x -= 1
@@ -293,7 +384,15 @@ def aligned(page: Node, ref: Reference) -> list[tuple[Node, int]]:
                 y -= 1
             else:
                 x, y = x - 1, y - 1
-                work.append((a[x], b[y]))
+                out.append((a[x], b[y]))
+        return out
+
+    pairs, work = [], [(page, 0)]
+    while work:
+        n, i = work.pop()
+        pairs.append((n, i))
+        if n.kids and ref.kids[i]:
+            work += matched(n.kids, ref.kids[i])
     return pairs
 
 
