@@ -73,6 +73,36 @@ def test_best_branch_wins_ties_by_leaf(spark):
     assert sorted((x["rank"], x["leaf"]) for x in chat.format_trees(frame, 2).collect()) == [(1, 2), (2, 3)]
 
 
+def test_scores_and_ranks_match_brute_force(spark):
+    nodes = odd_nodes()
+    want = {}
+    for (tree, leaf), path in plain_trees(nodes).items():
+        want.setdefault(tree, []).append((-sum(x[3] or 0.0 for x in path) / len(path), leaf))
+    got = {}
+    for x in chat.format_trees(spark.createDataFrame([(*n, "clash") for n in nodes], NODES), 2).collect():
+        got.setdefault(x["tree_id"], {})[x["rank"]] = (x["score"], x["leaf"])
+    assert set(got) == set(want)
+    for tree, found in want.items():
+        for rank, (score, leaf) in enumerate(sorted(found)[:2], 1):
+            assert abs(got[tree][rank][0] + score) < 1e-9
+            assert got[tree][rank][1] == leaf or abs(got[tree][rank][0] + dict((b, a) for a, b in found)[got[tree][rank][1]]) < 1e-9
+        assert len(got[tree]) == min(2, len(found))
+
+
+def test_only_chosen_branches_are_enumerated(spark):
+    """A comb, a leaf at each turn: all its paths together have n * n / 2 nodes."""
+    n = 300
+    nodes = [(1, k, k - 1 if k else None, "user", f"t{k}", 0.0) for k in range(n)] + [(1, n + k, k, "assistant", f"leaf {k}", 1.0 if k == 40 else 0.0) for k in range(n)]
+    frame = spark.createDataFrame([(*x, "clash") for x in nodes], NODES)
+    level, links = chat.climbed(frame.select("tree_id", "node_id", "parent_id", "score"))
+    assert level.count() == 2 * n and len(links) <= 10
+    chosen = chat.branches(level, links[0], 1)
+    assert [x["leaf"] for x in chosen.collect()] == [n + 40]
+    assert sorted((x["up"], x["node_id"]) for x in chat.paths(chosen, links).collect()) == [(0, n + 40), *((k, 41 - k) for k in range(1, 42))]
+    assert chat.format_trees(frame).first()["formatted"].count("<|im_start|>") == 42
+    assert chat.branches(level, links[0], None).count() == n
+
+
 def test_conversations_keep_their_order(spark):
     rows = [(1, 2, "user", "c"), (1, 0, "user", "a"), (1, 1, "assistant", None), (2, 5, None, "x"), (2, 5, None, "x"), (None, None, "user", "n")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("score", F.lit("clash"))

@@ -1,8 +1,8 @@
 r"""Chat formatting of reply trees, in DataFrame operations alone.
 
-Root-to-leaf paths are enumerated by iterative self-joins that double the distance each round: with every node's
-2^k-th ancestor at hand, a leaf's known path reaches twice as far, so a chain of n turns takes log2(n) rounds and no row is made twice.
-Branches are ranked by the mean score of their nodes, and each chosen path becomes one conversation.
+Iterative self-joins double the distance each round, so a chain of n turns takes log2(n) rounds. On the way up every node adds its 2^k-th
+ancestor's score to its own, one row a node and round; branches are ranked by the mean score that their leaves have then. On the way down the list of
+links only the chosen leaves' paths are enumerated, and each becomes one conversation: a tree whose branches have many nodes in common isn't multiplied out.
 
 Template: ``<|im_start|>role\ntext<|im_end|>\n`` a turn. In roles and texts ``&`` becomes ``&amp;`` and ``<|`` becomes ``&lt;|`` (in
 roles also a newline ``&#10;``), so no control string can occur inside and every text reads back exactly.
@@ -40,30 +40,49 @@ def unescaped_role(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit("&#10;"), F.lit("\n")))
 
 
-def paths(edges: DataFrame) -> DataFrame:
-    """edges: tree_id, node_id, parent_id -> tree_id, leaf, node_id, up (0 at the leaf) for every node of every root-to-leaf path."""
-    same = lambda a, b: a["tree_id"].eqNullSafe(b["tree_id"])
-    known = edges.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
-    on = edges["tree_id"].eqNullSafe(known["t"]) & (edges["parent_id"] == known["n"])
-    jump = cut(edges.join(known, on, "left").select("tree_id", "node_id", F.col("n").alias("up_id")))
-    parents = jump.filter("up_id is not null").select("tree_id", F.col("up_id").alias("node_id")).distinct()
-    leaves = jump.join(parents, same(jump, parents) & (jump["node_id"] == parents["node_id"]), "left_anti")
-    found = leaves.select("tree_id", F.col("node_id").alias("leaf"), "node_id", F.lit(0).cast("long").alias("up"))
-    largest = jump.groupBy("tree_id").count().agg(F.max("count")).first()[0] or 0
-    step = 1
-    while step < largest:
-        links = jump.filter("up_id is not null").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up_id")
-        further = found.join(links, found["tree_id"].eqNullSafe(links["t"]) & (found["node_id"] == links["n"]))
-        found = cut(found.unionByName(further.select("tree_id", "leaf", F.col("up_id").alias("node_id"), (F.col("up") + step).alias("up"))))
-        twice = links.select(F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("up_id").alias("up2"))
-        jump = jump.filter("up_id is not null").join(twice, jump["tree_id"].eqNullSafe(F.col("t2")) & (F.col("up_id") == F.col("n2")), "left")
-        jump = cut(jump.select("tree_id", "node_id", F.col("up2").alias("up_id")))
-        step *= 2
-        if jump.filter("up_id is not null").isEmpty():
-            return found
-    # still climbing after more steps than a tree has nodes: these hang on a cycle
-    lost = jump.filter("up_id is not null").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
-    return found.join(lost, found["tree_id"].eqNullSafe(lost["t"]) & (found["leaf"] == lost["n"]), "left_anti")
+def _meet(rows: DataFrame, other: DataFrame, column: str) -> Column:
+    """rows' column names a node of the same tree in other (t, n)."""
+    return rows["tree_id"].eqNullSafe(other["t"]) & (rows[column] == other["n"])
+
+
+def climbed(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """nodes: tree_id, node_id, parent_id, score -> tree_id, node_id, up_id, total, turns of every node, and the links (t, n, up_id) of 1, 2, 4, ... steps up.
+
+    total and turns are the sum of the scores and the number of the nodes from this one to its root; up_id is null then, and a node that hangs on a cycle keeps one.
+    A round has one row a node, however many branches a node is on.
+    """
+    known = nodes.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
+    level = nodes.join(known, _meet(nodes, known, "parent_id"), "left")
+    level = cut(level.select("tree_id", "node_id", F.col("n").alias("up_id"), F.col("score").alias("total"), F.lit(1).cast("long").alias("turns")))
+    largest = level.groupBy("tree_id").count().agg(F.max("count")).first()[0] or 0
+    links: list[DataFrame] = []
+    while 1 << len(links) < largest:
+        further = level.filter("up_id is not null").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up_id")
+        if further.isEmpty():
+            break
+        links.append(further)
+        above = level.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up_id").alias("next"), F.col("total").alias("more"), F.col("turns").alias("longer"))
+        level = level.join(above, _meet(level, above, "up_id"), "left")
+        level = cut(level.select("tree_id", "node_id", F.col("next").alias("up_id"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("turns") + F.coalesce("longer", F.lit(0))).alias("turns")))
+    return level, links
+
+
+def branches(level: DataFrame, parents: DataFrame, best: int | None) -> DataFrame:
+    """tree_id, leaf, rank, score of the ``best`` leaves of each tree by the mean score of their branch, ties by leaf (None: all)."""
+    parents = parents.select(F.col("t"), F.col("up_id").alias("n")).distinct()
+    leaves = level.filter("up_id is null").join(parents, _meet(level, parents, "node_id"), "left_anti")
+    leaves = leaves.select("tree_id", F.col("node_id").alias("leaf"), (F.col("total") / F.col("turns")).alias("score"))
+    ranked = leaves.withColumn("rank", F.row_number().over(W.partitionBy("tree_id").orderBy(F.desc("score"), "leaf")))
+    return (ranked if best is None else ranked.filter(F.col("rank") <= best)).select("tree_id", "leaf", "rank", "score")
+
+
+def paths(chosen: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """chosen: tree_id, leaf and more -> the same with node_id and up (0 at the leaf) for every node from the leaf to its root. links as climbed gives them."""
+    found = cut(chosen.select("*", F.col("leaf").alias("node_id"), F.lit(0).cast("long").alias("up")))
+    for k, link in enumerate(links):
+        further = found.join(link, _meet(found, link, "node_id")).select(*chosen.columns, F.col("up_id").alias("node_id"), (F.col("up") + (1 << k)).alias("up"))
+        found = cut(found.unionByName(further))
+    return found
 
 
 def format_trees(nodes: DataFrame, best: int | None = 1) -> DataFrame:
@@ -73,13 +92,9 @@ def format_trees(nodes: DataFrame, best: int | None = 1) -> DataFrame:
     """
     rows = nodes.groupBy("tree_id", "node_id").agg(F.min(F.struct("parent_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))).alias("v"))
     rows = rows.select("tree_id", "node_id", "v.*")
-    on_path = paths(rows.select("tree_id", "node_id", "parent_id"))
-    scores = rows.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("score").alias("node_score"))
-    branches = on_path.join(scores, on_path["tree_id"].eqNullSafe(scores["t"]) & (on_path["node_id"] == scores["n"]))
-    branches = branches.groupBy("tree_id", "leaf").agg(F.avg("node_score").alias("score"))
-    branches = branches.withColumn("rank", F.row_number().over(W.partitionBy("tree_id").orderBy(F.desc("score"), "leaf")))
-    branches = (branches if best is None else branches.filter(F.col("rank") <= best)).select(F.col("tree_id").alias("t"), F.col("leaf").alias("l"), "rank", "score")
-    chosen = on_path.join(branches, on_path["tree_id"].eqNullSafe(branches["t"]) & (on_path["leaf"] == branches["l"])).drop("t", "l")
+    level, links = climbed(rows.select("tree_id", "node_id", "parent_id", "score"))
+    parents = links[0] if links else level.filter("up_id is not null").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up_id")
+    chosen = paths(branches(level, parents, best), links)
     told = rows.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "role", "text")
     turns = chosen.join(told, chosen["tree_id"].eqNullSafe(told["t"]) & (chosen["node_id"] == told["n"]))
     head, body = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n")), escaped(F.col("text"))
