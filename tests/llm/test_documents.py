@@ -648,6 +648,37 @@ def test_contamination_matches_brute_force(spark):
     assert decontam.contamination(documents(spark, []), bench).count() == 0
 
 
+def test_window_hashes_know_equal_windows():
+    r = random.Random(12)
+    words = [b"a", b"bb", "\u00e9".encode(), b"x" * 5000, b"y" * 70000, b"7"]
+    line = decontam.spaced(b" ".join(r.choice(words) for _ in range(400)))
+    said, seen = line.split(), {}
+    for w in (1, 3, 13):
+        want = [b" " + b" ".join(said[i : i + w]) + b" " for i in range(len(said) - w + 1)]
+        got = [int(h) for x in decontam.window_hashes(line, [w]) for h in x]
+        assert len(got) == len(want)
+        for text, h in zip(want, got, strict=True):
+            assert seen.setdefault(text[: decontam.REACH], h) == h
+            assert [int(x) for y in decontam.window_hashes(text, [w]) for x in y] == [h]
+    assert len(set(seen.values())) == len(seen)
+    assert not list(decontam.window_hashes(b"", [13])) and not list(decontam.window_hashes(b" a b ", [13]))
+
+
+def test_large_benchmarks_are_searched_in_suspects_only(spark):
+    r = random.Random(13)
+    say = lambda n: " ".join(str(r.randrange(10**6)) for _ in range(n))
+    items = [(k, say(60)) for k in range(200)]
+    docs = [(i, say(200)) for i in range(300)] + [(1000 + k, say(40) + " " + items[k * 20][1] + " " + say(40)) for k in range(10)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found, n = decontam.in_blocks(bench, 200_000)
+    assert n > 5 and found.count() == 200 * 48
+    bits = decontam.filter_bits(found, 200 * 48)
+    assert all(decontam.is_suspect(decontam.spaced(t.encode()), [13], bits) == (i >= 1000) for i, t in docs)
+    assert all(decontam.is_suspect(bytes(x["window"]), [13], bits) for x in found.collect())
+    got = {x["doc_id"]: (x["n_hit"], x["items"], x["contaminated"]) for x in decontam.contamination(documents(spark, docs), bench, 200_000).collect()}
+    assert got == {i: (60, [str((i - 1000) * 20)], True) if i >= 1000 else (0, [], False) for i, _ in docs}
+
+
 def test_wu_manber_finds_all_occurrences():
     r = random.Random(9)
     for _ in range(60):

@@ -35,10 +35,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write to the shared folder as Parquet, once, and read it back."""
+def stored(df: DataFrame, *by: str) -> DataFrame:
+    """Write to the shared folder as Parquet, once, a folder for each value of by, and read it back."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,9 @@ so an occurrence of a window of words is an occurrence of its bytes. The windows
 impossible positions, suffix-hash buckets that select the windows ending in the block at hand, and direct
 comparison.
 
-The windows travel to the tasks in blocks of at most BLOCK_BYTES: a benchmark of any size is a series of
-bounded broadcasts, each searched against all documents.
+The windows travel to the tasks in blocks of at most BLOCK_BYTES. One block is one pass over the documents without a shuffle. A larger benchmark is a
+series of bounded broadcasts, searched against suspects alone: a first pass looks the hashes of a document's windows up in one Bloom filter of all the benchmark's
+windows (FILTER_BITS at most), which misses none and lets few others pass. More windows than the filter is made for let more documents pass, and cost time only.
 
 Defined cases: null or wordless texts have no words and no hits; a null or wordless item has no window; repeated windows of several items count
 for each; items without an id hit like others and count as one item, which has no id to list; an empty benchmark contaminates nothing; repeated document rows are judged each; extra columns are not read.
@@ -27,6 +28,10 @@ from .common import cut, small, stored, utf8
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
+#: Bits of the filter a window, probes of a window, and the most bits (64 MiB), whose parts of 64 KiB are made in tasks.
+BITS_EACH, PROBES, FILTER_BITS, PART_BITS = 32, 8, 1 << 29, 1 << 19
+#: A window is hashed by its first REACH bytes, a text in segments, so a text of any length takes little memory.
+REACH, SEGMENT = 4096, 1 << 16
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -82,25 +87,127 @@ def searchers(patterns: list[bytes]) -> list[WuManber]:
     return [WuManber(x) for x in by.values()]
 
 
-def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _powers(base: int) -> np.ndarray:
+    out = np.full(SEGMENT + REACH + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_ODD = 0x9E3779B97F4A7C15  # any odd number has an inverse modulo 2^64
+_UP, _DOWN = _powers(_ODD), _powers(pow(_ODD, -1, 1 << 64))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits in which every bit depends on every other."""
+    for by in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> np.uint64(33))) * np.uint64(by)
+    return h ^ (h >> np.uint64(33))
+
+
+def window_hashes(line: bytes, widths: list[int]) -> Iterator[np.ndarray]:
+    """Hashes of all windows of so many words of a spaced line, in order for one width, by sums of bytes times powers modulo 2^64: equal windows have equal hashes."""
+    data = np.frombuffer(line, np.uint8)
+    gaps = np.flatnonzero(data == 32)
+    for a in range(0, len(line), SEGMENT):
+        low, high = np.searchsorted(gaps, [a, a + SEGMENT])
+        piece = data[a : a + SEGMENT + REACH]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(piece * _UP[: len(piece)], dtype=np.uint64)])
+        for w in widths:
+            n = min(high, len(gaps) - w) - low
+            if n > 0:
+                start = gaps[low : low + n] - a
+                end = np.minimum(gaps[low + w : low + w + n] + 1 - a, start + REACH)
+                yield _mixed((sums[end] - sums[start]) * _DOWN[start])
+
+
+def is_suspect(line: bytes, widths: list[int], bits: np.ndarray) -> bool:
+    """Whether the filter knows a window of the line; true for every line in which a window occurs."""
+    last = np.uint64(8 * len(bits) - 1)
+    for h in window_hashes(line, widths):
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        for j in range(PROBES):
+            at = (h + np.uint64(j) * step) & last
+            known = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            h, step = h[known], step[known]
+            if not len(h):
+                break
+        if len(h):
+            return True
+    return False
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: dict[int, np.ndarray] = {}
     for b in batches:
-        rows = [(i, w) for i, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True) for w in windows(t.translate(_TABLE).split())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array([len(r[1]) + 64 for r in rows], pa.int64())], ["item_id", "window", "cost"])
+        of, at = b.column(0).to_numpy(), b.column(1).to_numpy()
+        for part in np.unique(of):
+            parts.setdefault(int(part), np.zeros(PART_BITS, bool))[at[of == part]] = True
+    for part, on in parts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
+
+
+def filter_bits(found: DataFrame, windows_in_all: int) -> np.ndarray:
+    """The Bloom filter of all windows: tasks set the bits of their parts, and the parts, FILTER_BITS together at most, come to the driver."""
+    size = PART_BITS
+    while size < min(FILTER_BITS, BITS_EACH * windows_in_all):
+        size *= 2
+    step = F.shiftrightunsigned("hash", 32).bitwiseOR(F.lit(1))
+    probes = F.array(*((F.col("hash").bitwiseAND(F.lit(size - 1)) + j * step).bitwiseAND(F.lit(size - 1)) for j in range(PROBES)))
+    places = found.select(F.explode(probes).alias("place"))
+    places = places.select(F.floor(F.col("place") / PART_BITS).cast("long").alias("part"), (F.col("place") % PART_BITS).cast("long").alias("at"))
+    out = np.zeros(size // 8, np.uint8)
+    for r in places.repartition("part").mapInArrow(_packed, "part long, bits binary").collect():
+        out[r["part"] * PART_BITS // 8 : (r["part"] + 1) * PART_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[dict[bytes, list[str | None]]]:
-    """Windows with their items, in blocks of at most about ``most`` bytes each; a hash of the window deals them out."""
-    found = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_items, "item_id string, window binary, cost long")
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, found, hashes = [], [], []
+        for i, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
+            line = spaced(t)
+            said = windows(line.split())
+            ids += [i] * len(said)
+            found += said
+            hashes += [np.zeros(0, np.uint64), *window_hashes(line, [min(WINDOW, line.count(b" ") - 1)])] if said else []
+        told = np.concatenate([np.zeros(0, np.uint64), *hashes]).view(np.int64)
+        costs = pa.array([len(x) + 64 for x in found], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(found, pa.binary()), costs, pa.array(told)], ["item_id", "window", "cost", "hash"])
+
+
+def in_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """Windows with their items and blocks, and the number of blocks of at most about ``most`` bytes each; a hash of the window deals them out. Several are a folder each."""
+    found = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_items, "item_id string, window binary, cost long, hash long")
     found = cut(found.distinct())
     total = found.agg(F.sum("cost")).first()[0] or 0
-    n = -(-2 * total // most) if total > most else 1  # twice as many as even blocks need
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n)))
-    for k in range(n if total else 0):
-        block: dict[bytes, list[str | None]] = {}
-        for r in dealt.filter(F.col("block") == k).select("item_id", "window").toLocalIterator():
-            block.setdefault(bytes(r["window"]), []).append(r["item_id"])
-        if block:
-            yield block
+    n = -(-2 * total // most) if total > most else min(total, 1)  # twice as many as even blocks need
+    found = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(max(n, 1))))
+    return (stored(found.repartition("block"), "block") if n > 1 else found), n
+
+
+def one_block(found: DataFrame, k: int) -> dict[bytes, list[str | None]]:
+    block: dict[bytes, list[str | None]] = {}
+    for r in found.filter(F.col("block") == k).select("item_id", "window").toLocalIterator():
+        block.setdefault(bytes(r["window"]), []).append(r["item_id"])
+    return block
+
+
+def _sifted(rows: DataFrame, bits, widths: list[int], text: str, suspects: bool) -> DataFrame:
+    """The suspects of rows; or the others, with the hits, items and n_words that a search would give them. Which a row is follows from its text alone."""
+    inside, names = rows.schema[0].dataType.names.index(text), [*rows.columns, "hits", "items", "n_words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lines = [spaced(t) for t in utf8(b.column(0).field(inside))]
+            wanted = pa.array([is_suspect(x, widths, bits.value) == suspects for x in lines], pa.bool_())
+            if suspects:
+                yield b.filter(wanted)
+            else:
+                none, n_words = [[]] * len(lines), [max(0, x.count(b" ") - 1) for x in lines]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(none, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.string())), pa.array(n_words, pa.int64())], names).filter(wanted)
+
+    told = [] if suspects else [*T.StructType.fromDDL(_FOUND), T.StructField("n_words", T.LongType())]
+    return rows.mapInArrow(run, T.StructType([*rows.schema, *told]))
 
 
 _FOUND = "hits array<int>, items array<string>"
@@ -140,22 +247,22 @@ def _search(rows: DataFrame, block: dict[bytes, list[str | None]], text: str, ke
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, columns: list[str], most: int = BLOCK_BYTES) -> DataFrame:
-    """row (the columns), hits, items, n_words and contaminated of every row. One block is one pass without a shuffle. Of several, each reads the
-    numbered rows and leaves thin rows of its hits only, so that one block at a time is in memory and no text is written again; hits meet their rows in the end."""
+    """row (the columns), hits, items, n_words and contaminated of every row. One block is one pass without a shuffle. Of several, each reads the numbered
+    suspects and leaves thin rows of its hits only, so that one block at a time is in memory; hits meet their rows in the end. docs is read twice then, and must give the same texts both times."""
     rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("row"))
-    found, waiting = [], None
-    for block in blocks(benchmark, most):
-        if waiting is not None:
-            if not found:
-                rows = stored(rows.withColumn("row_number", F.monotonically_increasing_id()))
-            found.append(cut(_search(rows, waiting, "text", False)))
-        waiting = block
-    out = _search(rows, waiting or {}, "text", True)
-    if found:
-        others = reduce(DataFrame.unionByName, found).groupBy("row_number").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("more_hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items"))
-        out = out.join(small(cut(others), 256), "row_number", "left")
+    found, n = in_blocks(benchmark, most)
+    if n < 2:
+        out = _search(rows, one_block(found, 0) if n else {}, "text", True)
+    else:
+        told = found.agg(F.count("*").alias("n"), F.collect_set(F.size(F.split(F.col("window").cast("string"), " ")) - 2).alias("widths")).first()
+        bits, widths = docs.sparkSession.sparkContext.broadcast(filter_bits(found, told["n"])), sorted(told["widths"])
+        suspects = stored(_sifted(rows, bits, widths, "text", True).withColumn("row_number", F.monotonically_increasing_id()))
+        hits = [cut(_search(suspects, one_block(found, k), "text", False)) for k in range(n - 1)]
+        others = reduce(DataFrame.unionByName, hits).groupBy("row_number").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("more_hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items"))
+        out = _search(suspects, one_block(found, n - 1), "text", True).join(small(cut(others), 256), "row_number", "left")
         out = out.withColumn("hits", F.array_union("hits", F.coalesce("more_hits", F.array().cast("array<int>"))))
         out = out.withColumn("items", F.array_sort(F.array_union("items", F.coalesce("more_items", F.array().cast("array<string>")))))
+        out = out.select("row", "hits", "items", "n_words").unionByName(_sifted(rows, bits, widths, "text", False))
     return out.withColumn("contaminated", (F.size("hits") > 0) & (20 * F.size("hits").cast("long") >= F.col("n_words")))
 
 
