@@ -49,7 +49,7 @@ def climbed(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """nodes: tree_id, node_id, parent_id, score -> tree_id, node_id, up_id, total, turns of every node, and the links (t, n, up_id) of 1, 2, 4, ... steps up.
 
     total and turns are the sum of the scores and the number of the nodes from this one to its root; up_id is null then, and a node that hangs on a cycle keeps one.
-    A round has one row a node, however many branches a node is on.
+    A round has one row for each node that isn't at its root yet, however many branches it is on.
     """
     known = nodes.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
     level = nodes.join(known, _meet(nodes, known, "parent_id"), "left")
@@ -57,13 +57,15 @@ def climbed(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     largest = level.groupBy("tree_id").count().agg(F.max("count")).first()[0] or 0
     links: list[DataFrame] = []
     while 1 << len(links) < largest:
-        further = level.filter("up_id is not null").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up_id")
+        below = level.filter("up_id is not null")
+        further = below.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up_id")
         if further.isEmpty():
             break
         links.append(further)
         above = level.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up_id").alias("next"), F.col("total").alias("more"), F.col("turns").alias("longer"))
-        level = level.join(above, _meet(level, above, "up_id"), "left")
-        level = cut(level.select("tree_id", "node_id", F.col("next").alias("up_id"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("turns") + F.coalesce("longer", F.lit(0))).alias("turns")))
+        moved = below.join(above, _meet(below, above, "up_id"))
+        moved = cut(moved.select("tree_id", "node_id", F.col("next").alias("up_id"), (F.col("total") + F.col("more")).alias("total"), (F.col("turns") + F.col("longer")).alias("turns")))
+        level = level.filter("up_id is null").unionByName(moved)
     return level, links
 
 
