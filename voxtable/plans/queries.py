@@ -450,8 +450,8 @@ def selection_summary(spark, d):
 BASE = {"^": [1], "_": [0], "$": [2], " ": [3], "a": [14], "e": [18], "th": [3], "s": [31], "z": [200]}
 
 
-def _map(spark, d) -> symbols.SymbolMap:
-    found = symbols.collected(symbols.symbol_inventory(v.clips(spark, d), "ipa_units"))
+def _map(spark, d, rows: DataFrame | None = None) -> symbols.SymbolMap:
+    found = symbols.collected(symbols.symbol_inventory(v.clips(spark, d) if rows is None else rows, "ipa_units"))
     return symbols.language_tokens(symbols.build_symbol_map(found, BASE), ["de", "en", "es", "fr"])
 
 
@@ -498,8 +498,9 @@ def graft_table(spark, d):
 
 
 def _encoded(spark, d) -> DataFrame:
-    mapping = {k: x for k, x in _map(spark, d).items() if k != "q"}
-    rows = v.clips(spark, d).withColumn("split", clips.split_of(F.col("shard"))).withColumn("speaker", F.concat(F.lit("spk_"), "language"))
+    rows = corpus.settled(v.clips(spark, d).select("id", "shard", "language", "text", "ipa_units"))  # the map comes from the same units
+    mapping = {k: x for k, x in _map(spark, d, rows).items() if k != "q"}
+    rows = rows.withColumn("split", clips.split_of(F.col("shard"))).withColumn("speaker", F.concat(F.lit("spk_"), "language"))
     return symbols.encoded(rows, mapping, "ipa_units")
 
 
