@@ -282,6 +282,77 @@ def test_near_copies_match_brute_force(spark):
     assert len(pairs) > 50 and sorted(r["doc_id"] for r in kept.collect()) == [i for i, k in enumerate(root) if i == k]
 
 
+def group_of_variants(n, words=200, changed=7, seed=5):
+    """Near copies of one text, most pairs of which are somewhat below 0.8, and none a copy."""
+    r = random.Random(seed)
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for k in r.sample(range(words), r.randint(1, changed)):
+            own[k] = f"x{i}_{k}"
+        out.append(" ".join(own))
+    return out
+
+
+def first_of_links(texts):
+    """Of each group the first, by the similar pairs that share a band and lie within the radius: all of them have to be found."""
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    hashes = [near_copies.shingles(t.encode()) for t in texts]
+    bands, fps = [near_copies.bands(h) for h in hashes], [int.from_bytes(near_copies.fingerprint(h)) for h in hashes]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            met = (bands[i] == bands[j]).any() and (fps[i] ^ fps[j]).bit_count() <= near_copies.RADIUS
+            if met and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [i for i in range(len(sets)) if find(i) == i]
+
+
+def test_a_group_of_near_copies_sends_no_pairs_by_its_square(spark, monkeypatch):
+    cut, made = near_copies.cut, []
+
+    def counted(df):
+        df = cut(df)
+        made.append(df.count())
+        return df
+
+    monkeypatch.setattr(near_copies, "cut", counted)
+    texts = group_of_variants(150)
+    kept = sorted(r["doc_id"] for r in near_copies.first_documents(documents(spark, enumerate(texts))).collect())
+    assert kept == first_of_links(texts) and 10 < len(kept) < 140
+    assert max(made) <= near_copies.BANDS * len(texts)
+
+
+@pytest.mark.parametrize("shard,set_bytes", [(8, 1 << 20), (30, 3000), (1000, 20_000)])
+def test_near_copies_over_several_trees(spark, monkeypatch, shard, set_bytes):
+    monkeypatch.setattr(near_copies, "SHARD", shard)
+    monkeypatch.setattr(near_copies, "SET_BYTES", set_bytes)
+    texts = group_of_variants(70, seed=shard) + group_of_variants(30, 90, 2, 3) + near_texts()
+    kept = near_copies.first_documents(documents(spark, enumerate(texts)))
+    assert sorted(r["doc_id"] for r in kept.collect()) == first_of_links(texts)
+
+
+def test_odd_sketches_rule_out_no_similar_pair():
+    r = np.random.default_rng(4)
+    number = lambda x: int.from_bytes(near_copies.odd_sketch(x), "little")
+    said = Counter()
+    for _ in range(3000):
+        whole = np.unique(r.integers(0, 1 << 62, int(r.integers(0, 700))).astype(np.uint64))
+        a, b = (whole[r.random(len(whole)) < r.choice([0.85, 0.9, 0.95, 1])] for _ in range(2))
+        may, alike = near_copies.possible(number(a), len(a), number(b), len(b)), near_copies.similar(a, b)
+        assert may or not alike
+        said[may, alike] += 1
+    assert said[True, False] < 0.1 * said[False, False]
+
+
 def test_near_copies_without_an_id(spark):
     a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "no two words alike in this one text")
     docs = documents(spark, [(None, a), (5, a), (5, a), (5, b), (9, b), (None, b.upper()), (None, c), (None, c), (None, None), (None, "")]).withColumn("id", F.lit("clash"))

@@ -6,10 +6,11 @@ the shards are MinHash bands: BANDS bands of ROWS minima each; a pair at similar
 1 - (1 - s^ROWS)^BANDS (0.9996 at 0.8, more above). As in ``simhash``, a shard's fingerprints form a BK-tree (children keyed by their Hamming distance to the
 parent, edges followed within RADIUS only), and equal sets are one node. RADIUS lies two deviations above the distance expected at 0.8.
 
-What a tree finds are candidates. Of a shard's candidates the shortest spanning forest is compared exactly, on whole texts; since all shards order
-pairs alike, their forests mostly agree. Shards in which a comparison failed are searched again, without the failed pairs and with what is linked
-by then as one, for the forest and each node's nearest 64, 4096 ... partners outside of its component, until nothing fails: no pair within the radius is left undecided, nodes that links
-connect already are never compared, and no shard is capped. A shard over SHARD nodes is dealt out over several trees.
+What a tree finds are candidates. Of a tree's candidates the shortest spanning forest is compared exactly, on whole texts; since all shards order
+pairs alike, their forests mostly agree. A shard over SHARD nodes is dealt out over several trees, each of which searches itself only at first. Shards in which a comparison failed, or
+which were dealt out, are searched again, as far as what is linked by then leaves several components in them. Odd sketches, whose distance is never more than the difference of two sets,
+tell which nodes still have a possible partner outside of their component; these nodes meet once more, with their sets of shingles, and are compared where they meet. So a tree sends
+nodes or a forest of links, never pairs by the square of its nodes; no pair within the radius is left undecided, nodes that links connect already are never compared, and no shard is capped.
 
 Defined cases: words are what bytes between the six ASCII spaces are, ASCII letters folded; a text under five words is one shingle; null, empty and wordless texts
 are copies of each other; a row without an id takes part like any other and stays only if its group has no id at all; an id may name several
@@ -35,8 +36,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BITS, RADIUS = 512, 94
 BANDS, ROWS = 20, 5
-#: Fingerprints in one tree at most.
-SHARD = 1000
+#: Fingerprints in one tree and bytes of what travels with them, about: nodes are dealt out by hash.
+SHARD, SET_BYTES = 1000, 32 << 20
 #: Shingles that are put through all permutations at a time, and texts whose shingles a task holds.
 _PIECE, _CACHED = 1 << 9, 64
 _RANDOM = np.random.default_rng(SEED)
@@ -94,6 +95,31 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     return both >= similarity * (len(a) + len(b) - both)
 
 
+def odd_bits(size: int) -> int:
+    """Bits of the odd sketch of a set: a power of two, 8 to 16 an element."""
+    return 1 << max(9, (8 * size - 1).bit_length())
+
+
+def odd_sketch(found: np.ndarray) -> bytes:
+    """Of each bit, whether an odd number of shingles falls on it: each shingle that only one of two sets has changes one bit, so sketches differ in no more bits than the sets in shingles."""
+    bits = odd_bits(len(found))
+    return np.packbits(np.bincount((_mixed(found) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def possible(a: int, a_size: int, b: int, b_size: int, similarity: float = SIMILARITY) -> bool:
+    """Whether two sets may be similar, by their odd sketches (as numbers) and sizes. False is certain."""
+    if min(a_size, b_size) < similarity * max(a_size, b_size):
+        return False
+    if a_size > b_size:
+        a, a_size, b, b_size = b, b_size, a, a_size
+    least, bits = odd_bits(a_size), odd_bits(b_size)
+    while bits > least:  # a sketch of half the bits is the halves' exclusive or
+        bits //= 2
+        b = b >> bits ^ b & (1 << bits) - 1
+    both = min(a_size, (a_size + b_size - (a ^ b).bit_count()) // 2)
+    return both >= similarity * (a_size + b_size - both)
+
+
 def _signed(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -118,112 +144,176 @@ def _compared(shingle: int, similarity: float):
     return run
 
 
-def candidates(nodes: list[int], roots: list[int], fps: list[bytes], tried: list[list[int]], query: list[bool], nearest: int, radius: int = RADIUS) -> set[tuple[int, int]]:
-    """Of the pairs of a tree within the radius that were not tried and are of different components: the shortest spanning forest, and each node's ``nearest`` ones."""
-    values, failed = [int.from_bytes(x) for x in fps], [set(x) for x in tried]
-    tree, place, pairs = BKTree(), [], []
-    for i in sorted(range(len(nodes)), key=query.__getitem__):
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (b.slice(at, _CACHED) for b in batches for at in range(0, b.num_rows, _CACHED)):
+            found = [shingles(text, shingle) for text in utf8(b.column(1))]
+            columns = [pa.array([len(x) for x in found], pa.int64()), pa.array([odd_sketch(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["node", "size", "odd", "found"])
+
+    return run
+
+
+def near(fps: list[bytes], query: list[bool], radius: int = RADIUS) -> Iterator[tuple[int, int, int]]:
+    """distance, i, j: the pairs of a tree within the radius, by their places; fingerprints that are queries don't meet each other."""
+    values = [int.from_bytes(x) for x in fps]
+    tree, place = BKTree(), []
+    for i in sorted(range(len(values)), key=query.__getitem__):
         for at in tree.within(values[i], radius):
-            j = place[at]
-            if roots[i] != roots[j] and nodes[j] not in failed[i] and nodes[i] not in failed[j]:
-                # distance, then an order of the pairs that all shards share, then the places: one number, so that many fit
-                pairs.append((values[i] ^ values[j]).bit_count() << 64 | ((nodes[i] ^ nodes[j]) & 0xFFFFFFFF) << 32 | i << 16 | j)
+            yield (values[i] ^ values[place[at]]).bit_count(), i, place[at]
         if not query[i]:
             tree.add(values[i])
             place.append(i)
-    parent = {r: r for r in roots}
 
-    def root(r: int) -> int:
+
+def _finder(names: list[int]):
+    """find and join of components, which have these names at first."""
+    parent = {r: r for r in names}
+
+    def find(r: int) -> int:
         while parent[r] != r:
             parent[r] = r = parent[parent[r]]
         return r
 
-    out, count = set(), [0] * len(nodes)
-    pairs.sort()
+    def join(x: int, y: int) -> None:
+        parent[find(x)] = find(y)
+
+    return find, join
+
+
+def candidates(nodes: list[int], fps: list[bytes]) -> Iterator[tuple[int, int]]:
+    """The shortest spanning forest of the pairs of a tree within the radius."""
+    # distance, then an order of the pairs that all shards share, then the places: one number, so that many fit
+    pairs = sorted(d << 64 | ((nodes[i] ^ nodes[j]) & 0xFFFFFFFF) << 32 | i << 16 | j for d, i, j in near(fps, [False] * len(fps)))
+    find, join = _finder(nodes)
     for pair in pairs:
-        i, j = pair >> 16 & 0xFFFF, pair & 0xFFFF
-        x, y = root(roots[i]), root(roots[j])
-        if x != y or min(count[i], count[j]) < nearest:
-            out.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-            count[i], count[j] = count[i] + 1, count[j] + 1
-            parent[x] = y
-    return out
+        a, b = nodes[pair >> 16 & 0xFFFF], nodes[pair & 0xFFFF]
+        if find(a) != find(b):
+            join(a, b)
+            yield min(a, b), max(a, b)
+
 
+def undecided(similarity: float):
+    def run(nodes: list[int], roots: list[int], fps: list[bytes], sizes: list[int], odds: list[bytes], query: list[bool]) -> Iterator[tuple[int]]:
+        """The nodes of a tree that may be similar to another of a different component."""
+        sketch, out = [int.from_bytes(x, "little") for x in odds], set()
+        for _, i, j in near(fps, query):
+            if roots[i] != roots[j] and not (i in out and j in out) and possible(sketch[i], sizes[i], sketch[j], sizes[j], similarity):
+                out |= {i, j}
+        return ((nodes[i],) for i in out)
+
+    return run
+
+
+def links(similarity: float):
+    def run(nodes: list[int], roots: list[int], fps: list[bytes], sets: list[bytes], query: list[bool]) -> Iterator[tuple[int, int]]:
+        """Links between a tree's components, compared exactly: a spanning forest."""
+        found = [np.frombuffer(x, np.uint64) for x in sets]
+        sketch = [int.from_bytes(odd_sketch(x), "little") for x in found]
+        find, join = _finder(roots)
+        for _, i, j in near(fps, query):
+            if find(roots[i]) != find(roots[j]) and possible(sketch[i], len(found[i]), sketch[j], len(found[j]), similarity) and similar(found[i], found[j], similarity):
+                join(roots[i], roots[j])
+                yield nodes[i], nodes[j]
+
+    return run
+
+
+def _searched(of, names: list[str]):
+    """of: a function of a shard's columns, which returns rows of longs; they follow the shard's bucket."""
 
-def _searched(nearest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (shard, bucket, node, root, fp, tried, query) sorted by shard; a shard may run on into the next batch."""
+        """Rows (shard, bucket, ...) sorted by shard; a shard may run on into the next batch."""
         open_: list[list] = []
 
-        def of(rows: list[list]) -> Iterator[tuple[int, int, int]]:
+        def told(rows: list[list]) -> pa.RecordBatch:
+            found = []
             if len(rows) > 1:
                 _, bucket, *columns = map(list, zip(*rows, strict=True))
-                for a, b in candidates(*columns, nearest):
-                    yield bucket[0], a, b
-
-        def told(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["bucket", "a", "b"])
+                found = [(bucket[0], *x) for x in of(*columns)]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(len(names))], names)
 
         for batch in batches:
-            found = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if open_ and open_[0][0] != row[0]:
-                    found += of(open_)
+                    yield told(open_)
                     open_ = []
                 open_.append(row)
-            yield told(found)
-        yield told(list(of(open_)))
+        yield told(open_)
 
     return run
 
 
-def proposed(members: DataFrame, nearest: int, shard: int = SHARD) -> DataFrame:
-    """bucket, a, b: what the trees of the buckets propose. members: bucket, node, root, fp, tried."""
-    large = members.groupBy("bucket").agg(F.ceil(F.count("*") / shard).cast("int").alias("n")).filter("n > 1").withColumnRenamed("bucket", "of")
-    rows = members.join(large, members["bucket"] == large["of"], "left")
-    # chunk i's tree is searched by the chunks after it
-    mine = F.pmod(F.xxhash64("node", F.lit(7)), F.coalesce("n", F.lit(1))).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("tree", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)))
+def _search(rows: DataFrame, of, *names: str) -> DataFrame:
+    rows = rows.repartition(partitions(rows.sparkSession), "shard").sortWithinPartitions("shard")
+    return rows.mapInArrow(_searched(of, ["bucket", *names]), ", ".join(f"{x} long" for x in ["bucket", *names]))
+
+
+def large(members: DataFrame) -> DataFrame:
+    """of, n: the buckets of several trees and their number."""
+    return members.groupBy(F.col("bucket").alias("of")).agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n")).filter("n > 1")
+
+
+def proposed(members: DataFrame) -> DataFrame:
+    """bucket, a, b: what the trees of the buckets propose, each for itself. members: bucket, node, fp."""
+    several = large(members)
+    rows = members.join(several, members["bucket"] == several["of"], "left")
+    # which nodes are together differs between buckets
+    tree = F.pmod(F.xxhash64("bucket", "node", F.lit(7)), F.coalesce("n", F.lit(1)))
+    return _search(rows.select(F.xxhash64("bucket", tree).alias("shard"), "bucket", "node", "fp"), candidates, "a", "b")
+
+
+def facing(members: DataFrame, *columns: str, load: Column) -> DataFrame:
+    """Each member of a bucket of several components meets all of other components: shard, bucket, node, root, columns, query. Those outside of the bucket's largest component are dealt
+    out over trees, which its other members and each other search; members of the largest don't meet, so as long as few are outside of it no row is copied to many trees. load: bytes of a row."""
+    by = members.groupBy(F.col("bucket").alias("of"), "root").agg(F.count("*").alias("n"), F.sum(load).alias("b"))
+    by = by.groupBy("of").agg(F.max(F.struct("n", "root", "b")).alias("main"), F.sum("n").alias("n"), F.sum("b").alias("b")).filter("n > main.n")
+    trees = lambda n, b: F.ceil(F.greatest(n / SHARD, b / SET_BYTES)).cast("int")
+    by = by.select("of", F.col("main.root").alias("main"), trees(F.col("n") - F.col("main.n"), F.col("b") - F.col("main.b")).alias("outer"), trees(F.col("main.n"), F.col("main.b")).alias("inner"))
+    rows, of = members.join(by, members["bucket"] == by["of"]), F.xxhash64("node", F.lit(7))
+    inside = F.col("root") == F.col("main")
+    mine = F.when(inside, F.col("outer") + F.pmod(of, F.col("inner"))).otherwise(F.pmod(of, F.col("outer"))).cast("int")
+    last = F.col("outer") + F.when(inside, 0).otherwise(F.col("inner")) - 1
+    rows = rows.withColumn("mine", mine).withColumn("tree", F.explode(F.sequence(F.lit(0), last)))
     split = F.xxhash64("bucket", F.least("mine", "tree"), F.greatest("mine", "tree"))
-    rows = rows.select(split.alias("shard"), "bucket", "node", "root", "fp", "tried", (F.col("mine") > F.col("tree")).alias("query"))
-    rows = rows.repartition(partitions(members.sparkSession), "shard").sortWithinPartitions("shard")
-    return rows.mapInArrow(_searched(nearest), "bucket long, a long, b long")
+    return rows.select(split.alias("shard"), "bucket", "node", "root", *columns, (F.col("mine") > F.col("tree")).alias("query"))
 
 
 def labels(rows: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """node, root: the component of every node that is similar to another. rows: node, bands, fp and digest of docs. Only texts that are compared travel with their pairs."""
+    """node, root: the component of every node that is similar to another. rows: node, bands, fp and digest of docs. Only texts that are compared travel with their pairs, a forest of each
+    tree; what that leaves undecided is compared as sets in the trees."""
     dealt = rows.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
     shared = dealt.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select(F.col("bucket").alias("of"))
     met = dealt.join(shared, dealt["bucket"] == shared["of"]).select("bucket", "node").distinct()
     shown = rows.groupBy("node").agg(F.min(F.struct("digest", "fp")).alias("shown")).select(F.col("node").alias("n"), "shown.*")
-    met = cut(met.join(shown, met["node"] == shown["n"]).select("bucket", "node", F.col("node").alias("root"), "digest", "fp", F.array().cast("array<long>").alias("tried")))
+    met = cut(met.join(shown, met["node"] == shown["n"]).select("bucket", "node", "digest", "fp"))
     texts = docs.select(digest(F.col("text")).alias("of"), "text")
 
-    def told(pairs: DataFrame) -> DataFrame:
-        ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(met.select("node", "digest").distinct(), "node"))
-        known = texts.join(small(ends.select(F.col("digest").alias("want"))), F.col("of") == F.col("want"), "left_semi").groupBy("of").agg(F.first("text").alias("text"))
-        known = cut(known.join(ends, known["of"] == ends["digest"]).select("node", "text"))
-        both = pairs.join(known.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").join(known.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-        return cut(both.select("a", "b", "a_text", "b_text").mapInArrow(_compared(shingle, similarity), "a long, b long, alike boolean"))
-
-    # node, root of all that is linked so far
-    root = cut(met.select("node", "root").filter("false"))
-    now, failed, nearest = met.select("bucket", "node", "root", "fp", "tried"), None, 0
-    while True:
-        found = cut(proposed(now, nearest))
-        pairs = cut(found.select("a", "b").distinct())
-        if pairs.isEmpty():
-            return root
-        new = told(pairs)
-        root = merged(root, new.filter("alike").select("a", "b"))
-        lost = new.filter("not alike").select("a", "b")
-        again = found.join(lost, ["a", "b"], "left_semi").select(F.col("bucket").alias("of")).distinct()
-        failed = lost if failed is None else failed.unionByName(lost)
-        tried = failed.groupBy("a").agg(F.collect_list("b").alias("tried"))
-        now = now.select("bucket", "node", "fp").join(again, F.col("bucket") == F.col("of"), "left_semi")
-        now = now.join(root, "node", "left").join(tried, F.col("node") == F.col("a"), "left")
-        now = cut(now.select("bucket", "node", F.coalesce("root", "node").alias("root"), "fp", F.coalesce("tried", F.array().cast("array<long>")).alias("tried")))
-        nearest = 64 * max(1, nearest)
+    def known(ends: DataFrame) -> DataFrame:
+        """node, text; ends: node, digest."""
+        ends = cut(ends)
+        wanted = texts.join(small(ends.select(F.col("digest").alias("want"))), F.col("of") == F.col("want"), "left_semi").groupBy("of").agg(F.first("text").alias("text"))
+        return wanted.join(ends, wanted["of"] == ends["digest"]).select("node", "text")
+
+    found = cut(proposed(met))
+    pairs = cut(found.select("a", "b").distinct())
+    ends = cut(known(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(met.select("node", "digest").distinct(), "node")))
+    both = pairs.join(ends.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").join(ends.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    new = cut(both.select("a", "b", "a_text", "b_text").mapInArrow(_compared(shingle, similarity), "a long, b long, alike boolean"))
+    root = cut(components(new.filter("alike").select("a", "b")))
+
+    again = found.join(new.filter("not alike"), ["a", "b"], "left_semi").select(F.col("bucket").alias("of")).unionByName(large(met).select("of")).distinct()
+    open_ = met.join(again, F.col("bucket") == F.col("of")).join(root, "node", "left")
+    open_ = cut(open_.select("bucket", "node", F.coalesce("root", "node").alias("root"), "digest", "fp"))
+    several = open_.groupBy(F.col("bucket").alias("of")).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("of")
+    open_ = cut(open_.join(several, F.col("bucket") == F.col("of"), "left_semi"))
+    if open_.isEmpty():
+        return root
+    sets = cut(known(open_.select("node", "digest").distinct()).mapInArrow(_sets(shingle), "node long, size long, odd binary, found binary"))
+    rows = open_.select("bucket", "node", "root", "fp").join(sets.select("node", "size", "odd"), "node")
+    left = cut(_search(facing(rows, "fp", "size", "odd", load=F.length("odd")), undecided(similarity), "node").distinct())
+    rows = open_.select("bucket", "node", "root", "fp").join(left, ["bucket", "node"]).join(sets.select("node", "found"), "node")
+    return merged(root, _search(facing(rows, "fp", "found", load=F.length("found")), links(similarity), "a", "b").select("a", "b").distinct())
 
 
 def merged(root: DataFrame, links: DataFrame) -> DataFrame:
