@@ -331,6 +331,33 @@ def test_a_group_of_near_copies_sends_no_pairs_by_its_square(spark, monkeypatch)
     assert max(made) <= near_copies.BANDS * len(texts)
 
 
+def test_near_copies_reach_python_in_small_batches(spark, monkeypatch):
+    """A task holds a few MB of texts or sets at a time, however many rows it has; the session's own settings stay."""
+
+    def watched(of):
+        def made(*args):
+            run = of(*args)
+
+            def small(batches):
+                for b in batches:
+                    if b.num_rows > 1024 or b.nbytes > 6 << 20:
+                        raise ValueError(f"a batch of {b.num_rows} rows, {b.nbytes} bytes")
+                    yield b
+
+            return lambda batches: run(small(batches))
+
+        return made
+
+    for name in ("_signed", "_compared", "_sets", "_searched"):
+        monkeypatch.setattr(near_copies, name, watched(getattr(near_copies, name)))
+    before = [spark.conf.get(f"spark.sql.execution.arrow.{x}") for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    long = [" ".join(f"{k}w{i}" for i in range(30_000)) for k in range(40)]  # some 10 MB of texts
+    texts = [f"{k} short text of its own, number {k}, {k + 1}" for k in range(2500)] + long + [x + " more" for x in long]
+    kept = near_copies.first_documents(documents(spark, enumerate(texts)).coalesce(1))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(2540))
+    assert before == [spark.conf.get(f"spark.sql.execution.arrow.{x}") for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+
+
 @pytest.mark.parametrize("shard,set_bytes", [(8, 1 << 20), (30, 3000), (1000, 20_000)])
 def test_near_copies_over_several_trees(spark, monkeypatch, shard, set_bytes):
     monkeypatch.setattr(near_copies, "SHARD", shard)

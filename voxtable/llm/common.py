@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A word where a contract says ``[^\x20\x09-\x0D]+``, as a Java pattern.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows and bytes of a batch inside of small_batches().
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +51,21 @@ def small(df: DataFrame, row_bytes: int = 64, counted: DataFrame | None = None,
     return F.broadcast(df) if (df if counted is None else counted).count() * row_bytes <= most else df
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside passes rows to Python BATCH_ROWS and about BATCH_BYTES at a time, not Spark's 10,000 and 64 MB, of which a task holds several copies on both sides. The session's own settings
+    come back in the end; what is lazy must be cut or stored inside."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def ordinals(ids: DataFrame) -> DataFrame:
     """named, ordinal: the distinct values of a column, numbered in their order. They are range-partitioned and a partition sends its count, so no task orders all."""
     named = ids.select(F.col(ids.columns[0]).alias("named")).filter("named is not null").distinct()

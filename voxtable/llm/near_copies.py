@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, small, stored, utf8
+from .common import cut, partitions, small, small_batches, stored, utf8
 from .simhash import _LOWER, SEED, BKTree, components
 
 SHINGLE = 5
@@ -334,8 +334,9 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     """id, digest (of the text) and root (a node that names the group) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("id"), digest(F.col("text")).alias("digest"), "text")
-    rows = stored(rows.mapInArrow(_signed(shingle), f"id {kind}, digest binary, node long, bands array<long>, fp binary"))
-    root = labels(rows, docs, shingle, similarity).withColumnRenamed("node", "n")
+    with small_batches(docs.sparkSession):
+        rows = stored(rows.mapInArrow(_signed(shingle), f"id {kind}, digest binary, node long, bands array<long>, fp binary"))
+        root = labels(rows, docs, shingle, similarity).withColumnRenamed("node", "n")
     return rows.join(root, rows["node"] == root["n"], "left").select("id", "digest", F.coalesce("root", "node").alias("root"))
 
 
