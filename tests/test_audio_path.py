@@ -82,6 +82,26 @@ def test_metrics_figures():
     assert audio.acoustic_metrics(x[:100], 16000) == (0.0, 0.0, 1.0)
 
 
+def test_metrics_are_not_rounded_to_single_precision(spark):
+    """The float next to 0.99 is above it, and figures that a query rounds come as doubles."""
+    near = [float(np.float32(0.99))] * 8 + [0.5] * 8
+    waves = {"near": near, "some": np.random.default_rng(3).normal(scale=0.3, size=64).astype(np.float32).tolist()}
+    frame = spark.createDataFrame([(k, x, 400) for k, x in waves.items()], "id string, samples array<float>, rate int")
+    for rows in (wavs.metrics(frame), wavs.metrics_sql(frame)):
+        got = {r["id"]: r for r in rows.collect()}
+        assert got["near"]["clip_frac"] == 0.5
+        assert got["some"]["snr_est"] == pytest.approx(audio.acoustic_metrics(np.array(waves["some"], np.float32), 400)[0], rel=1e-12)
+
+
+def test_resampled_waves_as_doubles(spark):
+    wave = np.random.default_rng(4).normal(scale=0.3, size=64).astype(np.float32)
+    frame = spark.createDataFrame([("a", wave.tolist(), 400)], "id string, samples array<float>, rate int")
+    t = [(np.arange(64) - 2 * k) / 2 * 0.99 for k in range(32)]
+    want = [sum(np.where(abs(x) < 6, wave.astype(np.float64) * np.sinc(x) * np.cos(x * np.pi / 12) ** 2 * 0.495, 0)) for x in t]
+    assert wavs.resampled(frame, 200, "double").first()["samples"] == pytest.approx(want, rel=1e-11, abs=1e-13)
+    assert wavs.resampled(frame, 200).first()["samples"] == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
 def test_two_writers_of_one_id(spark, tmp_path):
     """Attempts never share a file, and a name once taken is whole: two exports at once, repeated rows, and a move that another attempt made."""
     folder = str(tmp_path / "wavs")

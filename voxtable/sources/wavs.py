@@ -121,14 +121,14 @@ def moved_into_place(system: pafs.FileSystem, part: str, path: str) -> None:
 
 
 def metrics(df: DataFrame) -> DataFrame:
-    """id, samples, rate -> id, snr_est, clip_frac, silence_frac; samples don't leave the task."""
+    """id, samples, rate -> id, snr_est, clip_frac, silence_frac (doubles: rounded figures would differ if they were rounded to single precision before); samples don't leave the task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = np.array([acoustic_metrics(np.asarray(x, np.float32), int(r)) for x, r in zip(pdf["samples"], pdf["rate"], strict=True)], np.float32).reshape(-1, 3)
+            found = np.array([acoustic_metrics(np.asarray(x, np.float32), int(r)) for x, r in zip(pdf["samples"], pdf["rate"], strict=True)], np.float64).reshape(-1, 3)
             yield pd.DataFrame({"id": pdf["id"], "snr_est": found[:, 0], "clip_frac": found[:, 1], "silence_frac": found[:, 2]})
 
-    return df.select("id", "samples", "rate").mapInPandas(run, "id string, snr_est float, clip_frac float, silence_frac float")
+    return df.select("id", "samples", "rate").mapInPandas(run, "id string, snr_est double, clip_frac double, silence_frac double")
 
 
 def metrics_sql(df: DataFrame) -> DataFrame:
