@@ -12,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtable.functions.audio import acoustic_metrics, decode_wav, encode_wav, resample
+from voxtable.functions.audio import acoustic_metrics, decode_wav, encode_wav, interpolated, resample
 from voxtable.functions.clips import stem
 from voxtable.sources.corpus import settled
 
@@ -52,15 +52,16 @@ def decoded(data: bytes | None) -> tuple[np.ndarray | None, int | None, str | No
         return None, None, type(e).__name__
 
 
-def resampled(df: DataFrame, target: int) -> DataFrame:
-    """id, samples, rate -> the same at the target rate."""
+def resampled(df: DataFrame, target: int, kind: str = "float") -> DataFrame:
+    """id, samples, rate -> the same at the target rate. kind: float, or double for samples that aren't rounded to single precision, as sums over them need."""
+    made = interpolated if kind == "double" else resample
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            waves = [resample(np.asarray(x, np.float32), int(r), target) for x, r in zip(pdf["samples"], pdf["rate"], strict=True)]
+            waves = [made(np.asarray(x, np.float32), int(r), target) for x, r in zip(pdf["samples"], pdf["rate"], strict=True)]
             yield pd.DataFrame({"id": pdf["id"], "samples": waves, "rate": np.full(len(pdf), target, np.int32)})
 
-    return df.select("id", "samples", "rate").mapInPandas(run, "id string, samples array<float>, rate int")
+    return df.select("id", "samples", "rate").mapInPandas(run, f"id string, samples array<{kind}>, rate int")
 
 
 def as_wav(df: DataFrame, target: int) -> DataFrame:
