@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from voxtable.functions import distance, units
+from voxtable.functions import classes, distance, units
 from voxtable.operators import selection, walk, wordjoin
 
 
@@ -99,3 +99,54 @@ def test_walk_of_large_groups_equals_the_walk_row_by_row(spark, seed):
         got = walk.within_cap(frame, "speaker", "seconds", ["rank", "id"], 1000.0, most)
         assert got.columns == frame.columns and sorted(x["id"] for x in got.collect()) == want
     assert walk.within_cap(frame.limit(0), "speaker", "seconds", ["rank", "id"], 10.0, 1).count() == 0
+
+
+def test_rows_without_rare_words_are_not_written(spark, monkeypatch):
+    """Rows whose words are all known to the tasks stay where they are read; what is written once are those with rare words."""
+    texts, lexicon = lexicon_case(spark)
+    written = []
+    monkeypatch.setattr(wordjoin, "stored", lambda df: written.append(df.localCheckpoint()) or written[-1])
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z']+"), F.lit(0))
+    out = wordjoin.looked_up(texts, selection.one_pronunciation(lexicon), words, most=2000, bits=1 << 16)
+    assert out.count() == texts.count()
+    rows = [df.count() for df in written if "text" in df.columns]
+    assert len(rows) == 1 and 0 < rows[0] < 0.8 * texts.count()
+
+
+def test_phones_of_any_kind_come_back(spark):
+    """Phones with nulls, separators or nothing in them, entries without phones, texts without words."""
+    texts = spark.createDataFrame([("a", "one two three one"), ("b", "four"), ("c", ""), ("d", "two unknown")], "id string, text string")
+    odd = {"one": ["x", None, "\x00"], "two": [], "three": [""], "four": ["", ""]}
+    for lexicon in (odd, {k: x for k, x in odd.items() if k != "one"}):
+        frame = spark.createDataFrame(list(lexicon.items()), "word string, phones array<string>")
+        for most in (1 << 20, 40, 0):
+            got = {r["id"]: (r["phones"], round(r["coverage"], 9)) for r in selection.lexicon_lookup(texts, frame, most=most).collect()}
+            one = lexicon.get("one", [])
+            share = round(1.0 if one else 0.5, 9)
+            assert got == {"a": ([*one, "", *one], share), "b": (["", ""], 1.0), "c": ([], 0.0), "d": ([], 0.5)}
+
+
+def test_collapsed_classes_equal_the_column_functions(spark):
+    rows = spark.createDataFrame([(x,) for x in ("p pʰ b a a ou x", "", None, "q q", "t͡ʃ d͡ʒ ŋ n n", "s  s")], "ipa string")
+    plain_ = F.array_join(units.collapse(classes.ipa_classes(units.split_units(F.coalesce("ipa", F.lit(""))))), "")
+    assert rows.filter(~plain_.eqNullSafe(classes.collapsed_ipa_classes(F.col("ipa")))).count() == 0
+
+
+def test_agreement_of_a_long_clip(spark):
+    """Text and audio of some 4,000 classes each go by the bit vectors."""
+    r = random.Random(5)
+    words = [r.choice(["ta", "ki", "mo"]) for _ in range(2_000)]
+    ipa = " ".join(c for w in words for c in w if r.random() < 0.9)
+    frame = spark.createDataFrame([("a", " ".join(words), ipa), ("b", "ta ki", "t a k"), ("c", None, None)], "id string, text string, ipa string")
+    lexicon = spark.createDataFrame([(w, [w[0].upper(), "AH1"]) for w in ("ta", "ki", "mo")], "word string, phones array<string>")
+    got = {x["id"]: x["uer"] for x in selection.agreement(frame, lexicon).collect()}
+    assert 0.05 < got["a"] < 0.2 and got["b"] == 0.25 and got["c"] == 1.0
+
+
+def test_string_distance_by_either_way(spark):
+    r = random.Random(6)
+    rows = [(i, "".join(r.choices("abc", k=r.randint(0, 12))), "".join(r.choices("abc", k=r.randint(0, 12)))) for i in range(60)] + [(60, None, "a"), (61, "a", None)]
+    frame = spark.createDataFrame(rows, "id int, a string, b string")
+    for cells in (0, 20, 1 << 30):
+        got = {x["id"]: x["d"] for x in frame.select("id", distance.string_distance(F.col("a"), F.col("b"), cells).alias("d")).collect()}
+        assert got == {i: None if a is None or b is None else plain(a, b) for i, a, b in rows}

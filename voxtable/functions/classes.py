@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +51,20 @@ COMBINING = "̩̥̯̃̍"
 _REMOVED = ("ʰ", "͡")
 
 
+def _phone_classes(phones: pa.Array) -> pa.Array:
+    named = phones.flatten().dictionary_encode()
+    table = np.array([-1 if p is None or (c := PHONE_CLASS.get(p.rstrip("012"))) is None else ord(c) for p in named.dictionary.to_pylist()] + [-1], np.int32)  # classes are single letters
+    code = table[named.indices.fill_null(len(table) - 1).to_numpy()]
+    row = np.repeat(np.arange(len(phones)), np.diff(phones.offsets.to_numpy()))[code >= 0]
+    ends = np.r_[0, np.cumsum(np.bincount(row, minlength=len(phones)))].astype(np.int32)
+    code = code[code >= 0].astype(np.uint8)
+    letters = pa.StringArray.from_buffers(len(code), pa.py_buffer(np.arange(len(code) + 1, dtype=np.int32)), pa.py_buffer(code.tobytes()))
+    return pa.ListArray.from_arrays(pa.array(ends), letters)
+
+
 def phone_classes(phones: Column) -> Column:
     """Lexicon phones -> classes; stress digits are stripped, unknown phones dropped."""
-    table = literal_map(PHONE_CLASS)
-    return F.filter(F.transform(phones, lambda p: F.element_at(table, F.regexp_replace(p, "[012]+$", ""))), lambda c: c.isNotNull())
+    return F.when(phones.isNotNull(), F.arrow_udf(_phone_classes, "array<string>")(F.coalesce(phones, F.array().cast("array<string>"))))
 
 
 def ipa_classes(units: Column) -> Column:
@@ -60,6 +73,38 @@ def ipa_classes(units: Column) -> Column:
     return F.filter(F.transform(units, lambda u: F.element_at(table, u)), lambda c: c.isNotNull())
 
 
+def _collapsed(ipa: pa.Array) -> pa.Array:
+    units = pc.split_pattern(pc.fill_null(ipa.cast(pa.string()), ""), " ")
+    named = units.flatten().dictionary_encode()
+    table = np.array([ord(IPA_CLASS.get(u, "\0")) for u in named.dictionary.to_pylist()], np.uint8)  # classes are single letters
+    row, code = np.repeat(np.arange(len(units)), np.diff(units.offsets.to_numpy())), table[named.indices.to_numpy()] if len(table) else np.array([], np.uint8)
+    return _without_runs(row[code > 0], code[code > 0], len(units))
+
+
+def _without_runs(row: np.ndarray, code: np.ndarray, n: int) -> pa.Array:
+    """Single-byte letters of n rows as strings, of equal neighbours the first."""
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+    ends = np.r_[0, np.cumsum(np.bincount(row[first], minlength=n))].astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(code[first].tobytes()))
+
+
+def _collapsed_letters(letters: pa.Array) -> pa.Array:
+    data = pc.fill_null(letters.cast(pa.string()), "")
+    sizes = pc.binary_length(data).to_numpy(zero_copy_only=False)
+    return _without_runs(np.repeat(np.arange(len(data)), sizes), np.frombuffer("".join(data.to_pylist()).encode("ascii"), np.uint8), len(data))
+
+
+def collapsed_letters(classes: Column) -> Column:
+    """Joined classes, each a single letter, with runs collapsed; '' for null. It is computed once a row, however often it is used, as a pattern in the plan would not be."""
+    return F.arrow_udf(_collapsed_letters, "string")(classes)
+
+
+def collapsed_ipa_classes(ipa: Column) -> Column:
+    """The classes of a space-joined transcription, runs collapsed, as one string; '' for null."""
+    return F.arrow_udf(_collapsed, "string")(ipa)
+
+
 def normalized_unit(unit: str) -> str:
     """One unit of any inventory in the common one; may be empty."""
     bare = "".join(c for c in unicodedata.normalize("NFD", unit) if c not in COMBINING and c not in DROP)

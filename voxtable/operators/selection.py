@@ -6,17 +6,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtable.functions.classes import ipa_classes, phone_classes
+from voxtable.functions.classes import collapsed_ipa_classes, collapsed_letters, phone_classes
 from voxtable.functions.clips import phoneme_rate, reasons
-from voxtable.functions.units import collapse, split_units
+from voxtable.functions.distance import string_distance
 from voxtable.operators import wordjoin
 from voxtable.operators.quantiles import number, quantiles
 from voxtable.operators.walk import WALK_ROWS, within_cap
-from voxtable.sources.corpus import prefix_sums, settled
+from voxtable.sources.corpus import prefix_sums, settled, stored
 
 
 @dataclass(frozen=True)
@@ -46,35 +45,29 @@ def lexicon_lookup(df: DataFrame, lexicon: DataFrame, text: str = "text", id_: s
 
     lexicon: word, phones. Of a word's pronunciations the first by the column ``order`` counts; without one, the least.
     """
-    lexicon = settled(one_pronunciation(lexicon, order))
+    lexicon = stored(one_pronunciation(lexicon, order))
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z']+"), F.lit(0))
     size = lexicon.agg(F.sum(F.octet_length("word") + F.octet_length(F.array_join("phones", " ")) + 16)).first()[0] or 0
     if size <= most:
-        found = df.withColumn("looked", _lookup(lexicon)(words))
-        return found.select(*df.columns, "looked.phones", (F.col("looked.known") / F.greatest(F.col("looked.n"), F.lit(1))).alias("coverage"))
+        entries = wordjoin.Entries(lexicon)
+        found = df.withColumn("all_words", words).withColumn("looked", _lookup(lexicon, entries)(*wordjoin.sent_words(F.col("all_words"))))
+        phones = wordjoin.apart(F.col("looked.phones"), F.col("looked.n_phones"), entries.odd).alias("phones")
+        return found.select(*df.columns, phones, (F.col("looked.known") / F.greatest(F.col("looked.n"), F.lit(1))).alias("coverage"))
     return wordjoin.looked_up(df, lexicon, words, id_, most)
 
 
-def _lookup(lexicon: DataFrame):
-    """A vectorised column function: array of words -> struct of the phones of the known ones, their number and that of all. No row is exploded or moved."""
-    table = lexicon.toArrow()
-    sent = lexicon.sparkSession.sparkContext.broadcast((table["word"].combine_chunks(), table["phones"].combine_chunks()))
-
-    @F.arrow_udf("struct<phones:array<string>,known:int,n:int>")
-    def look(words: pa.Array) -> pa.Array:
-        known, phones = sent.value
-        at = pc.index_in(words.flatten(), value_set=known)
-        found = phones.take(pc.drop_null(at))
-        row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
-        n = np.bincount(row, minlength=len(words))
-        has = at.is_valid().to_numpy(zero_copy_only=False)
-        n_known = np.bincount(row[has], minlength=len(words))
-        # phones of a row: those of its words, one after the other
-        edges = np.r_[0, np.cumsum(n_known)]
-        offsets = found.offsets.to_numpy()[edges] if len(found) else np.zeros(len(edges), np.int32)
-        values = found.values if len(found) else pa.array([], pa.string())
-        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-        return pa.StructArray.from_arrays([lists, pa.array(n_known.astype(np.int32)), pa.array(n.astype(np.int32))], ["phones", "known", "n"])
+def _lookup(lexicon: DataFrame, entries: wordjoin.Entries):
+    """A vectorised column function: words and their hashes -> struct of the joined phones of the known ones, their number and those of the known and of all words. No row is exploded or moved."""
+    sent = lexicon.sparkSession.sparkContext.broadcast(entries)
+
+    @F.arrow_udf("struct<phones:string,n_phones:int,known:int,n:int>")
+    def look(words: pa.Array, hashes: pa.Array) -> pa.Array:
+        entries, n = sent.value, len(words)
+        sizes, all_words, all_hashes = wordjoin.flat(words, hashes)
+        has, index = entries.find(all_words, all_hashes)
+        row = np.repeat(np.arange(n), sizes)[has]
+        phones, n_phones = entries.phones_of(row, index, n)
+        return pa.StructArray.from_arrays([phones, *map(wordjoin.ints, (n_phones, np.bincount(row, minlength=n), sizes))], ["phones", "n_phones", "known", "n"])
 
     return look
 
@@ -83,10 +76,9 @@ def agreement(df: DataFrame, lexicon: DataFrame, order: str | None = None) -> Da
     """df (id, text, ipa) with coverage and uer: edits between the collapsed classes of text and audio over those of the text; 1 if the text has none."""
     # classes are told once a word of the lexicon, not once a word of the text
     lexicon = one_pronunciation(lexicon, order).withColumn("phones", phone_classes(F.col("phones")))
-    expected = F.array_join(collapse(F.col("phones")), "")
-    observed = F.array_join(collapse(ipa_classes(split_units(F.coalesce("ipa", F.lit(""))))), "")
-    both = lexicon_lookup(df, lexicon).withColumn("expected", expected).drop("phones").withColumn("observed", observed)
-    uer = F.when(F.length("expected") == 0, 1.0).otherwise(F.levenshtein("expected", "observed") / F.greatest(F.length("expected"), F.lit(1)))
+    expected = collapsed_letters(F.array_join("phones", ""))
+    both = lexicon_lookup(df.withColumn("observed", collapsed_ipa_classes(F.col("ipa"))), lexicon).withColumn("expected", expected).drop("phones")
+    uer = F.when(F.length("expected") == 0, 1.0).otherwise(string_distance(F.col("expected"), F.col("observed")) / F.greatest(F.length("expected"), F.lit(1)))
     return both.withColumn("uer", uer).drop("expected", "observed")
 
 
@@ -129,7 +121,9 @@ def select_budgeted(df: DataFrame, budget: float, speaker_share: float = 0.08, t
     """
     thin = rank_candidates(df, tie).select("speaker", F.col(duration).cast("double").alias("duration"), "id", *_RANK)
     chosen = budget_cut(within_cap(thin, "speaker", "duration", list(_RANK), speaker_share * budget, most), budget)
-    return df.join(chosen.select("id", F.lit(True).alias("selected")), "id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    chosen = chosen.select("id", F.lit(True).alias("selected"))
+    met = df.filter("eligible").join(chosen, "id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    return met.select(*df.columns, "selected").unionByName(df.filter(~F.coalesce("eligible", F.lit(False))).withColumn("selected", F.lit(False)))  # only eligible rows are moved
 
 
 def budget_cut(accepted: DataFrame, budget: float) -> DataFrame:
