@@ -174,3 +174,16 @@ def test_clusters_do_not_depend_on_partitions_or_order(spark):
         out = speakers.pseudo_speakers(spark.createDataFrame([(a, list(b)) for a, b in rows], "id string, embedding array<double>").repartition(n), 12, 0.7)
         told.append(sorted((x["id"], x["centroid"], x["speaker"]) for x in out.collect()))
     assert told[0] == told[1] == told[2]
+
+
+def test_a_round_reads_its_own_metadata(spark, shards):
+    """Metadata lie in the order of their shards, so a round doesn't read those of all."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the case is small
+    try:
+        thin = lookup.by_shard(results_of(spark).repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    at = thin.select("shard", F.col("_metadata.file_name").alias("file")).distinct().collect()
+    of = {s: {r["file"] for r in at if r["shard"] == s} for s in {r["shard"] for r in at}}
+    assert len({r["file"] for r in at}) > 1 and all(len(x) <= 2 for x in of.values())
+    assert thin.count() == 120 and thin.columns == results_of(spark).columns
